@@ -1,0 +1,6 @@
+"""No streaming operators: every pipeline is one dated batch.
+
+Arrival over time is handled by ``sources.tables.incremental_extract``, which
+takes the load date as an argument, so a late or repeated run picks up exactly
+the rows of that date.
+"""
