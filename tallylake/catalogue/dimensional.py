@@ -7,9 +7,11 @@ from pyspark.sql import functions as F
 from tallylake.catalogue.registry import query
 from tallylake.catalogue.relational import KPI_SQL
 from tallylake.catalogue.retail import AS_OF, CHANGES, HISTORY, OFFICES, PRODUCTS, Tables
+from tallylake.functions.dates import day
 from tallylake.functions.kpis import with_product_kpis
 from tallylake.operators import dimensions as ops
 from tallylake.plans import dimensions as plans
+from tallylake.sources.tables import incremental_extract
 
 VERSIONED = """
     SELECT c.*, CAST(row_number() OVER (PARTITION BY c.employeenumber ORDER BY c.upddt, c.changenumber)
@@ -54,25 +56,26 @@ def scd2_current(t: Tables):
     return ops.scd2_current(t.history.unionByName(appended), ["employeenumber"])
 
 
-# The stored products lack every fourth code; the batch holds every third, with another price.
-STORED = f"SELECT * FROM ({KPI_SQL}) WHERE productcode % 4 <> 0"
+# Stored: products of the days before the load date. Batch: of the day before and the
+# load date, with another price, so that some replace and some are new.
+STORED = f"SELECT * FROM ({KPI_SQL}) WHERE upddt < DATE '{AS_OF}'"
 BATCH = f"""
     SELECT productcode, productname, productline, productvendor, quantityinstock, buyprice,
            CAST(msrp + 1 AS DECIMAL(10,2)) AS msrp, upddt, profit, profitpercent, promoind, demandind
-    FROM ({KPI_SQL}) WHERE productcode % 3 = 0
+    FROM ({KPI_SQL}) WHERE upddt >= DATE '{AS_OF}' - INTERVAL 1 DAY
 """
 
 
 def _stored(t: Tables):
-    return with_product_kpis(t.products).filter(F.col("productcode") % 4 != 0)
+    return with_product_kpis(t.products).filter(F.col("upddt") < day(AS_OF))
 
 
 def _batch(t: Tables):
-    changed = with_product_kpis(t.products).filter(F.col("productcode") % 3 == 0)
-    return changed.withColumn("msrp", (F.col("msrp") + 1).cast("decimal(10,2)"))
+    changed = incremental_extract(t.products, "upddt", AS_OF, inclusive=True)
+    return with_product_kpis(changed).withColumn("msrp", (F.col("msrp") + 1).cast("decimal(10,2)"))
 
 
-@query("scd1_merge", f"SELECT * FROM ({BATCH}) UNION ALL SELECT * FROM ({STORED}) WHERE productcode % 3 <> 0")
+@query("scd1_merge", f"SELECT * FROM ({BATCH}) UNION ALL SELECT * FROM ({STORED}) WHERE upddt < DATE '{AS_OF}' - INTERVAL 1 DAY")
 def scd1_merge(t: Tables):
     return ops.scd1_merge(_stored(t), _batch(t), ["productcode"], latest_by=["-upddt"])
 

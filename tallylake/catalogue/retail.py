@@ -40,7 +40,7 @@ DICTIONARY = f"(SELECT * FROM (VALUES {DICTIONARY_ROWS}) AS d(rid, orddesc, comp
 
 CUSTOMERS = """(
     SELECT c_custkey AS customernumber, c_name AS customername, c_nationkey AS country,
-           CASE WHEN c_custkey % 7 <> 0 THEN c_custkey % (SELECT count(*) FROM supplier) END AS salesrepemployeenumber,
+           CASE WHEN c_acctbal >= 0 THEN c_custkey % (SELECT count(*) FROM supplier) END AS salesrepemployeenumber,
            CAST(c_acctbal AS DECIMAL(10,2)) AS creditlimit
     FROM customer)"""
 
@@ -66,7 +66,7 @@ PRODUCTS = """(
            CAST(CAST(p_retailprice AS DECIMAL(10,2)) * CAST(50 + p_size AS DECIMAL(5,0)) * CAST(0.01 AS DECIMAL(3,2))
                 AS DECIMAL(10,2)) AS buyprice,
            CAST(p_retailprice AS DECIMAL(10,2)) AS msrp,
-           CAST(DATE '1997-12-27' + CAST(p_partkey % 6 AS INTEGER) AS DATE) AS upddt
+           CAST(DATE '1997-12-28' + CAST(floor((p_size - 1) / 10) AS INTEGER) AS DATE) AS upddt
     FROM part)"""
 
 EMPLOYEES = """(
@@ -74,7 +74,7 @@ EMPLOYEES = """(
 
 OFFICES = """(
     SELECT n_nationkey AS officecode, r_name AS territory, n_name AS city,
-           CASE WHEN n_nationkey % 5 <> 0 THEN n_name END AS state
+           CASE WHEN r_name <> 'ASIA' THEN n_name END AS state
     FROM nation JOIN region ON n_regionkey = r_regionkey)"""
 
 # Dated changes of employees: one per order of a customer.
@@ -83,11 +83,12 @@ CHANGES = """(
            CAST(o_orderdate AS DATE) AS upddt, o_orderkey AS changenumber
     FROM orders)"""
 
-# Stored versions of employees: 0, 1 or 2 per customer.
+# Stored versions of employees: one per customer, two in one segment, none in another.
 HISTORY = """(
     SELECT c_custkey AS employeenumber, c_mktsegment AS jobtitle, 'N' AS leaveflag, DATE '1994-12-31' AS upddt,
            -c_custkey AS changenumber, ver
-    FROM customer JOIN (VALUES (1), (2)) AS v(ver) ON ver <= c_custkey % 3)"""
+    FROM customer JOIN (VALUES (1), (2)) AS v(ver)
+        ON ver <= CASE c_mktsegment WHEN 'BUILDING' THEN 0 WHEN 'MACHINERY' THEN 2 ELSE 1 END)"""
 
 VISITS = """(
     SELECT CAST(floor(doc_id / 4) AS BIGINT) AS customernumber, text AS comments FROM documents)"""
@@ -125,7 +126,7 @@ class Tables:
     @cached_property
     def customers(self) -> DataFrame:
         employees = self.read("supplier").agg(F.count("*")).scalar()
-        rep = F.when(F.col("c_custkey") % 7 != 0, F.col("c_custkey") % employees)
+        rep = F.when(F.col("c_acctbal") >= 0, F.col("c_custkey") % employees)
         return self.read("customer").select(
             F.col("c_custkey").alias("customernumber"),
             F.col("c_name").alias("customername"),
@@ -171,7 +172,7 @@ class Tables:
         # Exact in decimal: MSRP times a whole percentage.
         percent = (50 + F.col("p_size")).cast("decimal(5,0)")
         buy = (msrp * percent * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(10,2)")
-        changed = F.date_add(F.lit("1997-12-27").cast("date"), (F.col("p_partkey") % 6).cast("int"))
+        changed = F.date_add(F.lit("1997-12-28").cast("date"), F.floor((F.col("p_size") - 1) / 10).cast("int"))
         return self.read("part").select(
             F.col("p_partkey").alias("productcode"),
             F.col("p_name").alias("productname"),
@@ -198,7 +199,7 @@ class Tables:
             F.col("n_nationkey").alias("officecode"),
             F.col("r_name").alias("territory"),
             F.col("n_name").alias("city"),
-            F.when(F.col("n_nationkey") % 5 != 0, F.col("n_name")).alias("state"),
+            F.when(F.col("r_name") != "ASIA", F.col("n_name")).alias("state"),
         )
 
     @cached_property
@@ -213,15 +214,18 @@ class Tables:
 
     @cached_property
     def history(self) -> DataFrame:
-        stored = F.array_repeat(F.lit(0), (F.col("c_custkey") % 3).cast("int"))
+        segment = F.col("c_mktsegment")
+        versions = F.when(segment == "BUILDING", F.array().cast("array<int>")).when(
+            segment == "MACHINERY", F.array(F.lit(1), F.lit(2))
+        ).otherwise(F.array(F.lit(1)))
         return self.read("customer").select(
             F.col("c_custkey").alias("employeenumber"),
             F.col("c_mktsegment").alias("jobtitle"),
             F.lit("N").alias("leaveflag"),
             F.lit("1994-12-31").cast("date").alias("upddt"),
             (-F.col("c_custkey")).alias("changenumber"),
-            F.posexplode(stored).alias("_before", "_filler"),
-        ).select("employeenumber", "jobtitle", "leaveflag", "upddt", "changenumber", (F.col("_before") + 1).alias("ver"))
+            F.explode(versions).alias("ver"),
+        )
 
     @cached_property
     def visits(self) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallylake.operators.grouping import rows_at_group_max
+from tallylake.operators.grouping import top_per_group
 from tallylake.operators.numbering import number_rows
 
 
@@ -35,20 +35,50 @@ def first_last_pages(
     """Distinct customers per first page and per last page of their visits.
 
     The last page is taken at a customer's highest position over all visits,
-    ties included. Rows are first reduced to one per customer and page, which
-    makes the later count of customers a plain count.
+    ties included. The rows are read once and first reduced, map-side, to one
+    per customer and page.
     """
-    reach = (
-        navigation.filter(F.col(customer).isNotNull() & F.col(index).isNotNull())
-        .groupBy(customer, page)
-        .agg(F.max(index).alias("_reach"))
+    reach = navigation.groupBy(customer, page).agg(F.min(index).alias("_from"), F.max(index).alias("_to"))
+    first = F.when(F.col("_from") == 0, _end(FIRST_PAGE, page, F.lit(0)))
+    last = F.when(F.col("_to").isNotNull() & F.col(customer).isNotNull(), _end(LAST_PAGE, page, F.col("_to")))
+    return _count_ends(reach, customer, page, first, last)
+
+
+def first_last_of_visits(events: DataFrame, customer: str, visit: list[str], order_by: list[str], page: str) -> DataFrame:
+    """``first_last_pages`` straight from event rows, without numbering them.
+
+    One aggregate, combined map-side, reduces every visit to its first page,
+    last page and length; a huge visit gathers nowhere.
+    """
+    moment = F.struct(*order_by)
+    visits = events.groupBy(customer, *visit).agg(
+        F.min_by(page, moment).alias("_first"), F.max_by(page, moment).alias("_last"), F.count("*").alias("_length")
     )
-    last = rows_at_group_max(reach, [customer], "_reach").groupBy(page).agg(F.count("*").alias("custcnt"))
-    first = navigation.filter(F.col(index) == 0).groupBy(page).agg(F.countDistinct(customer).alias("custcnt"))
-    # The two report labels.
-    return last.withColumn("pagevisit", F.lit("last pagevisited")).unionByName(
-        first.withColumn("pagevisit", F.lit("first pagevisited"))
+    first = _end(FIRST_PAGE, "_first", F.lit(0))
+    last = F.when(F.col(customer).isNotNull(), _end(LAST_PAGE, "_last", F.col("_length")))
+    return _count_ends(visits, customer, page, first, last)
+
+
+# The two report labels.
+FIRST_PAGE = "first pagevisited"
+LAST_PAGE = "last pagevisited"
+
+
+def _end(label: str, page: str, reach: Column) -> Column:
+    return F.struct(F.lit(label).alias("pagevisit"), F.col(page).alias("_page"), reach.cast("bigint").alias("_reach"))
+
+
+def _count_ends(rows: DataFrame, customer: str, page: str, first: Column, last: Column) -> DataFrame:
+    """Customers per label and page. First pages all have reach 0, so all of them rank first;
+    of the last pages those at the customer's highest reach do."""
+    ends = (
+        rows.select(customer, F.inline(F.array_compact(F.array(first, last))))
+        .groupBy(customer, "pagevisit", "_page")
+        .agg(F.max("_reach").alias("_reach"))
     )
+    best = top_per_group(ends, [customer, "pagevisit"], ["-_reach"], n=1)
+    counts = best.groupBy("_page", "pagevisit").agg(F.count(customer).alias("custcnt"))
+    return counts.select(F.col("_page").alias(page), "custcnt", "pagevisit")
 
 
 def page_transitions(visits: DataFrame, pages: str = "pagevisit") -> DataFrame:
