@@ -38,8 +38,10 @@ def read_csv(t: Tables):
 def write_csv(t: Tables):
     """Text with delimiters, quotes and line breaks inside values."""
     path = scratch_path(t.spark, "csv")
-    file_sinks.write_csv(t.read("documents"), path, delimiter="|", header=True)
-    return file_sources.read_csv(t.spark, path, DOCUMENT_SCHEMA, delimiter="|", header=True, multiline=True)
+    file_sinks.write_csv(t.read("documents"), path, delimiter="|", header=True, null_text="\\N")
+    return file_sources.read_csv(
+        t.spark, path, DOCUMENT_SCHEMA, delimiter="|", header=True, multiline=True, null_text="\\N"
+    )
 
 
 @query("write_json", f"SELECT * FROM {PAYMENTS}")

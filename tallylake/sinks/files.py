@@ -23,12 +23,21 @@ def write_json(df: DataFrame, path: str, mode: str = "overwrite", compacted: boo
 
 
 def write_csv(
-    df: DataFrame, path: str, mode: str = "overwrite", delimiter: str = ",", header: bool = False, compacted: bool = False
+    df: DataFrame,
+    path: str,
+    mode: str = "overwrite",
+    delimiter: str = ",",
+    header: bool = False,
+    compacted: bool = False,
+    null_text: str = "",
 ) -> None:
-    """Delimited text. Quotes are doubled and blanks kept, so any value reads back unchanged."""
+    """Delimited text. Quotes are doubled and blanks kept, so values read back unchanged.
+
+    Give a ``null_text`` (to the reader too) where empty strings must not become NULL.
+    """
     (compact(df) if compacted else df).write.mode(mode).csv(
         path, sep=delimiter, header=header, quote='"', escape='"',
-        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, nullValue=null_text,
     )
 
 

@@ -31,14 +31,20 @@ def read_csv(
     header: bool = False,
     infer: bool = False,
     multiline: bool = False,
+    null_text: str = "",
 ) -> DataFrame:
-    """Delimited text. ``multiline`` reads quoted values that hold line breaks."""
+    """Delimited text.
+
+    ``multiline`` reads quoted values that hold line breaks; each file is then
+    read by one task. ``null_text`` is what stands for NULL: with the default,
+    an empty string cannot be told from NULL.
+    """
     if schema is None and not infer and not header:
         raise ValueError("give a schema, a header or ask for inference")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.csv(
         path, sep=delimiter, header=header, inferSchema=infer if schema is None else None,
-        multiLine=multiline, quote='"', escape='"',
+        multiLine=multiline, quote='"', escape='"', nullValue=null_text,
     )
 
 
@@ -50,23 +56,25 @@ def read_csv_with_rejects(
     header: bool = False,
     reject_column: str = "wrong_data",
 ) -> DataFrame:
-    """Permissive read: a line that does not fit the schema is kept whole in ``wrong_data``."""
-    fields = T.StructType.fromDDL(schema).add(reject_column, "string")
-    return spark.read.schema(fields).csv(
+    """Permissive read: a line that does not fit the schema is kept whole in ``wrong_data``.
+
+    Spark parses only the columns a query needs, and would then miss a bad value
+    in any other. The always true test over all columns makes every use of the
+    reject column parse the whole line.
+    """
+    data = T.StructType.fromDDL(schema)
+    rows = spark.read.schema(T.StructType(data.fields).add(reject_column, "string")).csv(
         path, sep=delimiter, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=reject_column,
         quote='"', escape='"',
     )
+    all_parsed = F.concat_ws("", *[F.col(name).cast("string") for name in data.names]) >= ""
+    return rows.withColumn(reject_column, F.when(all_parsed, F.col(reject_column)))
 
 
 def split_rejects(rows: DataFrame, reject_column: str = "wrong_data") -> tuple[DataFrame, DataFrame]:
-    """Good rows without the reject column, and the raw rejected lines.
-
-    The lines are selected beside a data column: Spark refuses a scan of the
-    reject column alone, because pruning would leave nothing to parse.
-    """
+    """Good rows without the reject column, and the rows that carry a rejected line."""
     good = rows.filter(F.col(reject_column).isNull()).drop(reject_column)
-    bad = rows.filter(F.col(reject_column).isNotNull())
-    return good, bad
+    return good, rows.filter(F.col(reject_column).isNotNull())
 
 
 READERS = {"json": read_json, "csv": read_csv}

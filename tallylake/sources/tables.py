@@ -25,7 +25,13 @@ def read_table_if_exists(spark: SparkSession, database: str, table: str) -> Data
 
 
 def external_delimited_table(
-    spark: SparkSession, name: str, schema: str, location: str, delimiter: str = ",", multiline: bool = False
+    spark: SparkSession,
+    name: str,
+    schema: str,
+    location: str,
+    delimiter: str = ",",
+    multiline: bool = False,
+    null_text: str = "",
 ) -> DataFrame:
     """Declare a delimited-text table over files that exist outside the catalog.
 
@@ -33,8 +39,8 @@ def external_delimited_table(
     table leaves the files.
     """
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in T.StructType.fromDDL(schema))
-    options = {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": str(multiline).lower()}
-    listed = ", ".join(f"'{key}' '{value}'" for key, value in options.items())
+    options = {"sep": delimiter, "quote": '"', "escape": '"', "multiLine": str(multiline).lower(), "nullValue": null_text}
+    listed = ", ".join(f"'{key}' r'{value}'" for key, value in options.items())
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING csv OPTIONS ({listed}) LOCATION '{location}'")
     return spark.read.table(name)
 
