@@ -44,11 +44,13 @@ def write_csv(t: Tables):
     )
 
 
-@query("write_json", f"SELECT * FROM {PAYMENTS}")
+@query("write_json", "SELECT event_type AS navigation_pg, count(DISTINCT user_id) AS custcnt FROM events GROUP BY event_type")
 def write_json(t: Tables):
-    path = file_sinks.dated_path(scratch_path(t.spark, "payments") + "_", date.fromisoformat(AS_OF))
-    file_sinks.write_json(t.payments, path, compacted=True)
-    return file_sources.read_json(t.spark, path, PAYMENT_SCHEMA)
+    """A report in a single file under a dated path."""
+    report = t.event_pages.groupBy("navigation_pg").agg(F.countDistinct("customernumber").alias("custcnt"))
+    path = file_sinks.dated_path(scratch_path(t.spark, "report") + "_", date.fromisoformat(AS_OF))
+    file_sinks.write_json(report, path, compacted=True)
+    return file_sources.read_json(t.spark, path, "navigation_pg string, custcnt bigint")
 
 
 @query(

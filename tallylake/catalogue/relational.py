@@ -364,10 +364,9 @@ def rank_with_ties(t: Tables):
 )
 def row_number_versioning(t: Tables):
     orders = t.orders.select("customernumber", "ordernumber", "orderdate")
-    numbered = number_rows(orders, ["customernumber"], ["orderdate", "ordernumber"], "ver")
-    highest = t.history.groupBy(F.col("employeenumber").alias("customernumber")).agg(F.max("ver").alias("max_ver"))
-    ver = F.col("ver") + F.coalesce("max_ver", F.lit(0))
-    return numbered.join(highest, "customernumber", "left").select("customernumber", "ordernumber", ver.alias("ver"))
+    highest = t.history.groupBy(F.col("employeenumber").alias("customernumber")).agg(F.max("ver").alias("ver"))
+    numbered = number_rows(orders, ["customernumber"], ["orderdate", "ordernumber"], "ver", start_after=highest)
+    return numbered.select("customernumber", "ordernumber", "ver")
 
 
 @query(

@@ -35,12 +35,10 @@ def scd2_append_versions(
     Only the key and version columns of ``history`` are read. History rows are
     never altered; an empty or missing history is an initial load.
     """
-    numbered = scd2_initial_load(changes, keys, order_by, ver, max_group=max_group, strategy=strategy)
-    if history is None:
-        return numbered
-    highest = history.groupBy(*keys).agg(F.max(ver).alias("_highest"))
-    next_ver = (F.col(ver) + F.coalesce(F.col("_highest"), F.lit(0))).cast("int")
-    return numbered.join(highest, keys, "left").withColumn(ver, next_ver).select(*numbered.columns)
+    highest = None if history is None else history.groupBy(*keys).agg(F.max(ver).alias(ver))
+    return scd2_initial_load(
+        changes, keys, order_by, ver, max_group=max_group, strategy=strategy, start_after=highest
+    )
 
 
 def scd2_current(history: DataFrame, keys: list[str], ver: str = "ver") -> DataFrame:

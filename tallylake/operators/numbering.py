@@ -40,9 +40,13 @@ def number_rows(
     out: str = "row_num",
     max_group: int = MAX_GROUP,
     strategy: str = "auto",
+    start_after: DataFrame | None = None,
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order_by)`` as a bigint.
 
+    With ``start_after`` (columns: the keys and ``out``, one row per group) a
+    group continues from the number given there; other groups start at 1.
+
     ``auto`` first runs one aggregate over the key columns alone to find groups
     above ``max_group``; ``window`` and ``range`` choose a way without looking.
     Give a total order (end it with a unique column) for a repeatable result.
@@ -50,10 +54,11 @@ def number_rows(
 
     def by_window(rows: DataFrame) -> DataFrame:
         window = Window.partitionBy(*keys).orderBy(*order_columns(order_by))
-        return rows.withColumn(out, F.row_number().over(window).cast("bigint"))
+        numbered = rows.withColumn(out, F.row_number().over(window).cast("bigint"))
+        return numbered if start_after is None else _add_start(numbered, start_after, keys, out)
 
     def by_range(rows: DataFrame, total: int) -> DataFrame:
-        return _number_by_range(rows, keys, order_columns(order_by), out, total, max_group)
+        return _number_by_range(rows, keys, order_columns(order_by), out, total, max_group, start_after)
 
     return _choose(df, keys, max_group, strategy, by_window, by_range)
 
@@ -105,18 +110,24 @@ def _choose(df, keys, max_group, strategy, by_window, by_range):
         total = df.count()
         return by_range(df, total) if total > max_group else by_window(df)
 
-    # At most (rows / max_group) groups can be this large.
-    large = df.groupBy(*keys).agg(F.count("*").alias("_rows")).filter(F.col("_rows") > max_group)
+    # At most (rows / max_group) groups can be this large; usually none is.
+    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
+    large = stage(sizes.filter(F.col("_rows") > max_group), "large-groups")
     if large.isEmpty():
         return by_window(df)
-    large = stage(large, "large-groups")
     total = large.agg(F.sum("_rows")).first()[0]
     ordinary = join_null_safe(df, large.drop("_rows"), keys, "left_anti")
     oversized = join_null_safe(df, large.drop("_rows"), keys, "left_semi")
     return by_window(ordinary).unionByName(by_range(oversized, total))
 
 
-def _number_by_range(df, keys, order, out, total, rows_per_task):
+def _add_start(numbered, start_after, keys, out):
+    start = start_after.select(*keys, F.col(out).alias("_start"))
+    number = F.col(out) + F.coalesce(F.col("_start"), F.lit(0))
+    return numbered.join(start, keys, "left").withColumn(out, number.cast("bigint")).select(*numbered.columns)
+
+
+def _number_by_range(df, keys, order, out, total, rows_per_task, start_after=None):
     spark = df.sparkSession
     parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / rows_per_task))
     ranged = (
@@ -136,6 +147,10 @@ def _number_by_range(df, keys, order, out, total, rows_per_task):
     pieces = placed.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    shifts = pieces.select(*keys, "_part", (before - F.col("_first") + 1).alias("_shift"))
+    shifts = pieces.select(*keys, "_part", (before - F.col("_first") + 1).alias(out))
+    if start_after is not None:
+        # Joined to the few pieces, so the rows of a hot group are not shuffled for it.
+        shifts = _add_start(shifts, start_after, keys, out)
+    shifts = shifts.withColumnRenamed(out, "_shift")
     located = join_null_safe(placed, stage(shifts, "range-offsets"), [*keys, "_part"], "inner")
     return located.withColumn(out, F.col("_row") + F.col("_shift")).drop("_part", "_row", "_shift")
