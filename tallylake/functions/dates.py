@@ -18,10 +18,15 @@ def in_date_range(column: Column, start: date | str, end: date | str) -> Column:
     return (column >= day(start)) & (column < day(end))
 
 
+def months(year: int, first_month: int = 1, last_month: int = 12) -> tuple[date, date]:
+    """First day of the first month, and first day after the last month."""
+    after = date(year, last_month, 28) + timedelta(days=4)
+    return date(year, first_month, 1), after.replace(day=1)
+
+
 def in_months(column: Column, year: int, first_month: int = 1, last_month: int = 12) -> Column:
     """Same rows as ``year(c) = y and month(c) between a and b``, but pushed down."""
-    after = date(year, last_month, 28) + timedelta(days=4)
-    return in_date_range(column, date(year, first_month, 1), after.replace(day=1))
+    return in_date_range(column, *months(year, first_month, last_month))
 
 
 def changed_since(column: Column, as_of: date | str | None, days: int = 1, inclusive: bool = False) -> Column:

@@ -39,6 +39,9 @@ def match_keywords(
     ``wildcards`` lets ``%`` and ``_`` inside keywords act as in LIKE; a larger
     dictionary is then taken in hashed slices of the small size.
     """
+    shared = set(texts.columns) & set(dictionary.columns)
+    if shared:
+        raise ValueError(f"texts and dictionary share the columns {sorted(shared)}")
     probe = dictionary.limit(small_entries + 1).agg(
         F.count("*").alias("entries"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
     )

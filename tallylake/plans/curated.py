@@ -24,7 +24,12 @@ def customer_payments(
 ) -> DataFrame:
     """Customers joined with their payments of the given months, stamped with the load date."""
     paid = payments.filter(in_months(F.col("paymentdate"), year, first_month, last_month))
-    return customers.join(paid, "customernumber").select(
+    return stamped_payments(customers.join(paid, "customernumber"), as_of)
+
+
+def stamped_payments(joined: DataFrame, as_of: date | str | None = None) -> DataFrame:
+    """The payment columns of an already joined frame, with the load date."""
+    return joined.select(
         "customernumber",
         F.upper("customername").alias("custname"),
         "country",
@@ -47,7 +52,12 @@ def order_lines(
 ) -> DataFrame:
     """Orders of the given months joined with their lines, stamped with the load date."""
     placed = orders.filter(in_months(F.col("orderdate"), year, first_month, last_month))
-    return placed.join(details, "ordernumber").select(
+    return stamped_lines(placed.join(details, "ordernumber"), as_of)
+
+
+def stamped_lines(joined: DataFrame, as_of: date | str | None = None) -> DataFrame:
+    """The line columns of an already joined frame, with the load date."""
+    return joined.select(
         "customernumber",
         "ordernumber",
         "orderdate",

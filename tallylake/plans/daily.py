@@ -26,14 +26,17 @@ from tallylake.sources.tables import read_table, read_table_if_exists
 
 @dataclass(frozen=True)
 class RetailSources:
-    """Source frames, from JDBC or files. ``visits`` holds customernumber, comments and pagevisit."""
+    """Source frames, from files or databases.
+
+    ``customer_payments`` and ``order_lines`` come from ``curated`` (joined by
+    Spark) or from ``extracts`` (joined by the database). ``visits`` holds
+    customernumber, comments and pagevisit.
+    """
 
     employees: DataFrame
     offices: DataFrame
-    customers: DataFrame
-    payments: DataFrame
-    orders: DataFrame
-    orderdetails: DataFrame
+    customer_payments: DataFrame
+    order_lines: DataFrame
     products: DataFrame
     visits: DataFrame
     dictionary: DataFrame
@@ -52,8 +55,6 @@ def run_day(
     spark: SparkSession,
     sources: RetailSources,
     as_of: date,
-    year: int,
-    first_month: int,
     report_prefix: str,
     zones: Zones = Zones(),
     location: str | None = None,
@@ -68,7 +69,7 @@ def run_day(
     """
     prepare_zones(spark, [zones.dim], [zones.curated, zones.discovery], location)
     load_dimensions(spark, sources, as_of, zones)
-    load_curated(spark, sources, as_of, year, first_month, report_prefix, zones)
+    load_curated(spark, sources, as_of, report_prefix, zones)
     load_discovery(spark, sources, as_of, zones, export)
 
 
@@ -87,15 +88,12 @@ def load_dimensions(spark: SparkSession, sources: RetailSources, as_of: date, zo
     publish_snapshot(products, zones.dim, "hive_products")
 
 
-def load_curated(
-    spark: SparkSession, sources: RetailSources, as_of: date, year: int, first_month: int, report_prefix: str, zones: Zones
-) -> None:
-    payments = curated.customer_payments(sources.customers, sources.payments, year, first_month, as_of=as_of)
-    write_table_partitioned(payments, f"{zones.curated}.custpayments", ["datadt"])
+def load_curated(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:
+    write_table_partitioned(sources.customer_payments, f"{zones.curated}.custpayments", ["datadt"])
 
-    lines = curated.order_lines(sources.orders, sources.orderdetails, year, first_month, as_of=as_of)
     products = read_table(spark, f"{zones.dim}.hive_products")
-    write_table_partitioned(curated.orders_products(products, lines), f"{zones.curated}.ordersproducts", ["datadt"])
+    joined = curated.orders_products(products, sources.order_lines)
+    write_table_partitioned(joined, f"{zones.curated}.ordersproducts", ["datadt"])
 
     navigation_table = f"{zones.curated}.cust_navigation"
     write_table(explode_pages(sources.visits, ["customernumber"]), navigation_table)

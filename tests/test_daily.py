@@ -1,6 +1,7 @@
 from datetime import date
 from decimal import Decimal as D
 
+from tallylake.plans import curated
 from tallylake.plans.daily import RetailSources, Zones, run_day
 from tallylake.sources.files import read_json
 from tallylake.sources.tables import read_table
@@ -18,21 +19,27 @@ def sources(spark, day):
             "employeenumber int, email string, officecode string, upddt date",
         ),
         offices=make([("1", "CA"), ("1", "CA")], "officecode string, state string"),
-        customers=make(
-            [(10, "Signal", "USA", 1, D("5.00")), (11, "Atelier", "France", 2, D("6.00"))],
-            "customernumber int, customername string, country string, salesrepemployeenumber int, creditlimit decimal(10,2)",
+        customer_payments=curated.customer_payments(
+            make(
+                [(10, "Signal", "USA", 1, D("5.00")), (11, "Atelier", "France", 2, D("6.00"))],
+                "customernumber int, customername string, country string, salesrepemployeenumber int, creditlimit decimal(10,2)",
+            ),
+            make(
+                [(10, "A", date(2022, 10, 3), D("8.00")), (11, "B", date(2022, 10, 4), D("3.00"))],
+                "customernumber int, checknumber string, paymentdate date, amount decimal(10,2)",
+            ),
+            2022, 7, as_of=day,
         ),
-        payments=make(
-            [(10, "A", date(2022, 10, 3), D("8.00")), (11, "B", date(2022, 10, 4), D("3.00"))],
-            "customernumber int, checknumber string, paymentdate date, amount decimal(10,2)",
-        ),
-        orders=make(
-            [(100, 10, date(2022, 10, 1), None, "Shipped", None)],
-            "ordernumber int, customernumber int, orderdate date, shippeddate date, status string, comments string",
-        ),
-        orderdetails=make(
-            [(100, "p1", 3, D("2.50"), 1)],
-            "ordernumber int, productcode string, quantityordered int, priceeach decimal(10,2), orderlinenumber int",
+        order_lines=curated.order_lines(
+            make(
+                [(100, 10, date(2022, 10, 1), None, "Shipped", None)],
+                "ordernumber int, customernumber int, orderdate date, shippeddate date, status string, comments string",
+            ),
+            make(
+                [(100, "p1", 3, D("2.50"), 1)],
+                "ordernumber int, productcode string, quantityordered int, priceeach decimal(10,2), orderlinenumber int",
+            ),
+            2022, 7, as_of=day,
         ),
         products=make(
             [("p1", 2000, D("10.00"), D("20.00"), day), ("p2", 10, D("1.00"), D("9.00"), DAY)],
@@ -51,7 +58,7 @@ def test_two_days(spark):
     zones = Zones("day_dim", "day_curated", "day_discovery")
     exported = []
     for day in (DAY, NEXT):
-        run_day(spark, sources(spark, day), day, 2022, 7, f"{base}/first_last_page", zones, base, export=exported.append)
+        run_day(spark, sources(spark, day), day, f"{base}/first_last_page", zones, base, export=exported.append)
 
     def rows(name, *columns):
         return sorted(tuple(r) for r in read_table(spark, name).select(*(columns or "*")).collect())

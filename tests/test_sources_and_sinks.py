@@ -4,6 +4,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tallylake.plans import extracts
 from tallylake.sinks import files as out
 from tallylake.sinks import tables as sinks
 from tallylake.sinks.jdbc import write_jdbc
@@ -174,8 +175,8 @@ def test_slices_cover_every_key_once(spark):
 class Recorder:
     """Stands in for Spark's reader and writer and keeps the options given."""
 
-    def __init__(self, row=None):
-        self.calls, self.row = [], row
+    def __init__(self, row=None, rows=None):
+        self.calls, self.row, self.rows = [], row, rows
 
     @property
     def read(self):
@@ -191,7 +192,8 @@ class Recorder:
         return self
 
     def load(self):
-        return self
+        """The bounds query comes first where a row is given; the data after it."""
+        return self.rows if self.rows is not None and len(self.calls) > 1 else self
 
     def first(self):
         return self.row
@@ -208,6 +210,28 @@ def test_partitioned_read_asks_for_the_key_range():
     assert (read["lowerBound"], read["upperBound"], read["numPartitions"]) == ("103", "496", "4")
 
 
+def test_extracts_leave_joins_and_filters_to_the_database(spark):
+    rows = spark.createDataFrame(
+        [(1, "Signal", "USA", 7, "A", date(2022, 7, 1))],
+        "customernumber int, customername string, country string, salesrepemployeenumber int, checknumber string, paymentdate date",
+    ).withColumns({"creditlimit": F.lit(1), "amount": F.lit(2)})
+    reader = Recorder((103, 496), rows)
+    out_rows = extracts.customer_payments(reader, DB, 2022, 7, as_of="2022-11-01").collect()
+    bounds, read = reader.calls
+    assert read["partitionColumn"] == "customernumber" and (read["lowerBound"], read["upperBound"]) == ("103", "496")
+    assert "p.paymentdate >= date '2022-07-01' and p.paymentdate < date '2023-01-01'" in read["dbtable"]
+    assert bounds["dbtable"].startswith("(select min(customernumber)") and read["dbtable"] in bounds["dbtable"]
+    assert (out_rows[0].custname, out_rows[0].datadt) == ("SIGNAL", date(2022, 11, 1))
+
+    reader = Recorder()
+    extracts.changed_rows(reader, DB, "employees", date(2022, 11, 1))
+    extracts.changed_rows(reader, DB, "products", date(2022, 11, 1), inclusive=True)
+    assert [call["dbtable"] for call in reader.calls] == [
+        "(select * from employees where upddt > date '2022-10-31') changed",
+        "(select * from products where upddt >= date '2022-10-31') changed",
+    ]
+
+
 def test_partitioned_read_of_an_empty_table():
     spark = Recorder((None, None))
     jdbc.read_jdbc_partitioned(spark, DB, "payments", "customernumber", 4)
