@@ -8,30 +8,31 @@ from pyspark.sql import functions as F
 from tallylake.operators.numbering import order_columns
 
 
-def rows_at_group_max(df: DataFrame, keys: list[str], value: str) -> DataFrame:
-    """All rows whose ``value`` equals the maximum of their group, ties included.
-
-    An aggregate (combined map-side) and an equi-join on keys *and* value, so
-    the rows of a hot group spread over their values instead of one task.
-    NULL keys match nothing, as in the self-join this stands for.
-    """
-    best = df.groupBy(*keys).agg(F.max(value).alias(value))
-    return df.join(best, [*keys, value], "inner").select(*df.columns)
-
-
 def top_per_group(
     df: DataFrame, keys: list[str], order_by: list[str], n: int = 1, ties: bool = True, out: str = "rnk"
 ) -> DataFrame:
     """The first ``n`` rows of each group; with ``ties`` all rows of rank <= n.
 
     Catalyst turns the rank filter into a group limit below the shuffle, so
-    only about n rows per group leave each map task.
+    only about n rows per group leave each map task, however large the group.
     """
     window = Window.partitionBy(*keys).orderBy(*order_columns(order_by))
     number = F.rank() if ties else F.row_number()
     return df.withColumn(out, number.over(window)).filter(F.col(out) <= n).withColumn(out, F.col(out).cast("bigint"))
 
 
+def rows_at_group_max(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """All rows whose ``value`` equals the maximum of their group, ties included.
+
+    Rank 1 by falling value: one pass, where a self-join on the maximum would
+    read and shuffle the rows twice. As in that join, NULL keys match nothing.
+    """
+    present = F.col(value).isNotNull()
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    return top_per_group(df.filter(present), keys, [f"-{value}"], out="_best").drop("_best")
+
+
 def top_n(df: DataFrame, order_by: list[str], n: int) -> DataFrame:
     """The first ``n`` rows overall: each task keeps n, the driver side merges them."""
     return df.orderBy(*order_columns(order_by)).limit(n)

@@ -83,7 +83,8 @@ def rank_rows(
         spread = [*order_columns(order_by), F.xxhash64(*rows.columns).asc()]
         numbered = _number_by_range(rows, keys, spread, "_position", total, max_group)
         tied = [*keys, *order_names(order_by)]
-        first = numbered.groupBy(*tied).agg(F.min("_position").alias(out))
+        # Staged, so that a few distinct values are broadcast by their real size.
+        first = stage(numbered.groupBy(*tied).agg(F.min("_position").alias(out)), "first-of-ties")
         return join_null_safe(numbered, first, tied, "inner").drop("_position")
 
     return _choose(df, keys, max_group, strategy, by_window, by_range)
