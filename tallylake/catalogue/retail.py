@@ -12,6 +12,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallylake.operators.layout import spread_scan
 from tallylake.workspace import shared_dir
 
 # The load date of every dated query.
@@ -227,17 +228,21 @@ class Tables:
             F.explode(versions).alias("ver"),
         )
 
+    @cached_property
+    def documents(self) -> DataFrame:
+        return spread_scan(self.read("documents").select("doc_id", "text"))
+
     @cached_property
     def visits(self) -> DataFrame:
         """Four documents are the comments of one customer."""
-        return self.read("documents").select(
+        return self.documents.select(
             F.floor(F.col("doc_id") / 4).alias("customernumber"), F.col("text").alias("comments")
         )
 
     @cached_property
     def paths(self) -> DataFrame:
         """Documents as visits: the words of the text are the pages of the path."""
-        return self.read("documents").select("doc_id", F.split("text", " ").alias("pagevisit"))
+        return self.documents.select("doc_id", F.split("text", " ").alias("pagevisit"))
 
     @cached_property
     def event_pages(self) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -64,10 +67,12 @@ def load_file_overwrite(file_rows: DataFrame, name: str) -> None:
         write_table(file_rows, name)
 
 
-def snapshot_versions(spark: SparkSession, database: str, name: str) -> list[int]:
-    prefix = f"{name}_v".lower()
-    tables = [t.name.lower() for t in spark.catalog.listTables(database, f"{prefix}*")]
-    return sorted(int(t[len(prefix):]) for t in tables if t[len(prefix):].isdigit())
+def snapshot_tables(spark: SparkSession, database: str, name: str) -> list[tuple[int, str]]:
+    """Version and table name of the stored snapshots, oldest first."""
+    pattern = re.compile(rf"{re.escape(name.lower())}_v(\d+)_[0-9a-f]{{8}}")
+    tables = [t.name for t in spark.catalog.listTables(database, f"{name}_v*")]
+    found = [(pattern.fullmatch(t.lower()), t) for t in tables]
+    return sorted((int(match.group(1)), table) for match, table in found if match)
 
 
 def publish_snapshot(df: DataFrame, database: str, name: str, keep: int = 2) -> int:
@@ -75,13 +80,16 @@ def publish_snapshot(df: DataFrame, database: str, name: str, keep: int = 2) ->
 
     Readers use the view ``database.name``. ``df`` may be computed from the
     current version: that one is left alone, and the view is switched only when
-    the new files are complete. The newest ``keep`` versions remain.
+    the new files are complete. A load that failed half-way left files under a
+    name no other load takes, so it can simply be repeated. The newest ``keep``
+    versions remain.
     """
     spark = df.sparkSession
-    versions = snapshot_versions(spark, database, name)
-    version = (versions[-1] if versions else 0) + 1
-    df.write.saveAsTable(f"{database}.{name}_v{version}")
-    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {database}.{name}_v{version}")
-    for old in versions[: max(0, len(versions) + 1 - keep)]:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{name}_v{old}")
+    stored = snapshot_tables(spark, database, name)
+    version = (stored[-1][0] if stored else 0) + 1
+    table = f"{database}.{name}_v{version}_{uuid.uuid4().hex[:8]}"
+    df.write.saveAsTable(table)
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{name} AS SELECT * FROM {table}")
+    for _, old in stored[: max(0, len(stored) + 1 - keep)]:
+        spark.sql(f"DROP TABLE IF EXISTS {database}.{old}")
     return version

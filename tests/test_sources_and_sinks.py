@@ -133,7 +133,7 @@ def test_overwriting_a_table_being_read_is_refused_but_a_snapshot_works(spark, d
         current = read_table(spark, f"{db}.dim")
         assert sinks.publish_snapshot(current.withColumn("id", F.col("id") + 1), db, "dim") == expected
     assert sorted(r.id for r in read_table(spark, f"{db}.dim").collect()) == [3, 4, 5]
-    assert sinks.snapshot_versions(spark, db, "dim") == [3, 4]
+    assert [version for version, _ in sinks.snapshot_tables(spark, db, "dim")] == [3, 4]
 
 
 def test_external_table_over_files(spark, db, awkward, tmp_path):
