@@ -24,19 +24,3 @@ def optimize_layout(
     elif by:
         df = df.repartition(*by)
     return df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df
-
-
-FEW_SPLITS = 16
-
-
-def spread_scan(scan: DataFrame) -> DataFrame:
-    """Spread a small file scan over all cores, ahead of work that is heavy per row.
-
-    Only a scan of at most ``FEW_SPLITS`` splits, and of no more than half as
-    many as there are cores, is repartitioned. That bounds what is shuffled to
-    a few file splits; any larger scan is returned as it is. For plain scans:
-    the split count then comes from planning alone.
-    """
-    splits = scan.rdd.getNumPartitions()
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if splits <= min(FEW_SPLITS, cores // 2) else scan
