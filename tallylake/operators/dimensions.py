@@ -29,13 +29,23 @@ def scd2_append_versions(
     ver: str = "ver",
     max_group: int = MAX_GROUP,
     strategy: str = "auto",
+    prune_history: bool = False,
 ) -> DataFrame:
     """The rows to append: each change numbered on from the key's highest version.
 
     Only the key and version columns of ``history`` are read. History rows are
     never altered; an empty or missing history is an initial load.
+
+    ``prune_history`` is for a batch that is small against the history: the
+    versions of other keys are dropped before they are aggregated. Where the
+    batch is within Spark's broadcast size, the history is then not shuffled.
     """
-    highest = None if history is None else history.groupBy(*keys).agg(F.max(ver).alias(ver))
+    highest = None
+    if history is not None:
+        versions = history.select(*keys, ver)
+        if prune_history:
+            versions = versions.join(changes.select(*keys), keys, "left_semi")
+        highest = versions.groupBy(*keys).agg(F.max(ver).alias(ver))
     return scd2_initial_load(
         changes, keys, order_by, ver, max_group=max_group, strategy=strategy, start_after=highest
     )

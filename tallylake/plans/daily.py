@@ -21,7 +21,8 @@ from tallylake.sinks.tables import (
     write_table,
     write_table_partitioned,
 )
-from tallylake.sources.tables import read_table, read_table_if_exists
+from tallylake.sources.tables import incremental_extract, read_table, read_table_if_exists
+from tallylake.workspace import stage
 
 
 @dataclass(frozen=True)
@@ -74,8 +75,10 @@ def run_day(
 
 
 def load_dimensions(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones) -> None:
+    # Staged once: the plans below read the changes several times, and must see the same.
+    employees = stage(incremental_extract(sources.employees, "upddt", as_of), "employees")
     history = read_table_if_exists(spark, zones.dim, "hive_employees")
-    versions = dimensions.employee_dimension(sources.employees, history, as_of)
+    versions = dimensions.employee_dimension(employees, history, as_of)
     if history is None:
         write_table(versions, f"{zones.dim}.hive_employees")
     else:
@@ -83,9 +86,10 @@ def load_dimensions(spark: SparkSession, sources: RetailSources, as_of: date, zo
 
     write_table(dimensions.office_dimension(sources.offices), f"{zones.dim}.offices_raw")
 
+    products = stage(incremental_extract(sources.products, "upddt", as_of, inclusive=True), "products")
     existing = read_table_if_exists(spark, zones.dim, "hive_products")
-    products = dimensions.product_dimension(sources.products, existing, as_of, latest_by=["-upddt"])
-    publish_snapshot(products, zones.dim, "hive_products")
+    merged = dimensions.product_dimension(products, existing, as_of, latest_by=["-upddt"])
+    publish_snapshot(merged, zones.dim, "hive_products")
 
 
 def load_curated(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:

@@ -1,4 +1,9 @@
-"""Employee, office and product dimensions."""
+"""Employee, office and product dimensions.
+
+The batch of changes is read more than once. Stage it first (``workspace.stage``)
+when it comes from a live database, as ``daily`` does: a row that changes between
+two reads could otherwise be lost.
+"""
 
 from __future__ import annotations
 
@@ -22,7 +27,8 @@ def employee_dimension(
     """Versions to append for the employees changed on the load date."""
     changed = incremental_extract(employees, "upddt", as_of, days)
     cleaned = munge(changed, dedup=True, drop_all_null=True)
-    return scd2_append_versions(history, cleaned, ["employeenumber"], ["upddt", *(tie_break or [])])
+    order = ["upddt", *(tie_break or [])]
+    return scd2_append_versions(history, cleaned, ["employeenumber"], order, prune_history=True)
 
 
 def office_dimension(offices: DataFrame) -> DataFrame:

@@ -42,6 +42,20 @@ def test_versions_continue_per_key(history, changes):
     assert out.dtypes[-1] == ("ver", "int")
 
 
+def test_pruned_history_gives_the_same_versions(spark, history, changes):
+    out = scd2_append_versions(history, changes, ["employeenumber"], ["upddt"], prune_history=True)
+    assert versions(out) == [(1, "boss", 3), (1, "vp", 4), (2, "rep", 2), (3, "new", 1)]
+
+
+def test_null_keys_start_anew(spark, history):
+    old = history.unionByName(spark.createDataFrame([(None, "x", d(1), 5)], HISTORY))
+    batch = spark.createDataFrame([(None, "y", d(2))], CHANGES)
+    for prune in (False, True):
+        for strategy in ("window", "range"):
+            out = scd2_append_versions(old, batch, ["employeenumber"], ["upddt"], strategy=strategy, prune_history=prune)
+            assert [r.ver for r in out.collect()] == [1]
+
+
 def test_versions_have_no_gaps_and_history_is_untouched(history, changes):
     appended = scd2_append_versions(history, changes, ["employeenumber"], ["upddt"])
     whole = history.unionByName(appended)
