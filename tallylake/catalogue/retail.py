@@ -7,11 +7,15 @@ documents -> visits. Every frame has a SQL text of the same rows and types.
 
 from __future__ import annotations
 
+import uuid
 from functools import cached_property
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from tallylake.sinks.tables import prepare_zones
 from tallylake.workspace import shared_dir
 
 # The load date of every dated query.
@@ -99,6 +103,9 @@ NAVIGATION = """(
     FROM events)"""
 
 
+_schemas: WeakKeyDictionary[SparkSession, dict[str, StructType]] = WeakKeyDictionary()
+
+
 class Tables:
     """The provided parquet tables of one scale, and their retail views."""
 
@@ -107,14 +114,15 @@ class Tables:
         self.sf_dir = sf_dir
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        """A table by name. Its schema is inferred once per session, which saves a job on later reads."""
+        path = f"{self.sf_dir}/{name}.parquet"
+        known = _schemas.setdefault(self.spark, {})
+        if path not in known:
+            known[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(known[path]).parquet(path)
 
     def new_database(self) -> str:
         """A fresh database in the shared folder, for queries that write tables."""
-        import uuid
-
-        from tallylake.sinks.tables import prepare_zones
-
         name = f"tally_{uuid.uuid4().hex}"
         prepare_zones(self.spark, [name], [], f"{shared_dir(self.spark)}/tallylake")
         return name
