@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallylake.catalogue.registry import query
 from tallylake.catalogue.relational import KPI_SQL
-from tallylake.catalogue.retail import AS_OF, CHANGES, HISTORY, OFFICES, PRODUCTS, Tables
+from tallylake.catalogue.retail import AS_OF, CHANGES, HISTORY, OFFICES, Tables
 from tallylake.functions.dates import day
 from tallylake.functions.kpis import with_product_kpis
 from tallylake.operators import dimensions as ops

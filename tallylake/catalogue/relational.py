@@ -290,7 +290,13 @@ def group_max(t: Tables):
     return t.read("lineitem").groupBy("l_suppkey").agg(F.max("l_linenumber").alias("max_line"))
 
 
-@query("group_sum_decimal", f"SELECT status, comments, sum(amount) AS sumamt FROM {ORDERS} o JOIN {PAYMENTS} p ON ordernumber = checknumber GROUP BY status, comments")
+@query(
+    "group_sum_decimal",
+    f"""
+    SELECT status, comments, sum(amount) AS sumamt
+    FROM {ORDERS} o JOIN {PAYMENTS} p ON ordernumber = checknumber GROUP BY status, comments
+    """,
+)
 def group_sum_decimal(t: Tables):
     amount = F.col("o_totalprice").cast("decimal(18,2)")
     return (
@@ -379,7 +385,13 @@ def row_number_global(t: Tables):
     return number_rows(orders, [], ["-o_orderdate", "o_orderkey"], "rno", strategy="range")
 
 
-@query("top1_per_group", f"SELECT * FROM (SELECT *, rank() OVER (PARTITION BY country ORDER BY paid DESC) AS rnk FROM ({PAID_PER_NATION})) WHERE rnk = 1")
+@query(
+    "top1_per_group",
+    f"""
+    SELECT * FROM (SELECT *, rank() OVER (PARTITION BY country ORDER BY paid DESC) AS rnk FROM ({PAID_PER_NATION}))
+    WHERE rnk = 1
+    """,
+)
 def top1_per_group(t: Tables):
     return top_per_group(_paid_per_nation(t), ["country"], ["-paid"], n=1)
 

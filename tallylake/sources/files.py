@@ -1,4 +1,4 @@
-"""JSON and CSV sources. A schema is always given; nothing is inferred by a second read."""
+"""JSON and CSV sources."""
 
 from __future__ import annotations
 
@@ -35,12 +35,14 @@ def read_csv(
 ) -> DataFrame:
     """Delimited text.
 
+    Give a schema where there is one: without it every column is a string, and
+    ``infer`` reads all files a second time to find the types. Columns without
+    a header or schema are called ``_c0``, ``_c1`` and so on.
+
     ``multiline`` reads quoted values that hold line breaks; each file is then
     read by one task. ``null_text`` is what stands for NULL: with the default,
     an empty string cannot be told from NULL.
     """
-    if schema is None and not infer and not header:
-        raise ValueError("give a schema, a header or ask for inference")
     reader = spark.read.schema(schema) if schema is not None else spark.read
     return reader.csv(
         path, sep=delimiter, header=header, inferSchema=infer if schema is None else None,

@@ -36,9 +36,8 @@ def plain(value):
     return value
 
 
-def compare(spark, sf_dir, build, sql):
-    """A list of differences; empty when both sides agree."""
-    frame = build(spark, sf_dir)
+def compare(frame, sf_dir, sql):
+    """A list of differences between a frame and the SQL's result; empty when they agree."""
     order = sorted(range(len(frame.columns)), key=lambda i: frame.columns[i])
     ours_types = [(frame.columns[i], spark_type(frame.dtypes[i][1])) for i in order]
     with connect(sf_dir) as db:
@@ -58,7 +57,6 @@ def compare(spark, sf_dir, build, sql):
         problems.append("the comparison has no rows")
     if ours != theirs:
         only_ours, only_theirs = ours - theirs, theirs - ours
-        problems.append(
-            f"rows: spark {sum(ours.values())} sql {sum(theirs.values())}; only spark {list(only_ours)[:2]} only sql {list(only_theirs)[:2]}"
-        )
+        problems.append(f"rows: spark {sum(ours.values())}, sql {sum(theirs.values())}")
+        problems.append(f"only spark {list(only_ours)[:2]}, only sql {list(only_theirs)[:2]}")
     return problems
