@@ -282,6 +282,26 @@ def like_join(t: Tables):
     return match_keywords(t.visits, t.dictionary).select("customernumber", "rid", "orddesc", "severity")
 
 
+@query(
+    "like_join_large",
+    f"""
+    SELECT w.orddesc, count(*) AS texts, count(DISTINCT v.customernumber) AS customers
+    FROM {VISITS} v
+    JOIN (SELECT DISTINCT unnest(string_split(text, ' ')) AS orddesc FROM benchmark) w ON contains(v.comments, w.orddesc)
+    WHERE w.orddesc <> '' GROUP BY w.orddesc
+    """,
+)
+def like_join_large(t: Tables):
+    """Every word of the benchmark texts as a keyword: the way of a dictionary too large for one value."""
+    words = t.read("benchmark").select(F.explode(F.split("text", " ")).alias("orddesc"))
+    words = words.filter(F.col("orddesc") != "").distinct()
+    return (
+        match_keywords(t.visits, words, small_entries=100)
+        .groupBy("orddesc")
+        .agg(F.count("*").alias("texts"), F.countDistinct("customernumber").alias("customers"))
+    )
+
+
 # --- aggregates -------------------------------------------------------------
 
 
