@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import quality_rules
+from tallylake.llm import quality_rules, simhash
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -37,3 +37,8 @@ SELECT *, NOT base_failed AND NOT (10 * n_symbols > n_words OR word_chars < 2 *
 @query("op10_quality_rules", QUALITY_SQL)
 def op10(spark, sf_dir):
     return quality_rules.judge_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op3_simhash_near_dedup")
+def op3(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3, seed=42)
