@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import quality_rules, simhash
+from tallylake.llm import decontaminate, quality_rules, simhash
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -33,6 +33,27 @@ SELECT *, NOT base_failed AND NOT (10 * n_symbols > n_words OR word_chars < 2 *
        OR 10 * n_dup_lines > 3 * n_lines) AS kept FROM b
 """
 
+_RUNS = r"list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS lower_ascii"
+
+DECONTAMINATION_SQL = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_LOWER} FROM documents),
+dw AS (SELECT r, doc_id, {_RUNS} AS words FROM d),
+b AS (SELECT item_id::VARCHAR AS item, {_LOWER} FROM benchmark),
+bw AS (SELECT item, words, least(13, len(words)) AS size FROM (SELECT item, {_RUNS} AS words FROM b) WHERE len(words) > 0),
+win AS (SELECT DISTINCT item, size, array_to_string(words[i:i + size - 1], ' ') AS gram
+        FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM bw)),
+sizes AS (SELECT DISTINCT size FROM win),
+pos AS (SELECT r, size, i, array_to_string(words[i:i + size - 1], ' ') AS gram
+        FROM (SELECT r, words, size, unnest(range(1, len(words) - size + 2)) AS i FROM dw, sizes WHERE len(words) >= size)),
+found AS (SELECT r, i, size, item FROM pos JOIN win USING (size, gram)),
+hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + size)) AS p FROM (SELECT DISTINCT r, i, size FROM found)) GROUP BY r),
+named AS (SELECT r, count(DISTINCT item) AS n, string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM found GROUP BY r)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(hit.n, 0)::BIGINT AS n_hit, coalesce(named.n, 0)::BIGINT AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(words) AS contaminated
+FROM dw LEFT JOIN hit USING (r) LEFT JOIN named USING (r)
+"""
+
 
 @query("op10_quality_rules", QUALITY_SQL)
 def op10(spark, sf_dir):
@@ -42,3 +63,8 @@ def op10(spark, sf_dir):
 @query("op3_simhash_near_dedup")
 def op3(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=3, seed=42)
+
+
+@query("op5_decontamination", DECONTAMINATION_SQL)
+def op5(spark, sf_dir):
+    return decontaminate.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13)
