@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import decontaminate, quality_rules, simhash
+from tallylake.llm import decontaminate, mixing, quality_rules, simhash, token_output
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -68,3 +68,46 @@ def op3(spark, sf_dir):
 @query("op5_decontamination", DECONTAMINATION_SQL)
 def op5(spark, sf_dir):
     return decontaminate.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), size=13)
+
+
+@query("op7_token_output")
+def op7(spark, sf_dir):
+    return token_output.write_and_read(table(spark, sf_dir, "documents"), end_id=2)
+
+
+# Weights, then the schedule of one period slot by slot, then every document's place.
+MIXING_SQL = """
+WITH RECURSIVE c AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+tot AS (SELECT sum(n) AS total FROM c),
+ranked AS (SELECT source, n, n >= 0.01 * total AS large, row_number() OVER (ORDER BY n >= 0.01 * total, n, source DESC NULLS LAST) AS up,
+  sum(CASE WHEN n >= 0.01 * total THEN 0 ELSE n END) OVER () AS small, total FROM c, tot),
+flagged AS (SELECT source, n, NOT large OR (small > 0 AND small < 0.01 * total AND up = 1 + (SELECT count(*) FROM c, tot WHERE n < 0.01 * total)) AS pooled FROM ranked),
+g0 AS (SELECT CASE WHEN pooled THEN NULL ELSE source END AS source, pooled, sum(n)::BIGINT AS n FROM flagged GROUP BY ALL),
+g1 AS (SELECT *, row_number() OVER (ORDER BY pooled, source NULLS FIRST) AS k, n ** 0.7 AS w FROM g0),
+g2 AS (SELECT *, w * (1000 - count(*) OVER ()) / sum(w) OVER () AS share FROM g1),
+g3 AS (SELECT *, 1 + floor(share)::BIGINT AS base, row_number() OVER (ORDER BY floor(share) - share, k) AS place,
+  1000 - sum(1 + floor(share)::BIGINT) OVER () AS spare FROM g2),
+g AS (SELECT source, pooled, n, k, base + (place <= spare)::BIGINT AS units FROM g3),
+u AS (SELECT list(units ORDER BY k) AS units, count(*) AS m FROM g),
+s AS (SELECT 0 AS t, list_transform(units, lambda x: 0::BIGINT) AS nxt, NULL::BIGINT AS k FROM u
+  UNION ALL
+  SELECT t + 1, list_transform(nxt, lambda x, i: x + (i = best)::BIGINT), best
+  FROM (SELECT t, nxt, list_min(list_transform(range(1, m + 1), lambda i: CASE WHEN nxt[i] < units[i] AND nxt[i] * 1000 < (t + 1) * units[i]
+          THEN (((nxt[i] + 1) * 1000 + units[i] - 1) // units[i]) * 10000 + i END)) % 10000 AS best FROM s, u WHERE t < 1000)),
+slots AS (SELECT k, t - 1 AS slot, row_number() OVER (PARTITION BY k ORDER BY t) - 1 AS i FROM s WHERE t > 0),
+ends AS (SELECT min(((n + 7) // 8) // units * 1000 + slot) AS stop FROM g JOIN slots ON slots.k = g.k AND i = ((n + 7) // 8) % units),
+kept AS (SELECT k, 8 * sum(stop // 1000 + (slot < stop % 1000)::BIGINT) AS rows FROM slots, ends GROUP BY k),
+d AS (SELECT doc_id, d.source, g.k, g.pooled, units, md5(coalesce(doc_id::VARCHAR, '')) AS key FROM documents d
+  JOIN flagged f ON d.source IS NOT DISTINCT FROM f.source JOIN g ON (f.pooled AND g.pooled) OR (NOT f.pooled AND NOT g.pooled AND f.source IS NOT DISTINCT FROM g.source)),
+nr AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY key, doc_id) - 1 AS nr FROM d),
+cut AS (SELECT nr.k, key AS stop_key FROM nr JOIN kept ON kept.k = nr.k AND nr.nr = kept.rows),
+b AS (SELECT *, nr // 8 AS block, (nr // 8) % units AS i, (nr // 8) // units * 1000 AS base FROM nr)
+SELECT doc_id, source, pooled, block, base + i * 1000 // units AS release, base + ((i + 1) * 1000 + units - 1) // units AS deadline,
+  (base + slot)::BIGINT AS slot, ((base + slot) * 8 + nr % 8)::BIGINT AS position, stop_key IS NULL OR key < stop_key AS kept
+FROM b JOIN slots USING (k, i) LEFT JOIN cut USING (k)
+"""
+
+
+@query("op4_source_mixing", MIXING_SQL)
+def op4(spark, sf_dir):
+    return mixing.mix_order(table(spark, sf_dir, "documents"), power=0.7, block_rows=8)
