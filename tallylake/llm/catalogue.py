@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import decontaminate, mixing, quality_rules, simhash, token_output
+from tallylake.llm import decontaminate, mixing, quality_rules, simhash, token_output, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -111,3 +111,18 @@ FROM b JOIN slots USING (k, i) LEFT JOIN cut USING (k)
 @query("op4_source_mixing", MIXING_SQL)
 def op4(spark, sf_dir):
     return mixing.mix_order(table(spark, sf_dir, "documents"), power=0.7, block_rows=8)
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+r AS (SELECT page_id, h, CASE WHEN strlen(h) >= 1000 THEN max(page_id) OVER (PARTITION BY h) ELSE page_id END AS whole FROM p)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN whole IS NOT DISTINCT FROM page_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN whole IS NOT DISTINCT FROM page_id THEN NULL ELSE whole END AS refers_to
+FROM r
+"""
+
+
+@query("op2_warc_index", WARC_SQL)
+def op2(spark, sf_dir):
+    return warc.write_and_read(table(spark, sf_dir, "pages"), shared_bytes=1000)

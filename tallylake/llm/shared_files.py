@@ -16,7 +16,7 @@ def create(folder: str, name: str):
     """An output stream for a new file. Every attempt of a task takes a name of its own and reports it with its result."""
     system, path = locate(folder)
     system.create_dir(path, recursive=True)
-    return system.open_output_stream(f"{path}/{name}")
+    return system.open_output_stream(f"{path}/{name}", compression=None)
 
 
 def open_file(uri: str):
