@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import decontaminate, mixing, quality_rules, simhash, token_output, warc
+from tallylake.llm import decontaminate, language_id, mixing, quality_rules, simhash, token_output, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -126,3 +126,8 @@ FROM r
 @query("op2_warc_index", WARC_SQL)
 def op2(spark, sf_dir):
     return warc.write_and_read(table(spark, sf_dir, "pages"), shared_bytes=1000)
+
+
+@query("op1_language_id")
+def op1(spark, sf_dir):
+    return language_id.identify(table(spark, sf_dir, "documents"), sample_docs=2000)
