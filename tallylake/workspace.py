@@ -2,43 +2,56 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_fallback: dict[str, str] = {}
-
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
-
-    Only a local master (tests) may do without the setting; it then gets a
-    temporary folder, one per application.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, or a folder of the warehouse where that isn't set."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    app = context.applicationId
-    if app not in _local_fallback:
-        _local_fallback[app] = tempfile.mkdtemp(prefix="tallylake-")
-    return _local_fallback[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
+
+
+def _session_dir(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/tallylake/{spark.sparkContext.applicationId}"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{shared_dir(spark)}/tallylake/{label}-{uuid.uuid4().hex}"
+    return f"{_session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to shared storage and continue from the written files.
 
     Cuts the lineage, survives the loss of executors, and gives the planner the
     real size of the data, so that its own broadcast threshold decides joins.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the shared storage, if it is there."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has staged; frames that read it can't be used any more."""
+    delete(spark, _session_dir(spark))
+
+
+@contextmanager
+def released(spark: SparkSession):
+    """Delete on leaving what this application has staged; for a load whose results lie elsewhere."""
+    try:
+        yield
+    finally:
+        release(spark)
