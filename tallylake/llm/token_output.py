@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylake.llm.shared_files import create, open_file
-from tallylake.llm.word_ids import WordIds, default_vocabulary
+from tallylake.llm.word_ids import default_vocabulary, shared
 from tallylake.workspace import scratch_path, stage
 
 MAGIC = b"TOKSHRD1"
@@ -98,7 +98,7 @@ class Shards:
 
 def _encode_texts(path: str, end_id: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordIds(path)
+        encoder = shared(path)
         end = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
@@ -156,10 +156,10 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """Encode every whole text, rank the ids by their counts in all texts, and write the shards."""
     spark = docs.sparkSession
     vocabulary = vocabulary or default_vocabulary()
-    own = WordIds(vocabulary)
+    own = shared(vocabulary)
     size, dtype = max(own.size, (end_id or 0) + 1), own.dtype.str
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    encoded = stage(rows.mapInArrow(_encode_texts(vocabulary, end_id), "id long, ids binary"), "token-ids")
+    encoded = stage(rows.mapInArrow(_encode_texts(vocabulary, end_id), "id long, ids binary"), "token-ids", "zstd")
     counts = encoded.select("ids").mapInArrow(_count(dtype, size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     total = np.zeros(size, np.int64)
     for row in counts.collect():  # at most a row per id of the vocabulary

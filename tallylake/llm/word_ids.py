@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -20,20 +21,20 @@ def default_vocabulary() -> str:
 
 
 class WordIds:
-    """Encodes white-space separated words; keeps at most about ``capacity`` of them.
+    """Encodes white-space separated words; keeps those used lately, at most about ``capacity`` of them.
 
     Only for vocabularies that drop white space. ASCII white space ends a word for the
     tokenizer too and no special token contains any, so a text's ids are those of its words
     one after another. Letters followed by punctuation are two pre-tokens and kept apart.
     """
 
-    def __init__(self, path: str, capacity: int = 250_000):
+    def __init__(self, path: str, capacity: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         size = max(self.tokenizer.get_vocab(with_added_tokens=True).values()) + 1
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.size, self.capacity, self.known = size, capacity, {}
+        self.size, self.capacity, self.known, self.older = size, capacity, {}, {}
 
     def _encode(self, words: list[bytes]) -> None:
         for k in range(0, len(words), 10_000):
@@ -43,11 +44,14 @@ class WordIds:
 
     def learn(self, words: set[bytes]) -> None:
         """Make sure that all of ``words`` are known."""
-        known = self.known
-        new = words.difference(known)
-        if len(known) + len(new) > self.capacity:
-            known.clear()
+        new = words.difference(self.known)
+        if len(self.known) + len(new) > self.capacity // 2:
+            self.known, self.older = {}, self.known
             new = words
+        known = self.known
+        again = new & self.older.keys()
+        known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        new = new - again
         split = {w: m.groups() for w in new if (m := _TAILED.fullmatch(w))}
         parts = {p for pair in split.values() for p in pair}
         self._encode(sorted((new - split.keys() | parts).difference(known)))
@@ -72,4 +76,10 @@ class WordIds:
         self.learn(set().union(*block))
         known = self.known
         for words in block:
-            yield b"".join([known[w] for w in words])
+            yield b"".join(map(known.__getitem__, words))
+
+
+@lru_cache(1)
+def shared(path: str) -> WordIds:
+    """One for the process, so that a Python worker's next task finds the words of the last one."""
+    return WordIds(path)
