@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import decontaminate, language_id, mixing, quality_rules, simhash, token_output, warc
+from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, token_output, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -131,3 +131,8 @@ def op2(spark, sf_dir):
 @query("op1_language_id")
 def op1(spark, sf_dir):
     return language_id.identify(table(spark, sf_dir, "documents"), sample_docs=2000)
+
+
+@query("op9_lm_scoring")
+def op9(spark, sf_dir):
+    return attention_lm.score(table(spark, sf_dir, "documents"))
