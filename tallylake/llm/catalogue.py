@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, token_output, warc
+from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, token_counts, token_output, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -136,3 +136,8 @@ def op1(spark, sf_dir):
 @query("op9_lm_scoring")
 def op9(spark, sf_dir):
     return attention_lm.score(table(spark, sf_dir, "documents"))
+
+
+@query("op8_token_counts")
+def op8(spark, sf_dir):
+    return token_counts.count_edited(table(spark, sf_dir, "documents"))
