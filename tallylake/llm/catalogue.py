@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, token_counts, token_output, warc
+from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_output, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -141,3 +141,8 @@ def op9(spark, sf_dir):
 @query("op8_token_counts")
 def op8(spark, sf_dir):
     return token_counts.count_edited(table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_dedup")
+def op6(spark, sf_dir):
+    return suffix_dedup.judge_documents(table(spark, sf_dir, "documents"))
