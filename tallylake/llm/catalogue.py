@@ -30,7 +30,7 @@ m AS (SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(list_sum(list_trans
       FROM w LEFT JOIN rep USING (r)),
 b AS (SELECT *, (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AS base_failed FROM m)
 SELECT *, NOT base_failed AND NOT (10 * n_symbols > n_words OR word_chars < 2 * n_words OR word_chars > 15 * n_words
-       OR 10 * n_dup_lines > 3 * n_lines) AS kept FROM b
+       OR 2 * n_dup_lines > n_lines) AS kept FROM b
 """
 
 _RUNS = r"list_filter(string_split_regex(lower_ascii, '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '')"

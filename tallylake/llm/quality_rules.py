@@ -42,7 +42,7 @@ BASE_RULES = (
 MORE_RULES = (
     Rule("symbols", lambda m: m["n_symbols"] * 10 > m["n_words"]),
     Rule("word_length", lambda m: (m["word_chars"] < m["n_words"] * 2) | (m["word_chars"] > m["n_words"] * 15)),
-    Rule("repeated_lines", lambda m: m["n_dup_lines"] * 10 > m["n_lines"] * 3),
+    Rule("repeated_lines", lambda m: m["n_dup_lines"] * 2 > m["n_lines"]),
 )
 RULES = BASE_RULES + MORE_RULES
 

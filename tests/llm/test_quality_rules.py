@@ -34,7 +34,7 @@ def brute(text):
     n, chars, symbols = len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or ""))
     dup = len(lines) - len(set(lines))
     base = n < 50 or 100 * repeat > 50 * n
-    kept = not (base or 10 * symbols > n or chars < 2 * n or chars > 15 * n or 10 * dup > 3 * len(lines))
+    kept = not (base or 10 * symbols > n or chars < 2 * n or chars > 15 * n or 2 * dup > len(lines))
     return n, chars, symbols, len(lines), dup, repeat, base, kept
 
 
