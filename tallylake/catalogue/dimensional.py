@@ -26,10 +26,14 @@ def scd2_append_versions(t: Tables):
     return ops.scd2_append_versions(t.history, t.changes, ["employeenumber"], ["upddt", "changenumber"])
 
 
-@query("scd2_append_versions_split", VERSIONED.format(changes=CHANGES, history=HISTORY))
+@query("scd2_append_versions_split", VERSIONED.format(changes=f"(SELECT *, 1 AS part FROM {CHANGES})", history=f"(SELECT *, 1 AS part FROM {HISTORY})").replace(
+    "c.*,", "c.employeenumber, c.jobtitle, c.leaveflag, c.upddt, c.changenumber,"
+))
 def scd2_append_versions_split(t: Tables):
-    """The same with every key numbered by ranges, as keys too large for one task are."""
-    return ops.scd2_append_versions(t.history, t.changes, ["employeenumber"], ["upddt", "changenumber"], strategy="range")
+    """The same for a key of two columns, one of them the same in all rows."""
+    part = F.lit(1).alias("part")
+    rows = ops.scd2_append_versions(t.history.select("*", part), t.changes.select("*", part), ["part", "employeenumber"], ["upddt", "changenumber"])
+    return rows.drop("part")
 
 
 @query(

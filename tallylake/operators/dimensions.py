@@ -13,42 +13,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.operators.grouping import top_per_group
-from tallylake.operators.numbering import MAX_GROUP, number_rows
+from tallylake.operators.numbering import number_rows
+from tallylake.workspace import stage
 
 
-def scd2_initial_load(changes: DataFrame, keys: list[str], order_by: list[str], ver: str = "ver", **how) -> DataFrame:
+def scd2_initial_load(
+    changes: DataFrame, keys: list[str], order_by: list[str], ver: str = "ver", start_after: DataFrame | None = None
+) -> DataFrame:
     """First load: versions from 1 up per key (always 1 where the key is unique)."""
-    return number_rows(changes, keys, order_by, ver, **how).withColumn(ver, F.col(ver).cast("int"))
+    return number_rows(changes, keys, order_by, ver, start_after).withColumn(ver, F.col(ver).cast("int"))
 
 
 def scd2_append_versions(
-    history: DataFrame | None,
-    changes: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    ver: str = "ver",
-    max_group: int = MAX_GROUP,
-    strategy: str = "auto",
-    prune_history: bool = False,
+    history: DataFrame | None, changes: DataFrame, keys: list[str], order_by: list[str], ver: str = "ver"
 ) -> DataFrame:
     """The rows to append: each change numbered on from the key's highest version.
 
-    Only the key and version columns of ``history`` are read. History rows are
-    never altered; an empty or missing history is an initial load.
-
-    ``prune_history`` is for a batch that is small against the history: the
-    versions of other keys are dropped before they are aggregated. Where the
-    batch is within Spark's broadcast size, the history is then not shuffled.
+    Only the key and version columns of ``history`` are read, and combined map-side to one
+    row per key. History rows are never altered; an empty or missing history is an initial
+    load.
     """
-    highest = None
-    if history is not None:
-        versions = history.select(*keys, ver)
-        if prune_history:
-            versions = versions.join(changes.select(*keys), keys, "left_semi")
-        highest = versions.groupBy(*keys).agg(F.max(ver).alias(ver))
-    return scd2_initial_load(
-        changes, keys, order_by, ver, max_group=max_group, strategy=strategy, start_after=highest
-    )
+    highest = None if history is None else history.groupBy(*keys).agg(F.max(ver).alias(ver))
+    return scd2_initial_load(changes, keys, order_by, ver, highest)
 
 
 def scd2_current(history: DataFrame, keys: list[str], ver: str = "ver") -> DataFrame:
@@ -57,22 +43,30 @@ def scd2_current(history: DataFrame, keys: list[str], ver: str = "ver") -> DataF
 
 
 def latest_per_key(batch: DataFrame, keys: list[str], order_by: list[str]) -> DataFrame:
-    """One row per key, the first by ``order_by``; rows with a NULL key are all kept."""
-    missing = _any_null(keys)
-    unique = top_per_group(batch.filter(~missing), keys, order_by, n=1, ties=False, out="_first").drop("_first")
-    return unique.unionByName(batch.filter(missing))
+    """One row per key, the first by ``order_by`` (then by a hash of the row); rows with a NULL key are all kept."""
+    rows = batch.withColumns({"_alone": _alone(keys), "_tie": F.xxhash64(*batch.columns)})
+    best = top_per_group(rows, [*keys, "_alone"], [*order_by, "_tie"], n=1, ties=False, out="_first")
+    return best.select(*batch.columns)
 
 
 def unique_or_fail(batch: DataFrame, keys: list[str]) -> DataFrame:
-    """The batch itself; the job fails when a (non-NULL) key occurs twice."""
+    """The batch itself; any use of it fails when a (non-NULL) key occurs twice.
+
+    The check is a filter on the count, so a plan that needs no column still makes it.
+    """
     row = F.struct(*[F.col(f"`{name}`") for name in batch.columns])
     counted = (
-        batch.filter(~_any_null(keys)).groupBy(*keys).agg(F.any_value(row).alias("_row"), F.count("*").alias("_copies"))
-    )
-    checked = F.when(F.col("_copies") == 1, F.col("_row")).otherwise(
-        F.raise_error(F.lit(f"merge source has several rows for one {', '.join(keys)}"))
+        batch.withColumn("_alone", _alone(keys))
+        .groupBy(*keys, "_alone")
+        .agg(F.any_value(row).alias("_row"), F.count("*").alias("_copies"))
     )
-    return counted.select(checked.alias("_row")).select("_row.*").unionByName(batch.filter(_any_null(keys)))
+    failure = F.raise_error(F.lit(f"merge source has several rows for one {', '.join(keys)}")).cast("boolean")
+    return counted.filter(F.when(F.col("_copies") == 1, True).otherwise(failure)).select("_row.*")
+
+
+def _alone(keys: list[str]):
+    """Tells rows with a NULL key apart, which match nothing; the same for all others."""
+    return F.when(_any_null(keys), F.monotonically_increasing_id())
 
 
 def scd1_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], latest_by: list[str] | None = None) -> DataFrame:
@@ -84,14 +78,16 @@ def scd1_merge(target: DataFrame | None, batch: DataFrame, keys: list[str], late
     outer join could not do. NULL keys match nothing; both sides' rows stay.
 
     Several batch rows for a key: the first by ``latest_by``, or failure when
-    no order is given.
+    no order is given. The batch is read once, here, and staged as it is to be merged; so a
+    failure shows at the call.
     """
     source = latest_per_key(batch, keys, latest_by) if latest_by else unique_or_fail(batch, keys)
+    source = stage(source, "merge-batch")
     if target is None:
         return source
     if {name.lower() for name in target.columns} != {name.lower() for name in batch.columns}:
         raise ValueError("merge source and target must have the same columns")
-    kept = target.join(batch.select(*keys), keys, "left_anti").select(*target.columns)
+    kept = target.join(source.select(*keys), keys, "left_anti").select(*target.columns)
     return kept.unionByName(source)
 
 

@@ -24,13 +24,12 @@ def top_per_group(
 def rows_at_group_max(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """All rows whose ``value`` equals the maximum of their group, ties included.
 
-    Rank 1 by falling value: one pass, where a self-join on the maximum would
-    read and shuffle the rows twice. As in that join, NULL keys match nothing.
+    The maxima are combined map-side and joined back, so rows that share a hot group's
+    maximum stay where the join puts them, and a skewed join may split them. NULL keys and
+    values match nothing.
     """
-    present = F.col(value).isNotNull()
-    for key in keys:
-        present = present & F.col(key).isNotNull()
-    return top_per_group(df.filter(present), keys, [f"-{value}"], out="_best").drop("_best")
+    best = df.groupBy(*keys).agg(F.max(value).alias(value))
+    return df.join(best, [*keys, value], "left_semi")
 
 
 def top_n(df: DataFrame, order_by: list[str], n: int) -> DataFrame:

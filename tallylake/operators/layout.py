@@ -11,16 +11,17 @@ def optimize_layout(
 ) -> DataFrame:
     """Repartition (``shuffle``) or coalesce, and optionally keep for reuse.
 
-    ``by`` hash-partitions on those columns. Without ``partitions`` the count is
-    left to adaptive execution. Session settings are never changed. The cached
-    copy may spill to disk; Spark recomputes blocks that are lost with an executor.
+    ``by`` brings rows of equal values together by rebalancing, which splits a value that
+    holds much of the data; ``partitions`` is then where adaptive execution starts from.
+    Without ``partitions`` the count is left to it. Session settings are never changed. The
+    cached copy may spill to disk; Spark recomputes blocks that are lost with an executor.
     """
     if not shuffle:
         if partitions is None or by:
             raise ValueError("coalesce takes a partition count and no columns")
         df = df.coalesce(partitions)
-    elif partitions is not None:
-        df = df.repartition(partitions, *(by or []))
     elif by:
-        df = df.repartition(*by)
+        df = df.hint("rebalance", *([partitions] if partitions is not None else []), *by)
+    elif partitions is not None:
+        df = df.repartition(partitions)
     return df.persist(StorageLevel.MEMORY_AND_DISK) if cache else df

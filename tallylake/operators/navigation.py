@@ -19,14 +19,9 @@ def array_item(values: str, position: int) -> Column:
     return F.get(F.col(values), F.lit(position))
 
 
-def index_events(
-    events: DataFrame, visit: list[str], order_by: list[str], out: str = "navigation_index", **how
-) -> DataFrame:
-    """Position from 0 of every event within its visit, for paths kept as event rows.
-
-    ``how`` goes to ``number_rows``, which splits oversized visits.
-    """
-    return number_rows(events, visit, order_by, out, **how).withColumn(out, F.col(out) - 1)
+def index_events(events: DataFrame, visit: list[str], order_by: list[str], out: str = "navigation_index") -> DataFrame:
+    """Position from 0 of every event within its visit, for paths kept as event rows."""
+    return number_rows(events, visit, order_by, out).withColumn(out, F.col(out) - 1)
 
 
 def first_last_pages(
@@ -47,10 +42,13 @@ def first_last_pages(
 def first_last_of_visits(events: DataFrame, customer: str, visit: list[str], order_by: list[str], page: str) -> DataFrame:
     """``first_last_pages`` straight from event rows, without numbering them.
 
-    One aggregate, combined map-side, reduces every visit to its first page,
-    last page and length; a huge visit gathers nowhere.
+    One aggregate reduces every visit to its first page, last page and length; map tasks
+    combine before the shuffle, so a huge visit gathers nowhere. For strings and structs Spark
+    sorts to combine. ``order_by`` takes a leading ``-`` as elsewhere; pages whose moments are
+    equal are put in the order of the page.
     """
-    moment = F.struct(*order_by)
+    ordered = [_rising(events, name) for name in order_by]
+    moment = F.struct(*ordered, page)
     visits = events.groupBy(customer, *visit).agg(
         F.min_by(page, moment).alias("_first"), F.max_by(page, moment).alias("_last"), F.count("*").alias("_length")
     )
@@ -59,6 +57,21 @@ def first_last_of_visits(events: DataFrame, customer: str, visit: list[str], ord
     return _count_ends(visits, customer, page, first, last)
 
 
+def _rising(events: DataFrame, name: str) -> Column:
+    """A column that rises in the wanted order; falling order is for numbers, dates and times."""
+    if not name.startswith("-"):
+        return F.col(name)
+    kind = events.schema[name[1:]].dataType.typeName()
+    column = F.col(name[1:])
+    if kind in ("timestamp", "timestamp_ntz"):
+        column = F.unix_micros(column.cast("timestamp"))
+    elif kind == "date":
+        column = F.unix_date(column)
+    elif kind == "string":
+        raise ValueError(f"{name}: text has no falling order here")
+    return F.struct(column.isNull(), -column)
+
+
 # The two report labels.
 FIRST_PAGE = "first pagevisited"
 LAST_PAGE = "last pagevisited"
@@ -84,13 +97,14 @@ def _count_ends(rows: DataFrame, customer: str, page: str, first: Column, last:
 def page_transitions(visits: DataFrame, pages: str = "pagevisit") -> DataFrame:
     """How often each page is followed by each other page, within a path.
 
-    The pairs are formed inside the row and counted map-side.
+    Each page steps to the one at its own place in the path without its first page; the
+    path is taken apart once, and pairs are counted map-side.
     """
-    steps = F.size(pages) - 1
-    pairs = F.arrays_zip(F.slice(pages, F.lit(1), steps).alias("page"), F.slice(pages, F.lit(2), steps).alias("next_page"))
+    rest = F.slice(pages, F.lit(2), F.greatest(F.size(pages) - 1, F.lit(0)))
+    pairs = visits.select(pages, rest.alias("_rest")).select("_rest", F.posexplode(pages).alias("_at", "page"))
     return (
-        visits.filter(F.size(pages) > 1)
-        .select(F.inline(pairs))
+        pairs.select("page", F.get("_rest", "_at").alias("next_page"), F.size("_rest").alias("_steps"), "_at")
+        .filter(F.col("_at") < F.col("_steps"))
         .groupBy("page", "next_page")
         .agg(F.count("*").alias("transitions"))
     )

@@ -1,10 +1,10 @@
-"""Row numbers and ranks that hold up when one group is huge.
+"""Row numbers and ranks, one way for groups of every size.
 
-A window function sorts each of its groups in a single task. That is the right
-plan for ordinary groups, so it is used for them. Groups above ``max_group``
-rows take another way, with the same result: their rows are range-partitioned
-on (keys, order), written to shared storage with their position, and numbered
-by adding up how many rows of the group lie in earlier partitions.
+A window function sorts each of its groups in a single task. Here rows are range-partitioned
+on (keys, order) instead, so a large group covers many tasks; they are written once to shared
+storage with their position, and what earlier partitions hold of a group is added. No size
+is looked at, and nothing gathers in one task: rows that agree in keys and order are put in a
+fixed order by a hash of the whole row, equal rows by their position in the input.
 
 Order columns are named; a leading ``-`` means descending. NULLs sort first
 ascending and last descending, as in Spark windows.
@@ -12,15 +12,11 @@ ascending and last descending, as in Spark windows.
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylake.workspace import stage
 
-MAX_GROUP = 1_000_000
-
 # monotonically_increasing_id keeps the partition above this bit, the row below it.
 _ROW_BITS = 33
 
@@ -34,60 +30,32 @@ def order_names(order_by: list[str]) -> list[str]:
 
 
 def number_rows(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    out: str = "row_num",
-    max_group: int = MAX_GROUP,
-    strategy: str = "auto",
-    start_after: DataFrame | None = None,
+    df: DataFrame, keys: list[str], order_by: list[str], out: str = "row_num", start_after: DataFrame | None = None
 ) -> DataFrame:
     """``row_number() over (partition by keys order by order_by)`` as a bigint.
 
-    With ``start_after`` (columns: the keys and ``out``, one row per group) a
-    group continues from the number given there; other groups start at 1.
-
-    ``auto`` first runs one aggregate over the key columns alone to find groups
-    above ``max_group``; ``window`` and ``range`` choose a way without looking.
-    Give a total order (end it with a unique column) for a repeatable result.
+    The order is made total by a hash of all columns, so only equal rows may change places.
+    With ``start_after`` (columns: the keys and ``out``, one row per group) a group
+    continues from the number given there; other groups start at 1.
     """
+    # An equal row's position spreads copies over partitions; it cannot change a result.
+    rows = df.withColumns({"_tie": F.xxhash64(*df.columns), "_copy": F.monotonically_increasing_id()})
+    order = [*order_columns(order_by), F.col("_tie"), F.col("_copy")]
+    return _running_total(rows, keys, order, F.lit(1), out, start_after).select(*df.columns, out)
 
-    def by_window(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order_columns(order_by))
-        numbered = rows.withColumn(out, F.row_number().over(window).cast("bigint"))
-        return numbered if start_after is None else _add_start(numbered, start_after, keys, out)
-
-    def by_range(rows: DataFrame, total: int) -> DataFrame:
-        return _number_by_range(rows, keys, order_columns(order_by), out, total, max_group, start_after)
 
-    return _choose(df, keys, max_group, strategy, by_window, by_range)
-
-
-def rank_rows(
-    df: DataFrame,
-    keys: list[str],
-    order_by: list[str],
-    out: str = "rnk",
-    max_group: int = MAX_GROUP,
-    strategy: str = "auto",
-) -> DataFrame:
-    """``rank() over (partition by keys order by order_by)`` as a bigint; ties share a rank."""
+def rank_rows(df: DataFrame, keys: list[str], order_by: list[str], out: str = "rnk") -> DataFrame:
+    """``rank() over (partition by keys order by order_by)`` as a bigint; ties share a rank.
 
-    def by_window(rows: DataFrame) -> DataFrame:
-        window = Window.partitionBy(*keys).orderBy(*order_columns(order_by))
-        return rows.withColumn(out, F.rank().over(window).cast("bigint"))
-
-    def by_range(rows: DataFrame, total: int) -> DataFrame:
-        # The row hash spreads a mass of ties over many partitions; it cannot
-        # change a rank, which is the smallest row number among the ties.
-        spread = [*order_columns(order_by), F.xxhash64(*rows.columns).asc()]
-        numbered = _number_by_range(rows, keys, spread, "_position", total, max_group)
-        tied = [*keys, *order_names(order_by)]
-        # Staged, so that a few distinct values are broadcast by their real size.
-        first = stage(numbered.groupBy(*tied).agg(F.min("_position").alias(out)), "first-of-ties")
-        return join_null_safe(numbered, first, tied, "inner").drop("_position")
-
-    return _choose(df, keys, max_group, strategy, by_window, by_range)
+    Rows are counted per order value, map-side; a rank is one more than the rows of all
+    earlier values. Only those counts are sorted, and ties are never brought together.
+    """
+    tied = list(dict.fromkeys([*keys, *order_names(order_by)]))
+    counts = df.groupBy(*tied).agg(F.count("*").alias("_rows"))
+    summed = _running_total(counts, keys, order_columns(order_by), F.col("_rows"), out)
+    ranks = summed.withColumn(out, F.col(out) - F.col("_rows") + 1).drop("_rows")
+    # Staged, so that a few distinct values are broadcast by their real size.
+    return join_null_safe(df, stage(ranks, "ranks"), tied, "inner")
 
 
 def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame:
@@ -99,59 +67,28 @@ def join_null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str)
     return left.join(renamed, same, how).drop(*[f"_right_{key}" for key in keys])
 
 
-def _choose(df, keys, max_group, strategy, by_window, by_range):
-    if strategy == "window":
-        return by_window(df)
-    if strategy == "range":
-        return by_range(df, df.count())
-    if strategy != "auto":
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    if not keys:
-        total = df.count()
-        return by_range(df, total) if total > max_group else by_window(df)
-
-    # At most (rows / max_group) groups can be this large; usually none is.
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_rows"))
-    large = stage(sizes.filter(F.col("_rows") > max_group), "large-groups")
-    if large.isEmpty():
-        return by_window(df)
-    total = large.agg(F.sum("_rows")).first()[0]
-    ordinary = join_null_safe(df, large.drop("_rows"), keys, "left_anti")
-    oversized = join_null_safe(df, large.drop("_rows"), keys, "left_semi")
-    return by_window(ordinary).unionByName(by_range(oversized, total))
-
-
-def _add_start(numbered, start_after, keys, out):
-    start = start_after.select(*keys, F.col(out).alias("_start"))
-    number = F.col(out) + F.coalesce(F.col("_start"), F.lit(0))
-    return numbered.join(start, keys, "left").withColumn(out, number.cast("bigint")).select(*numbered.columns)
-
-
-def _number_by_range(df, keys, order, out, total, rows_per_task, start_after=None):
-    spark = df.sparkSession
-    parts = max(spark.sparkContext.defaultParallelism, math.ceil(total / rows_per_task))
-    ranged = (
-        df.repartitionByRange(parts, *keys, *order)
-        .sortWithinPartitions(*keys, *order)
-        .withColumn("_id", F.monotonically_increasing_id())
-    )
-    # Written, not recomputed: both uses below must see the same range bounds.
+def _running_total(
+    df: DataFrame, keys: list[str], order: list[Column], amount: Column, out: str, start_after: DataFrame | None = None
+) -> DataFrame:
+    """The sum of ``amount`` over a row's group up to that row."""
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    # Written, not recomputed: all uses below must see the same range bounds.
     placed = (
-        stage(ranged, "ranged-rows")
+        stage(ranged.withColumn("_id", F.monotonically_increasing_id()), "ranged-rows")
         .withColumn("_part", F.shiftright("_id", _ROW_BITS))
-        .withColumn("_row", F.col("_id").bitwiseAND(F.lit((1 << _ROW_BITS) - 1)))
-        .drop("_id")
+        .withColumn("_amount", amount.cast("bigint"))
     )
-
-    # One row per group and partition it touches: at most groups + parts rows.
-    pieces = placed.groupBy(*keys, "_part").agg(F.min("_row").alias("_first"), F.count("*").alias("_rows"))
+    # A piece is what a partition holds of a group; only the pieces' sums are gathered by group.
+    pieces = placed.groupBy(*keys, "_part").agg(F.sum("_amount").alias("_sum"))
     earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
-    shifts = pieces.select(*keys, "_part", (before - F.col("_first") + 1).alias(out))
+    shifts = pieces.select(*keys, "_part", F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_shift"))
+    # A group that lies in one partition needs no shift: at most one piece per partition remains.
+    shifts = stage(shifts.filter("_shift > 0"), "range-offsets")
+    within = Window.partitionBy(*keys, "_part").orderBy("_id").rowsBetween(Window.unboundedPreceding, 0)
+    summed = join_null_safe(placed.withColumn(out, F.sum("_amount").over(within)), shifts, [*keys, "_part"], "left")
+    total = F.col(out) + F.coalesce(F.col("_shift"), F.lit(0))
     if start_after is not None:
-        # Joined to the few pieces, so the rows of a hot group are not shuffled for it.
-        shifts = _add_start(shifts, start_after, keys, out)
-    shifts = shifts.withColumnRenamed(out, "_shift")
-    located = join_null_safe(placed, stage(shifts, "range-offsets"), [*keys, "_part"], "inner")
-    return located.withColumn(out, F.col("_row") + F.col("_shift")).drop("_part", "_row", "_shift")
+        start = start_after.select(*keys, F.col(out).alias("_start"))
+        summed = summed.join(start, keys, "left")
+        total = total + F.coalesce(F.col("_start"), F.lit(0))
+    return summed.withColumn(out, total.cast("bigint")).select(*df.columns, out)

@@ -1,9 +1,4 @@
-"""Employee, office and product dimensions.
-
-The batch of changes is read more than once. Stage it first (``workspace.stage``)
-when it comes from a live database, as ``daily`` does: a row that changes between
-two reads could otherwise be lost.
-"""
+"""Employee, office and product dimensions."""
 
 from __future__ import annotations
 
@@ -28,7 +23,7 @@ def employee_dimension(
     changed = incremental_extract(employees, "upddt", as_of, days)
     cleaned = munge(changed, dedup=True, drop_all_null=True)
     order = ["upddt", *(tie_break or [])]
-    return scd2_append_versions(history, cleaned, ["employeenumber"], order, prune_history=True)
+    return scd2_append_versions(history, cleaned, ["employeenumber"], order)
 
 
 def office_dimension(offices: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallylake.operators.dimensions import (
     merge_match,
@@ -8,6 +9,7 @@ from tallylake.operators.dimensions import (
     scd2_append_versions,
     scd2_current,
     scd2_initial_load,
+    unique_or_fail,
 )
 from tallylake.operators.grouping import rows_at_group_max, top_n, top_per_group
 from tallylake.plans.dimensions import employee_dimension, office_dimension, product_dimension
@@ -42,18 +44,11 @@ def test_versions_continue_per_key(history, changes):
     assert out.dtypes[-1] == ("ver", "int")
 
 
-def test_pruned_history_gives_the_same_versions(spark, history, changes):
-    out = scd2_append_versions(history, changes, ["employeenumber"], ["upddt"], prune_history=True)
-    assert versions(out) == [(1, "boss", 3), (1, "vp", 4), (2, "rep", 2), (3, "new", 1)]
-
-
 def test_null_keys_start_anew(spark, history):
     old = history.unionByName(spark.createDataFrame([(None, "x", d(1), 5)], HISTORY))
     batch = spark.createDataFrame([(None, "y", d(2))], CHANGES)
-    for prune in (False, True):
-        for strategy in ("window", "range"):
-            out = scd2_append_versions(old, batch, ["employeenumber"], ["upddt"], strategy=strategy, prune_history=prune)
-            assert [r.ver for r in out.collect()] == [1]
+    out = scd2_append_versions(old, batch, ["employeenumber"], ["upddt"])
+    assert [r.ver for r in out.collect()] == [1]
 
 
 def test_versions_have_no_gaps_and_history_is_untouched(history, changes):
@@ -78,12 +73,11 @@ def test_empty_history_is_an_initial_load(spark, changes):
     assert first[0] == (1, "boss", 1)
 
 
-@pytest.mark.parametrize("strategy", ["auto", "range"])
-def test_hot_key_versions(spark, strategy):
+def test_hot_key_versions(spark):
     history = spark.createDataFrame([(0, "x", d(1), v) for v in range(1, 6)], HISTORY)
     rows = [(0 if i % 3 == 0 else i, f"t{i:04d}", d(1 + i % 28)) for i in range(900)]
     out = scd2_append_versions(
-        history, spark.createDataFrame(rows, CHANGES), ["employeenumber"], ["upddt", "title"], max_group=40, strategy=strategy
+        history, spark.createDataFrame(rows, CHANGES), ["employeenumber"], ["upddt", "title"]
     )
     hot = sorted(r.ver for r in out.collect() if r.employeenumber == 0)
     assert hot == list(range(6, 306)) and out.count() == 900
@@ -144,6 +138,30 @@ def test_merge_fails_on_several_rows_for_a_key(spark, target):
         scd1_merge(target, batch, ["code"]).collect()
 
 
+@pytest.mark.parametrize("use", ["collect", "count", "one"])
+def test_no_use_of_a_batch_with_two_rows_for_a_key_succeeds(spark, use):
+    batch = spark.createDataFrame([("b", 1, d(2)), ("b", 2, d(2)), (None, 1, d(1)), (None, 1, d(1))], PRODUCT)
+    uses = {"collect": lambda f: f.collect(), "count": lambda f: f.count(), "one": lambda f: f.select(F.lit(1)).collect()}
+    with pytest.raises(Exception, match="several rows"):
+        uses[use](unique_or_fail(batch, ["code"]))
+    with pytest.raises(Exception, match="several rows"):
+        uses[use](scd1_merge(None, batch, ["code"]))
+    good = batch.filter("price = 1")
+    assert len(uses["one"](unique_or_fail(good, ["code"]))) == 3
+
+
+def test_merge_reads_the_target_once_and_the_batch_as_staged(spark, target):
+    batch = spark.createDataFrame([("b", 20, d(2))], PRODUCT)
+    leaves = scd1_merge(target, batch, ["code"])._jdf.queryExecution().optimizedPlan().collectLeaves().toString()
+    assert leaves.count("merge-batch") + leaves.count("Relation") == 2 and "price" in leaves
+
+
+def test_the_latest_of_equal_dates_is_settled(spark):
+    rows = [("b", i, d(2)) for i in range(50)]
+    runs = [scd1_merge(None, spark.createDataFrame(r, PRODUCT), ["code"], ["-upddt"]).collect() for r in (rows, rows[::-1])]
+    assert runs[0] == runs[1] and len(runs[0]) == 1
+
+
 def test_merge_needs_equal_columns(spark, target):
     with pytest.raises(ValueError):
         scd1_merge(target, target.drop("price"), ["code"])

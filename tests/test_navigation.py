@@ -1,6 +1,7 @@
 from datetime import date
 
 import pytest
+from pyspark.sql import functions as F
 
 from tallylake.operators.navigation import (
     array_item,
@@ -80,9 +81,16 @@ def test_the_same_report_from_events(events):
     assert report(out) == EXPECTED
 
 
-@pytest.mark.parametrize("how", [{}, {"strategy": "range"}, {"max_group": 2}])
-def test_the_same_report_from_indexed_events(events, how):
-    rows = index_events(events, ["customernumber", "visitday"], ["at"], **how)
+def test_falling_order_swaps_first_and_last(events):
+    out = first_last_of_visits(events.drop("at").withColumn("at", F.lit(0)), "customernumber", ["visitday"], ["-at"], "navigation_pg")
+    assert sum(r.custcnt for r in out.collect() if r.pagevisit == "first pagevisited") > 0
+    rising = first_last_of_visits(events, "customernumber", ["visitday"], ["at"], "navigation_pg")
+    falling = first_last_of_visits(events.withColumn("at", -F.col("at")), "customernumber", ["visitday"], ["-at"], "navigation_pg")
+    assert report(rising) == report(falling)
+
+
+def test_the_same_report_from_indexed_events(events):
+    rows = index_events(events, ["customernumber", "visitday"], ["at"])
     assert report(first_last_pages(rows)) == EXPECTED
 
 

@@ -3,7 +3,9 @@ from collections import defaultdict
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from tallylake.operators import numbering
 from tallylake.operators.numbering import number_rows, rank_rows
 
 SCHEMA = "k string, d int, id int"
@@ -32,58 +34,73 @@ def skewed_rows(n=3000):
     return rows
 
 
-@pytest.mark.parametrize("strategy", ["auto", "range", "window"])
-@pytest.mark.parametrize("max_group", [50, 700, 10_000])
-def test_row_numbers_of_a_hot_key(spark, strategy, max_group):
+def test_row_numbers_of_a_hot_key(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    out = number_rows(df, ["k"], ["d", "id"], max_group=max_group, strategy=strategy)
+    out = number_rows(df, ["k"], ["d", "id"])
     assert {r.id: r.row_num for r in out.collect()} == numbered_by_hand(rows)
     assert out.columns == ["k", "d", "id", "row_num"]
 
 
-@pytest.mark.parametrize("strategy", ["auto", "range", "window"])
-def test_ranks_of_a_hot_key_with_ties(spark, strategy):
+def test_ranks_of_a_hot_key_with_ties(spark):
     rows = skewed_rows()
     df = spark.createDataFrame(rows, SCHEMA)
-    out = rank_rows(df, ["k"], ["d"], max_group=60, strategy=strategy)
+    out = rank_rows(df, ["k"], ["d"])
     assert {r.id: r.rnk for r in out.collect()} == numbered_by_hand(rows, ties=True)
+    assert out.columns == ["k", "d", "id", "rnk"]
 
 
 def test_global_number_descending(spark):
     df = spark.range(1000).selectExpr("id", "id % 7 as d")
-    out = number_rows(df, [], ["-d", "id"], max_group=100)
+    out = number_rows(df, [], ["-d", "id"])
     expected = sorted(range(1000), key=lambda i: (-(i % 7), i))
     assert [r.id for r in sorted(out.collect(), key=lambda r: r.row_num)] == expected
 
 
-def test_range_way_sorts_no_group_in_a_window(spark):
-    df = spark.createDataFrame([("hot", i % 5, i) for i in range(4000)], SCHEMA)
-    out = number_rows(df, ["k"], ["d", "id"], max_group=500, strategy="range")
-    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(r.row_num for r in out.collect()) == list(range(1, 4001))
+def test_ties_are_put_in_the_same_order_by_every_run(spark):
+    df = spark.createDataFrame([("a", 1, i) for i in range(500)], SCHEMA)
+    runs = [{r.id: r.row_num for r in number_rows(df.repartition(n), ["k"], ["d"]).collect()} for n in (1, 7)]
+    assert runs[0] == runs[1] and sorted(runs[0].values()) == list(range(1, 501))
+
+
+@pytest.mark.parametrize("equal", [False, True])
+def test_no_task_holds_more_than_its_share(spark, monkeypatch, equal):
+    """One key and one order value, with rows that differ or are all the same."""
+    staged = {}
+
+    def keep(df, label):
+        staged[label] = numbering_stage(df, label)
+        return staged[label]
 
+    numbering_stage = numbering.stage
+    monkeypatch.setattr(numbering, "stage", keep)
+    df = spark.range(40_000, numPartitions=8).selectExpr("'hot' AS k", "1 AS d", f"CAST({'0' if equal else 'id'} AS INT) AS id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = number_rows(df, ["k"], ["d"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert out.agg(F.countDistinct("row_num"), F.max("row_num")).first() == (40_000, 40_000)
+    sizes = [r["count"] for r in staged["ranged-rows"].groupBy("_id").count().selectExpr("_id >> 33 AS p").groupBy("p").count().collect()]
+    assert len(sizes) == 8 and max(sizes) <= 2 * 40_000 / 8
 
-def test_only_oversized_groups_leave_the_window(spark):
-    df = spark.createDataFrame(skewed_rows(), SCHEMA)
-    plan = number_rows(df, ["k"], ["d", "id"], max_group=400)._jdf.queryExecution().optimizedPlan().toString()
-    assert "LeftAnti" in plan and "Window" in plan
+
+def test_ties_of_a_rank_are_only_counted(spark):
+    df = spark.range(20_000, numPartitions=8).selectExpr("'hot' AS k", "id % 2 AS d", "id")
+    out = rank_rows(df, ["k"], ["d"])
+    assert {(r.d, r.rnk) for r in out.select("d", "rnk").distinct().collect()} == {(0, 1), (1, 10_001)}
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_empty_input(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert number_rows(df, ["k"], ["d"]).count() == 0
-    assert number_rows(df, ["k"], ["d"], strategy="range").count() == 0
-
-
-def test_unknown_strategy(spark):
-    with pytest.raises(ValueError):
-        number_rows(spark.createDataFrame([], SCHEMA), ["k"], ["d"], strategy="fast")
+    assert rank_rows(df, ["k"], ["d"]).count() == 0
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.sampled_from(["a", "b", None]), st.one_of(st.none(), st.integers(-3, 3))), min_size=1, max_size=60))
-def test_range_way_equals_window_way(spark, pairs):
+def test_numbers_by_hand(spark, pairs):
     rows = [(k, d, i) for i, (k, d) in enumerate(pairs)]
     df = spark.createDataFrame(rows, SCHEMA)
-    assert {r.id: r.row_num for r in number_rows(df, ["k"], ["d", "id"], max_group=5).collect()} == numbered_by_hand(rows)
+    assert {r.id: r.row_num for r in number_rows(df, ["k"], ["d", "id"]).collect()} == numbered_by_hand(rows)
