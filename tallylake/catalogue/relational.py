@@ -296,12 +296,29 @@ def like_join_large(t: Tables):
     words = t.read("benchmark").select(F.explode(F.split("text", " ")).alias("orddesc"))
     words = words.filter(F.col("orddesc") != "").distinct()
     return (
-        match_keywords(t.visits, words, small_entries=100)
+        match_keywords(t.visits, words, literal=True, small_entries=100)
         .groupBy("orddesc")
         .agg(F.count("*").alias("texts"), F.countDistinct("customernumber").alias("customers"))
     )
 
 
+# Keywords with wildcards and with a backslash.
+PATTERNS = r"(SELECT * FROM (VALUES (1, 'th_ %ing '), (2, '_nd the'), (3, 'a\b'), (4, 'ung%ung%ver'), (5, '%'), (6, 'zz_zz')) AS d(rid, orddesc))"
+
+
+@query(
+    "like_join_wildcards",
+    f"""
+    SELECT r.rid, count(*) AS texts, count(DISTINCT v.customernumber) AS customers
+    FROM {VISITS} v JOIN {PATTERNS} r ON v.comments LIKE concat('%', r.orddesc, '%') GROUP BY r.rid
+    """,
+)
+def like_join_wildcards(t: Tables):
+    patterns = t.spark.sql(PATTERNS.replace("\\", "\\\\"))
+    matched = match_keywords(t.visits, patterns, small_entries=3)
+    return matched.groupBy("rid").agg(F.count("*").alias("texts"), F.countDistinct("customernumber").alias("customers"))
+
+
 # --- aggregates -------------------------------------------------------------
 
 

@@ -1,22 +1,22 @@
 """Matching free text against a keyword dictionary.
 
-A match is a case-sensitive substring. Each (text row, dictionary row) pair
-counts once, however often the keyword occurs; a text without any match, or a
-NULL text, yields nothing.
+A match is ``text LIKE '%keyword%'``: case-sensitive, ``%`` and ``_`` inside a keyword act as
+wildcards, a backslash is a plain character. With ``literal`` nothing is a wildcard. Each
+(text row, dictionary row) pair counts once, however often the keyword occurs; a text
+without any match, or a NULL text, yields nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import reduce
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallylake.workspace import stage
+
 SMALL_ENTRIES = 1_000
 SMALL_BYTES = 1_000_000
-PASS_ENTRIES = 200_000
+#: Characters of a keyword by which large dictionaries are looked up.
+PIECE = 3
 
 
 def match_keywords(
@@ -24,20 +24,16 @@ def match_keywords(
     dictionary: DataFrame,
     text: str = "comments",
     keyword: str = "orddesc",
-    wildcards: bool = False,
+    literal: bool = False,
     small_entries: int = SMALL_ENTRIES,
-    pass_entries: int = PASS_ENTRIES,
+    small_bytes: int = SMALL_BYTES,
 ) -> DataFrame:
     """Every text row beside every dictionary row whose keyword it contains.
 
-    The dictionary's size is probed first (at most ``small_entries`` + 1 rows
-    are read). A small one becomes a single array value, tested row by row
-    without any join or shuffle. A larger one is searched with a keyword
-    automaton per task, ``pass_entries`` distinct keywords at a time, and the
-    keywords found are equi-joined with the dictionary.
-
-    ``wildcards`` lets ``%`` and ``_`` inside keywords act as in LIKE; a larger
-    dictionary is then taken in hashed slices of the small size.
+    The dictionary's size is probed first (at most ``small_entries`` + 1 rows are read). One
+    within both limits becomes a single array value, tested row by row without any join or
+    shuffle. Any other is joined with the texts on a short piece of each keyword, and the
+    pairs found are tested in full. The result is the same.
     """
     shared = set(texts.columns) & set(dictionary.columns)
     if shared:
@@ -46,70 +42,65 @@ def match_keywords(
         F.count("*").alias("entries"), F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("bytes")
     )
     size = probe.first()
-    if size["entries"] <= small_entries and (size["bytes"] or 0) <= SMALL_BYTES:
-        return _match_in_row(texts, dictionary, text, keyword, wildcards)
-    if wildcards:
-        slices = -(-2 * dictionary.count() // small_entries)
-        part = F.pmod(F.xxhash64(*dictionary.columns), F.lit(slices))
-        matched = [_match_in_row(texts, dictionary.filter(part == i), text, keyword, True) for i in range(slices)]
-        return reduce(DataFrame.unionByName, matched)
-    return _match_by_automaton(texts, dictionary, text, keyword, pass_entries)
+    if size["entries"] <= small_entries and (size["bytes"] or 0) <= small_bytes:
+        return _match_in_row(texts, dictionary, text, keyword, literal)
+    return _match_by_piece(texts, dictionary, text, keyword, literal)
 
 
-def _match_in_row(texts, dictionary, text, keyword, wildcards):
-    entries = dictionary.agg(F.collect_list(F.struct(*dictionary.columns))).scalar()
+def contained(text: Column, keyword: Column, literal: bool = False) -> Column:
+    """Whether the text holds the keyword; patterns are only built for keywords with a wildcard."""
+    plain = F.contains(text, keyword)
+    if literal:
+        return plain
+    escaped = F.replace(keyword, F.lit("\\"), F.lit("\\\\"))
+    return F.when(keyword.rlike("[%_]"), F.like(text, F.concat(F.lit("%"), escaped, F.lit("%")))).otherwise(plain)
 
-    def contained(entry):
-        if wildcards:
-            return F.like(F.col(text), F.concat(F.lit("%"), entry[keyword], F.lit("%")))
-        return F.contains(F.col(text), entry[keyword])
 
+def _match_in_row(texts, dictionary, text, keyword, literal):
+    entries = dictionary.agg(F.collect_list(F.struct(*dictionary.columns))).scalar()
     return (
         texts.withColumn("_entries", entries)
-        .withColumn("_hit", F.explode(F.filter("_entries", contained)))
+        .withColumn("_hit", F.explode(F.filter("_entries", lambda entry: contained(F.col(text), entry[keyword], literal))))
         .select(*texts.columns, "_hit.*")
     )
 
 
-def _match_by_automaton(texts, dictionary, text, keyword, pass_entries):
-    distinct = dictionary.select(F.col(keyword).alias("_found")).filter(F.col("_found").isNotNull()).distinct()
-    passes = max(1, -(-distinct.count() // pass_entries))
-    matched = []
-    for number in range(passes):
-        # One bounded slice of distinct keywords; hashing keeps slices even.
-        mine = distinct.filter(F.pmod(F.xxhash64("_found"), F.lit(passes)) == number)
-        words = texts.sparkSession.sparkContext.broadcast([row["_found"] for row in mine.toLocalIterator()])
-        found = _keyword_finder(words)
-        matched.append(texts.withColumn("_found", F.explode(found(F.col(text)))))
-    every = reduce(DataFrame.unionByName, matched)
-    return every.join(dictionary, every["_found"] == dictionary[keyword], "inner").select(
-        *texts.columns, *[dictionary[name] for name in dictionary.columns]
-    )
-
-
-def _keyword_finder(words):
-    @F.pandas_udf("array<string>")
-    def found(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        import ahocorasick
-
-        machine = ahocorasick.Automaton()
-        everywhere = [word for word in words.value if word == ""]
-        for word in words.value:
-            if word:
-                machine.add_word(word, word)
-        if len(machine):
-            machine.make_automaton()
-
-        def search(value):
-            if value is None:
-                return []
-            hits = {word for _, word in machine.iter(value)} if len(machine) else set()
-            return [*hits, *everywhere]
-
-        for batch in batches:
-            yield batch.map(search)
-
-    return found
+def _piece(keyword: Column, literal: bool) -> Column:
+    """The first characters of the keyword's longest run without wildcards; a text that matches holds them."""
+    if literal:
+        return F.substring(keyword, 1, PIECE)
+    runs = F.transform(F.split(keyword, "[%_]", -1), lambda run: F.struct(F.length(run).alias("size"), run.alias("run")))
+    return F.substring(F.array_max(runs)["run"], 1, PIECE)
+
+
+def _pieces_of(chars: str, size: int) -> Column:
+    """All runs of ``size`` characters of a text that is given as an array of them, each once."""
+    if size == 0:
+        return F.array(F.lit(""))
+    starts = F.sequence(F.lit(0), F.size(chars) - size)
+    runs = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + k) for k in range(size)]))
+    # An empty text is an array of one empty string.
+    return F.array_remove(F.array_distinct(F.when(F.size(chars) >= size, runs)), "")
+
+
+def _match_by_piece(texts, dictionary, text, keyword, literal):
+    entries = dictionary.filter(F.col(keyword).isNotNull()).withColumn("_piece", _piece(F.col(keyword), literal))
+    entries = stage(entries, "keywords")
+    sizes = [row[0] for row in entries.select(F.length("_piece")).distinct().collect()]  # 0 to PIECE
+    numbered = texts.filter(F.col(text).isNotNull()).withColumn("_text", F.monotonically_increasing_id())
+    numbered = stage(numbered, "texts")  # written, since the numbers must be the same in both uses
+    pieces = entries.select("_piece").distinct()
+    chars = numbered.select("_text", F.split(F.col(text), "").alias("_chars"))
+    found = None
+    for size in sizes:
+        own = chars.select("_text", F.explode(_pieces_of("_chars", size)).alias("_piece"))
+        found = own if found is None else found.unionAll(own)
+    if found is None:
+        return numbered.drop("_text").join(dictionary.limit(0), F.col(text) == F.col(keyword))
+    # Only pieces that some keyword has are kept; then pairs of a text's number and an entry are formed.
+    pairs = found.join(pieces, "_piece", "left_semi").join(entries, "_piece")
+    matched = numbered.join(pairs, "_text").filter(contained(F.col(text), F.col(keyword), literal))
+    return matched.select(*texts.columns, *dictionary.columns)
 
 
 def severity_per_customer(matches: DataFrame, customer: str, severity: str = "severity") -> DataFrame:

@@ -62,25 +62,25 @@ def employee_rewards(
 
 
 def customer_frustration(
-    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments"
+    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments", literal: bool = False
 ) -> DataFrame:
     """Total severity of the keywords in a customer's comments, and its level.
 
     Customers whose comments hold no keyword are left out.
     """
-    totals = severity_per_customer(match_keywords(visits, dictionary, text), customer)
+    totals = severity_per_customer(match_keywords(visits, dictionary, text, literal=literal), customer)
     return totals.withColumn("customer_frustration_level", frustration_level(F.col("total_severity")))
 
 
 def customer_intent(
-    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments"
+    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments", literal: bool = False
 ) -> DataFrame:
     """The intent matched most often per customer; the alphabetically first wins a tie."""
     intent = F.col("intent")
     for written, meant in INTENT_NAMES.items():
         intent = F.when(F.col("intent") == written, meant).otherwise(intent)
     counts = (
-        match_keywords(visits, dictionary, text)
+        match_keywords(visits, dictionary, text, literal=literal)
         .groupBy(customer, intent.alias("intent"))
         .agg(F.count("*").alias("matches"))
     )
@@ -88,11 +88,11 @@ def customer_intent(
 
 
 def contact_reasons(
-    visits: DataFrame, dictionary: DataFrame, n: int = 5, customer: str = "customernumber", text: str = "comments"
+    visits: DataFrame, dictionary: DataFrame, n: int = 5, customer: str = "customernumber", text: str = "comments", literal: bool = False
 ) -> DataFrame:
     """The n keywords raised by most customers, for either side (company or customer)."""
     counts = (
-        match_keywords(visits, dictionary, text)
+        match_keywords(visits, dictionary, text, literal=literal)
         .groupBy("comp_cust", "orddesc")
         .agg(F.countDistinct(customer).alias("customers"))
     )
@@ -100,12 +100,12 @@ def contact_reasons(
 
 
 def severity_indicator(
-    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments"
+    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments", literal: bool = False
 ) -> DataFrame:
     """Sums of the positive and of the negative severities per customer."""
     severity = F.col("severity")
     return (
-        match_keywords(visits, dictionary, text)
+        match_keywords(visits, dictionary, text, literal=literal)
         .groupBy(customer)
         .agg(
             F.sum(F.greatest(severity, F.lit(0))).alias("positive"),
@@ -115,10 +115,10 @@ def severity_indicator(
 
 
 def satisfaction_index(
-    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments"
+    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments", literal: bool = False
 ) -> DataFrame:
     """Positive minus negative severity per customer."""
-    sides = severity_indicator(visits, dictionary, customer, text)
+    sides = severity_indicator(visits, dictionary, customer, text, literal)
     return sides.select(customer, (F.col("positive") - F.col("negative")).alias("satisfaction"))
 
 

@@ -1,5 +1,7 @@
+import re
+
 import pytest
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 
 from tallylake.operators.keywords import match_keywords
@@ -22,13 +24,13 @@ VISITS = [
 ]
 DICTIONARY = [
     (1, "concerned", "cust", -4, "compliant"),
-    (2, "outstanding balance", "cust", 2, "offer"),
-    (3, "renegotiate", "cust", 1, "offer"),
-    (4, "deliver", "comp", 0, "logistic"),
-    (5, "missing", "comp", 5, "purchases"),
+    (2, "balance; we", "cust", 2, "offer"),
+    (3, "negotiate", "cust", 1, "offer"),
+    (4, "deliv", "comp", 0, "logistic"),
+    (5, "parrot", "comp", 5, "purchases"),
 ]
 DICTIONARY_SCHEMA = "rid int, orddesc string, comp_cust string, severity int, intent string"
-WAYS = {"in the row": {}, "automaton": {"small_entries": 2}, "automaton passes": {"small_entries": 2, "pass_entries": 2}}
+WAYS = {"in the row": {}, "by piece": {"small_entries": 2}, "by piece for its bytes": {"small_bytes": 10}}
 
 
 @pytest.fixture
@@ -52,27 +54,55 @@ def test_matches(visits, dictionary, way):
     assert out.columns == ["customernumber", "comments", "rid", "orddesc", "comp_cust", "severity", "intent"]
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(
-    st.lists(st.text("abé \n", max_size=12), min_size=1, max_size=8),
-    st.lists(st.text("abé ", min_size=0, max_size=3), min_size=3, max_size=8),
+    st.lists(st.text("abé%_\\ \n", max_size=12), min_size=1, max_size=8),
+    st.lists(st.text("abé %_\\", min_size=0, max_size=5), min_size=3, max_size=8),
 )
+@example(texts=['', 'a', 'ab%'], words=['', '', '%', 'b%'])
 def test_both_ways_equal_brute_force(spark, texts, words):
     visits = [(str(i), text) for i, text in enumerate(texts)]
     entries = [(i, word, "c", 1, "x") for i, word in enumerate(words)]
     v = spark.createDataFrame(visits, "customernumber string, comments string")
     d = spark.createDataFrame(entries, DICTIONARY_SCHEMA)
     for way in WAYS.values():
-        assert sorted((r.customernumber, r.rid) for r in match_keywords(v, d, **way).collect()) == by_hand(visits, entries)
+        assert sorted((r.customernumber, r.rid) for r in match_keywords(v, d, literal=True, **way).collect()) == by_hand(visits, entries)
+
+
+def like(text, keyword):
+    pattern = "".join({"%": ".*", "_": "."}.get(c, re.escape(c)) for c in keyword)
+    return re.search(pattern, text, re.DOTALL) is not None
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.lists(st.text("ab%_\\ \n", max_size=12), min_size=1, max_size=8),
+    st.lists(st.text("ab%_\\ ", min_size=0, max_size=6), min_size=3, max_size=8),
+)
+@example(texts=['', 'a_b', 'ab%\n\\'], words=['', '%', '_', 'a%b', '\\', '_\n'])
+def test_wildcards_in_both_ways(spark, texts, words):
+    v = spark.createDataFrame([(str(i), text) for i, text in enumerate(texts)], "customernumber string, comments string")
+    d = spark.createDataFrame([(i, word, "c", 1, "x") for i, word in enumerate(words)], DICTIONARY_SCHEMA)
+    wanted = sorted((str(i), k) for i, text in enumerate(texts) for k, word in enumerate(words) if like(text, word))
+    for way in WAYS.values():
+        assert sorted((r.customernumber, r.rid) for r in match_keywords(v, d, **way).collect()) == wanted
 
 
 @pytest.mark.parametrize("small", [100, 2])
-def test_wildcards_act_only_when_asked(spark, visits, small):
-    d = spark.createDataFrame([(1, "con%ed", "c", 1, "x"), (2, "of_it", "c", 1, "x"), (3, "d_l", "c", 1, "x")], DICTIONARY_SCHEMA)
-    literal = match_keywords(visits, d, small_entries=small).collect()
-    acting = match_keywords(visits, d, wildcards=True, small_entries=small).collect()
-    assert sorted((r.customernumber, r.rid) for r in literal) == [("c5", 2)]
-    assert sorted((r.customernumber, r.rid) for r in acting) == [("c1", 1), ("c5", 2), ("c5", 3)]
+def test_wildcards_and_backslashes(spark, visits, small):
+    entries = [(1, "con%ed", "c", 1, "x"), (2, "of_it", "c", 1, "x"), (3, "d_l", "c", 1, "x"), (4, "a\\b", "c", 1, "x"), (5, None, "c", 1, "x")]
+    d = spark.createDataFrame(entries, DICTIONARY_SCHEMA)
+    more = visits.unionByName(spark.createDataFrame([("c6", "x a\\b y")], visits.schema))
+    literal = match_keywords(more, d, literal=True, small_entries=small).collect()
+    acting = match_keywords(more, d, small_entries=small).collect()
+    assert sorted((r.customernumber, r.rid) for r in literal) == [("c5", 2), ("c6", 4)]
+    assert sorted((r.customernumber, r.rid) for r in acting) == [("c1", 1), ("c5", 2), ("c5", 3), ("c6", 4)]
+
+
+def test_no_python_and_no_nested_loop_for_a_large_dictionary(visits, dictionary):
+    out = match_keywords(visits, dictionary, small_entries=2)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert not any(x in plan for x in ("Python", "NestedLoop", "Cartesian"))
 
 
 def test_no_join_for_a_small_dictionary(visits, dictionary):
@@ -93,7 +123,7 @@ def test_intent_and_reasons(visits, dictionary):
     intents = {r.customernumber: (r.intent, r.matches) for r in customer_intent(visits, dictionary).collect()}
     assert intents == {"c1": ("complaint", 1), "c2": ("offer", 4), "c5": ("logistic", 1)}
     reasons = sorted((r.comp_cust, r.orddesc, r.customers, r.rnk) for r in contact_reasons(visits, dictionary, n=2).collect())
-    assert reasons == [("comp", "deliver", 1, 1), ("cust", "concerned", 1, 1), ("cust", "outstanding balance", 1, 2)]
+    assert reasons == [("comp", "deliv", 1, 1), ("cust", "balance; we", 1, 1), ("cust", "concerned", 1, 2)]
 
 
 def test_sides_and_satisfaction(visits, dictionary):
