@@ -6,7 +6,7 @@ comparison with an independent engine. All queries read whole tables.
 
 from __future__ import annotations
 
-from tallylake.catalogue import dimensional, discovery, ingest, relational  # noqa: F401  (registration)
+from tallylake.catalogue import daily, dimensional, discovery, ingest, relational  # noqa: F401  (registration)
 from tallylake.catalogue.registry import oracle_sql, queries
 
 __all__ = ["oracle_sql", "queries"]

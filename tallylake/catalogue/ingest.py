@@ -14,7 +14,7 @@ from tallylake.sinks import files as file_sinks
 from tallylake.sinks import tables as table_sinks
 from tallylake.sources import files as file_sources
 from tallylake.sources import tables as table_sources
-from tallylake.workspace import scratch_path
+from tallylake.workspace import scratch_path, session_dir
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 PAYMENT_SCHEMA = "customernumber bigint, checknumber bigint, paymentdate date, amount decimal(18,2)"
@@ -187,3 +187,66 @@ def incremental_extract(t: Tables):
 @query("incremental_extract_inclusive", f"SELECT * FROM {ORDERS} WHERE orderdate >= DATE '{AS_OF}' - INTERVAL 30 DAY")
 def incremental_extract_inclusive(t: Tables):
     return table_sources.incremental_extract(t.orders, "orderdate", AS_OF, days=30, inclusive=True)
+
+
+@query("read_json_array", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def read_json_array(t: Tables):
+    """Files that hold one JSON array each, over several lines."""
+    path = scratch_path(t.spark, "json-array")
+    rows = t.read("documents").withColumn("part", F.pmod("doc_id", F.lit(8)))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("j")))), lambda x: x["j"])
+    arrays = rows.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(listed, ",\n"), F.lit("\n]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return file_sources.read_json(t.spark, path, DOCUMENT_SCHEMA, multiline=True)
+
+
+@query("table_exists", f"SELECT customernumber, checknumber, paymentdate, amount, CAST(2 AS INTEGER) AS loads FROM {PAYMENTS}")
+def table_exists(t: Tables):
+    """A first load creates the table, a second one finds it and continues from its rows."""
+    database = t.new_database()
+    for _ in range(2):
+        if table_sources.table_exists(t.spark, database, "payments"):
+            stored = table_sources.read_table(t.spark, f"{database}.payments")
+            table_sinks.write_table(stored.withColumn("loads", F.col("loads") + 1), f"{database}.payments_next")
+        else:
+            table_sinks.write_table(t.payments.withColumn("loads", F.lit(1)), f"{database}.payments")
+    return table_sources.read_table(t.spark, f"{database}.payments_next")
+
+
+@query("prepare_zones", f"SELECT 'kept' AS zone, customernumber, amount FROM {PAYMENTS}")
+def prepare_zones(t: Tables):
+    """Of two filled zones, the kept one holds its rows after the zones are prepared, the rebuilt one is empty."""
+    kept, rebuilt = t.new_database(), t.new_database()
+    rows = t.payments.select("customernumber", "amount")
+    for zone in (kept, rebuilt):
+        table_sinks.write_table(rows, f"{zone}.payments")
+    table_sinks.prepare_zones(t.spark, [kept], [rebuilt], session_dir(t.spark))
+    found = None
+    for name, zone in (("kept", kept), ("rebuilt", rebuilt)):
+        table = table_sources.read_table_if_exists(t.spark, zone, "payments")
+        if table is not None:
+            part = table.select(F.lit(name).alias("zone"), "customernumber", "amount")
+            found = part if found is None else found.unionByName(part)
+    return found
+
+
+@query("external_table_append", f"SELECT * FROM {PAYMENTS} UNION ALL SELECT * FROM {PAYMENTS}")
+def external_table_append(t: Tables):
+    """Rows inserted twice into a delimited table outside the catalog; its files hold both."""
+    path = scratch_path(t.spark, "external")
+    name = f"{t.new_database()}.payments"
+    table_sources.external_delimited_table(t.spark, name, PAYMENT_SCHEMA, path, delimiter="|")
+    for _ in range(2):
+        table_sinks.append_insert(t.payments, name)
+    return file_sources.read_csv(t.spark, path, PAYMENT_SCHEMA, delimiter="|")
+
+
+@query("external_table_overwrite", f"SELECT customernumber, checknumber, paymentdate, CAST(2 * amount AS DECIMAL(18,2)) AS amount FROM {PAYMENTS}")
+def external_table_overwrite(t: Tables):
+    path = scratch_path(t.spark, "external")
+    name = f"{t.new_database()}.payments"
+    table_sources.external_delimited_table(t.spark, name, PAYMENT_SCHEMA, path)
+    table_sinks.append_insert(t.payments, name)
+    doubled = t.payments.withColumn("amount", (2 * F.col("amount")).cast("decimal(18,2)"))
+    table_sinks.overwrite_insert(doubled, name)
+    return file_sources.read_csv(t.spark, path, PAYMENT_SCHEMA)

@@ -204,17 +204,16 @@ def join_order_lines(t: Tables):
 @query(
     "join_order_lines_products",
     f"""
-    SELECT o.ordernumber, o.orderdate, d.orderlinenumber, d.quantityordered, p.productcode, p.productname, p.msrp
-    FROM {ORDERS} o JOIN {ORDERDETAILS} d ON o.ordernumber = d.ordernumber
-    JOIN {PRODUCTS} p ON d.productcode = p.productcode
-        AND year(o.orderdate) = 1997 AND month(o.orderdate) = 10
+    SELECT customernumber, ordernumber, orderdate, shippeddate, status, comments, quantityordered, priceeach, orderlinenumber,
+           productcode, productname, productline, CAST(NULL AS VARCHAR) AS productscale, productvendor,
+           CAST(NULL AS VARCHAR) AS productdescription, quantityinstock, buyprice, msrp
+    FROM {PRODUCTS} JOIN {ORDERDETAILS} USING (productcode) JOIN {ORDERS} USING (ordernumber)
+    WHERE orderdate BETWEEN DATE '1997-10-01' AND DATE '1997-10-31'
     """,
 )
 def join_order_lines_products(t: Tables):
-    placed = t.orders.filter(in_months(F.col("orderdate"), 1997, 10, 10)).select("ordernumber", "orderdate")
-    lines = t.orderdetails.select("ordernumber", "orderlinenumber", "quantityordered", "productcode")
-    names = t.products.select("productcode", "productname", "msrp")
-    return placed.join(lines, "ordernumber").join(names, "productcode")
+    """All eighteen columns; the tables hold neither scale nor description of a product."""
+    return curated.order_line_products(t.orders, t.orderdetails, t.products, 1997, 10, 10)
 
 
 @query(
@@ -246,9 +245,9 @@ def join_products_orders(t: Tables):
 @query(
     "self_join_on_max",
     f"""
-    SELECT n.customernumber, n.visitday, n.navigation_index, n.navigation_pg FROM {NAVIGATION} n
-    JOIN (SELECT customernumber, max(navigation_index) AS top FROM {NAVIGATION} GROUP BY customernumber) m
-        ON n.customernumber = m.customernumber AND n.navigation_index = m.top
+    SELECT customernumber, visitday, navigation_index, navigation_pg
+    FROM (SELECT *, max(navigation_index) OVER (PARTITION BY customernumber) AS top FROM {NAVIGATION})
+    WHERE navigation_index = top AND customernumber IS NOT NULL
     """,
 )
 def self_join_on_max(t: Tables):

@@ -9,14 +9,12 @@ from __future__ import annotations
 
 import uuid
 from functools import cached_property
-from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tallylake.sinks.tables import prepare_zones
-from tallylake.workspace import shared_dir
+from tallylake.workspace import session_dir
 
 # The load date of every dated query.
 AS_OF = "1998-01-01"
@@ -103,7 +101,11 @@ NAVIGATION = """(
     FROM events)"""
 
 
-_schemas: WeakKeyDictionary[SparkSession, dict[str, StructType]] = WeakKeyDictionary()
+# Employees with the day of their last change, for the daily load.
+DATED_EMPLOYEES = """(
+    SELECT s_suppkey AS employeenumber, s_name AS email, s_nationkey AS officecode,
+           CAST(DATE '1997-12-28' + CAST(s_suppkey % 5 AS INTEGER) AS DATE) AS upddt
+    FROM supplier)"""
 
 
 class Tables:
@@ -114,17 +116,12 @@ class Tables:
         self.sf_dir = sf_dir
 
     def read(self, name: str) -> DataFrame:
-        """A table by name. Its schema is inferred once per session, which saves a job on later reads."""
-        path = f"{self.sf_dir}/{name}.parquet"
-        known = _schemas.setdefault(self.spark, {})
-        if path not in known:
-            known[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(known[path]).parquet(path)
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def new_database(self) -> str:
         """A fresh database in the shared folder, for queries that write tables."""
         name = f"tally_{uuid.uuid4().hex}"
-        prepare_zones(self.spark, [name], [], f"{shared_dir(self.spark)}/tallylake")
+        prepare_zones(self.spark, [name], [], session_dir(self.spark))
         return name
 
     @cached_property
@@ -200,6 +197,11 @@ class Tables:
             F.col("s_nationkey").alias("officecode"),
         )
 
+    @cached_property
+    def dated_employees(self) -> DataFrame:
+        changed = F.date_add(F.lit("1997-12-28").cast("date"), (F.col("employeenumber") % 5).cast("int"))
+        return self.employees.withColumn("upddt", changed)
+
     @cached_property
     def offices(self) -> DataFrame:
         nation = self.read("nation")

@@ -15,21 +15,24 @@ from tallylake.plans import curated, dimensions, discovery
 from tallylake.sinks.files import dated_path, write_json
 from tallylake.sinks.tables import (
     append_insert,
+    build_zone,
     load_file_overwrite,
     prepare_zones,
     publish_snapshot,
+    switch_zone,
     write_table,
     write_table_partitioned,
 )
 from tallylake.sources.tables import incremental_extract, read_table, read_table_if_exists
-from tallylake.workspace import stage
+from tallylake.workspace import owned, stage
 
 
 @dataclass(frozen=True)
 class RetailSources:
     """Source frames, from files or databases.
 
-    ``customer_payments`` and ``order_lines`` come from ``curated`` (joined by
+    ``employee_order`` names columns that settle the order of an employee's changes of one
+    day; without it a hash of the row does. ``customer_payments`` and ``order_lines`` come from ``curated`` (joined by
     Spark) or from ``extracts`` (joined by the database). ``visits`` holds
     customernumber, comments and pagevisit.
     """
@@ -41,11 +44,12 @@ class RetailSources:
     products: DataFrame
     visits: DataFrame
     dictionary: DataFrame
+    employee_order: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
 class Zones:
-    """Databases: ``dim`` is kept between loads; the other two are rebuilt by each."""
+    """Databases: ``dim`` is kept between loads; the other two show what the last complete load has built."""
 
     dim: str = "retail_dim"
     curated: str = "retail_curated"
@@ -64,21 +68,28 @@ def run_day(
     """Load everything for ``as_of``.
 
     Each result is written once and read back where it is used again, so no
-    plan is computed twice. ``export`` receives the frustration table, for
-    example to send it to a database. A second run for the same date appends
-    the employee versions again; the other tables come out the same.
+    plan is computed twice. The rebuilt zones are built beside the present ones and
+    switched when they are complete; staged files are deleted at the end. ``export``
+    receives the frustration table, for example to send it to a database. A second run for
+    the same date appends the employee versions again; the other tables come out the same.
     """
-    prepare_zones(spark, [zones.dim], [zones.curated, zones.discovery], location)
-    load_dimensions(spark, sources, as_of, zones)
-    load_curated(spark, sources, as_of, report_prefix, zones)
-    load_discovery(spark, sources, as_of, zones, export)
+    prepare_zones(spark, [zones.dim], [], location)
+    beside = Zones(zones.dim, build_zone(spark, zones.curated, location), build_zone(spark, zones.discovery, location))
+    with owned(spark):
+        load_dimensions(spark, sources, as_of, beside)
+        load_curated(spark, sources, as_of, report_prefix, beside)
+        load_discovery(spark, sources, as_of, beside)
+    switch_zone(spark, zones.curated, beside.curated, location)
+    switch_zone(spark, zones.discovery, beside.discovery, location)
+    if export is not None:
+        export(read_table(spark, f"{zones.discovery}.cust_frustration_level"))
 
 
 def load_dimensions(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones) -> None:
     # Staged once: the plans below read the changes several times, and must see the same.
     employees = stage(incremental_extract(sources.employees, "upddt", as_of), "employees")
     history = read_table_if_exists(spark, zones.dim, "hive_employees")
-    versions = dimensions.employee_dimension(employees, history, as_of)
+    versions = dimensions.employee_dimension(employees, history, as_of, tie_break=list(sources.employee_order))
     if history is None:
         write_table(versions, f"{zones.dim}.hive_employees")
     else:
@@ -99,17 +110,17 @@ def load_curated(spark: SparkSession, sources: RetailSources, as_of: date, repor
     joined = curated.orders_products(products, sources.order_lines)
     write_table_partitioned(joined, f"{zones.curated}.ordersproducts", ["datadt"])
 
+    load_pages(spark, sources, as_of, report_prefix, zones)
+
+
+def load_pages(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:
     navigation_table = f"{zones.curated}.cust_navigation"
     write_table(explode_pages(sources.visits, ["customernumber"]), navigation_table)
     report = first_last_pages(read_table(spark, navigation_table))
     write_json(report, dated_path(report_prefix, as_of), compacted=True)
 
 
-def load_discovery(
-    spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones, export: Callable[[DataFrame], None] | None
-) -> None:
-    load_file_overwrite(sources.dictionary, f"{zones.discovery}.dim_order_rate")
-
+def load_discovery(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones) -> None:
     rewards = discovery.employee_rewards(
         read_table(spark, f"{zones.dim}.offices_raw"),
         scd2_current(read_table(spark, f"{zones.dim}.hive_employees"), ["employeenumber"]),
@@ -118,7 +129,11 @@ def load_discovery(
         since=as_of,
     )
     write_table_partitioned(rewards, f"{zones.discovery}.employeerewards", ["datadt"])
+    load_frustration(spark, sources, zones)
+
 
+def load_frustration(spark: SparkSession, sources: RetailSources, zones: Zones) -> None:
+    load_file_overwrite(sources.dictionary, f"{zones.discovery}.dim_order_rate")
     frustration = discovery.customer_frustration(
         sources.visits.select("customernumber", "comments"), read_table(spark, f"{zones.discovery}.dim_order_rate")
     ).select(
@@ -127,5 +142,3 @@ def load_discovery(
         F.col("customer_frustration_level").alias("frustration_level"),
     )
     write_table(frustration, f"{zones.discovery}.cust_frustration_level")
-    if export is not None:
-        export(read_table(spark, f"{zones.discovery}.cust_frustration_level"))

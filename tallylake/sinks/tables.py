@@ -6,6 +6,7 @@ import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def prepare_zones(spark: SparkSession, kept: list[str], rebuilt: list[str], location: str | None = None) -> None:
@@ -17,6 +18,30 @@ def prepare_zones(spark: SparkSession, kept: list[str], rebuilt: list[str], loca
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
+def build_zone(spark: SparkSession, zone: str, location: str | None = None) -> str:
+    """A new database in which the next contents of a zone are built, while readers use the present ones."""
+    built = f"{zone}_built_{uuid.uuid4().hex[:12]}"
+    prepare_zones(spark, [built], [], location)
+    return built
+
+
+def switch_zone(spark: SparkSession, zone: str, built: str, location: str | None = None) -> None:
+    """Point the zone's views to the tables of ``built``, and drop what was built before.
+
+    Until here a load that fails leaves the zone as it was. Readers use ``zone.table``.
+    """
+    prepare_zones(spark, [zone], [], location)
+    names = [t.name for t in spark.catalog.listTables(built) if not t.isTemporary]
+    for name in names:
+        spark.sql(f"CREATE OR REPLACE VIEW {zone}.{name} AS SELECT * FROM {built}.{name}")
+    for old in spark.catalog.listTables(zone):
+        if not old.isTemporary and old.name not in names:
+            spark.sql(f"DROP {'VIEW' if old.tableType == 'VIEW' else 'TABLE'} IF EXISTS {zone}.{old.name}")
+    for database in spark.catalog.listDatabases(f"{zone}_built_*"):
+        if database.name != built:
+            spark.sql(f"DROP DATABASE IF EXISTS {database.name} CASCADE")
+
+
 def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
     df.write.mode(mode).saveAsTable(name)
 
@@ -34,15 +59,15 @@ def write_table_partitioned(df: DataFrame, name: str, by: list[str], dynamic: bo
     if not dynamic or not spark.catalog.tableExists(name):
         balanced.write.mode("overwrite").partitionBy(*by).saveAsTable(name)
         return
-    columns = spark.read.table(name).columns
-    # insertInto ignores the writer option of this name, so the setting is lent for the write.
-    setting = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "dynamic")
-    try:
-        balanced.select(*columns).write.mode("overwrite").insertInto(name)
-    finally:
-        spark.conf.set(setting, before)
+    fields = spark.read.table(name).schema.fields
+    rows = balanced.select(*[F.col(f.name).cast(f.dataType) for f in fields])
+    # insertInto takes the mode from the session alone, and another thread's write would see it
+    # changed. The writer's option does the same in the table's folder.
+    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    writer = rows.write.mode("overwrite").format(about["Provider"]).partitionBy(*by)
+    writer.option("partitionOverwriteMode", "dynamic").save(about["Location"])
+    spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(name)
 
 
 def append_insert(df: DataFrame, name: str) -> None:

@@ -6,12 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Fixed value: the schema of the navigation files.
 NAVIGATION_SCHEMA = "id string, comments string, pagevisit array<string>"
-ORDER_RATE_SCHEMA = "rid int, orddesc string, comp_cust string, severity int, intent string"
-TRANSACTION_SCHEMA = (
-    "id string, purchase_date string, txn_id string, price string, prod_cat string, "
-    "prod_detail string, state string, city string, payment_mode string"
-)
 
 
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False) -> DataFrame:

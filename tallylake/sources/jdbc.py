@@ -62,18 +62,3 @@ def read_jdbc_partitioned(
             return read_jdbc(spark, database, table)
     options = {**database.reader_options(table), **partition_options(column, lower, upper, partitions)}
     return spark.read.format("jdbc").options(**options).load()
-
-
-def slice_predicates(column: str, slices: int) -> list[str]:
-    """WHERE clauses for an even read of a numeric key whose values are clustered.
-
-    The slices cover every row once; NULL keys go with the first.
-    """
-    clauses = [f"mod({column}, {slices}) in ({i}, {i - slices})" if i else f"mod({column}, {slices}) = 0" for i in range(slices)]
-    clauses[0] = f"({clauses[0]} or {column} is null)"
-    return clauses
-
-
-def read_jdbc_sliced(spark: SparkSession, database: JdbcDatabase, table: str, column: str, slices: int) -> DataFrame:
-    """Parallel read by key remainder, for keys too unevenly spread for ranges."""
-    return spark.read.jdbc(database.url, table, predicates=slice_predicates(column, slices), properties=database.options)

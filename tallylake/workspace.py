@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,13 +17,17 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/.scratch"
 
 
-def _session_dir(spark: SparkSession) -> str:
+def session_dir(spark: SparkSession) -> str:
+    """This application's part of the shared folder."""
     return f"{shared_dir(spark)}/tallylake/{spark.sparkContext.applicationId}"
 
 
+_owner: ContextVar[str | None] = ContextVar("owner", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path under the shared folder that no earlier run has used."""
-    return f"{_session_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_owner.get() or session_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def stage(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
@@ -45,13 +50,16 @@ def delete(spark: SparkSession, path: str) -> None:
 
 def release(spark: SparkSession) -> None:
     """Delete everything this application has staged; frames that read it can't be used any more."""
-    delete(spark, _session_dir(spark))
+    delete(spark, session_dir(spark))
 
 
 @contextmanager
-def released(spark: SparkSession):
-    """Delete on leaving what this application has staged; for a load whose results lie elsewhere."""
+def owned(spark: SparkSession):
+    """What is staged inside is deleted on leaving; for a load whose results lie elsewhere."""
+    folder = f"{session_dir(spark)}/owned-{uuid.uuid4().hex}"
+    token = _owner.set(folder)
     try:
-        yield
+        yield folder
     finally:
-        release(spark)
+        _owner.reset(token)
+        delete(spark, folder)

@@ -1,11 +1,14 @@
+from dataclasses import replace
 from datetime import date
 from decimal import Decimal as D
 
+import pytest
+
 from tallylake.plans import curated
 from tallylake.plans.daily import RetailSources, Zones, run_day
 from tallylake.sources.files import read_json
 from tallylake.sources.tables import read_table
-from tallylake.workspace import shared_dir
+from tallylake.workspace import session_dir, shared_dir
 
 DAY = date(2022, 11, 1)
 NEXT = date(2022, 11, 2)
@@ -21,7 +24,7 @@ def sources(spark, day):
         offices=make([("1", "CA"), ("1", "CA")], "officecode string, state string"),
         customer_payments=curated.customer_payments(
             make(
-                [(10, "Signal", "USA", 1, D("5.00")), (11, "Atelier", "France", 2, D("6.00"))],
+                [(10, "Larch", "USA", 1, D("5.00")), (11, "Rowan", "France", 2, D("6.00"))],
                 "customernumber int, customername string, country string, salesrepemployeenumber int, creditlimit decimal(10,2)",
             ),
             make(
@@ -46,10 +49,10 @@ def sources(spark, day):
             "productcode string, quantityinstock int, buyprice decimal(10,2), msrp decimal(10,2), upddt date",
         ),
         visits=make(
-            [("10", "very concerned", ["home", "exit"]), ("11", "all fine", ["home", "cart"])],
+            [("10", "such a muddle", ["home", "exit"]), ("11", "all fine", ["home", "cart"])],
             "customernumber string, comments string, pagevisit array<string>",
         ),
-        dictionary=make([(1, "concerned", "cust", -4, "complaint")], "rid int, orddesc string, comp_cust string, severity int, intent string"),
+        dictionary=make([(1, "muddle", "cust", -4, "complaint")], "rid int, orddesc string, comp_cust string, severity int, intent string"),
     )
 
 
@@ -66,7 +69,7 @@ def test_two_days(spark):
     assert rows("day_dim.hive_employees", "employeenumber", "ver") == [(1, 1), (1, 2), (2, 1), (2, 2)]
     assert rows("day_dim.offices_raw", "officecode") == [("1",)]
     assert rows("day_dim.hive_products", "productcode", "promoind", "demandind") == [("p1", 1, 0), ("p2", 0, 1)]
-    assert rows("day_curated.custpayments", "custname", "datadt") == [("ATELIER", NEXT), ("SIGNAL", NEXT)]
+    assert rows("day_curated.custpayments", "custname", "datadt") == [("LARCH", NEXT), ("ROWAN", NEXT)]
     assert rows("day_curated.ordersproducts", "ordernumber", "productcode", "promoind") == [(100, "p1", 1)]
     assert rows("day_discovery.employeerewards", "email", "sumamt", "rnk") == [("ann@x", D("8.00"), 1)]
     assert rows("day_discovery.cust_frustration_level") == [("10", -4, "highly frustrated")]
@@ -76,3 +79,40 @@ def test_two_days(spark):
         assert sorted((r.pagevisit, r.navigation_pg, r.custcnt) for r in report.collect()) == [
             ("first pagevisited", "home", 2), ("last pagevisited", "cart", 1), ("last pagevisited", "exit", 1),
         ]
+
+
+def files_below(spark, path):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = system.listFiles(target, True)
+    names = []
+    while found.hasNext():
+        names.append(found.next().getPath().toString())
+    return names
+
+
+def test_staged_files_go_with_the_load(spark):
+    base = f"{shared_dir(spark)}/daily_clean"
+    before = set(files_below(spark, session_dir(spark))) if exists(spark, session_dir(spark)) else set()
+    run_day(spark, sources(spark, DAY), DAY, f"{base}/pages", Zones("clean_dim", "clean_curated", "clean_discovery"), base)
+    after = set(files_below(spark, session_dir(spark))) if exists(spark, session_dir(spark)) else set()
+    assert after <= before
+
+
+def exists(spark, path):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def test_a_failed_load_leaves_the_zones_as_they_were(spark):
+    base = f"{shared_dir(spark)}/daily_fails"
+    zones = Zones("fail_dim", "fail_curated", "fail_discovery")
+    run_day(spark, sources(spark, DAY), DAY, f"{base}/pages", zones, base)
+    broken = replace(sources(spark, NEXT), dictionary=spark.sql("SELECT 1 AS rid, raise_error('lost') AS orddesc, 1 AS severity"))
+    with pytest.raises(Exception, match="lost"):
+        run_day(spark, broken, NEXT, f"{base}/pages", zones, base)
+    assert {r.datadt for r in read_table(spark, "fail_curated.custpayments").collect()} == {DAY}
+    assert read_table(spark, "fail_discovery.cust_frustration_level").count() == 1
+    run_day(spark, sources(spark, NEXT), NEXT, f"{base}/pages", zones, base)
+    assert {r.datadt for r in read_table(spark, "fail_curated.custpayments").collect()} == {NEXT}
+    assert len(spark.catalog.listDatabases("fail_curated_built_*")) == 1

@@ -19,8 +19,8 @@ def kpis(spark, buy, msrp, qty):
 @pytest.mark.parametrize(
     "buy, msrp, qty, expected",
     [
-        ("48.81", "95.70", 7933, ("46.89", "96.07", 1, 0)),
-        ("98.58", "214.30", 7305, ("115.72", "117.39", 1, 0)),
+        ("40.00", "70.00", 7000, ("30.00", "75.00", 1, 0)),
+        ("80.00", "200.10", 7000, ("120.10", "150.13", 1, 0)),
         ("10", "20", 0, ("10.00", "100.00", 0, 0)),
         ("10", "20", 1499, ("10.00", "100.00", 0, 1)),
         ("10", "20", 1500, ("10.00", "100.00", 0, 0)),

@@ -101,6 +101,30 @@ def test_zones(spark):
     assert table_exists(spark, "z_kept", "t") and not table_exists(spark, "z_rebuilt", "t")
 
 
+def test_partition_overwrite_leaves_the_setting_alone_meanwhile(spark, db):
+    """Seen by another thread all the time that the write runs."""
+    import threading
+
+    setting, seen, over = "spark.sql.sources.partitionOverwriteMode", set(), threading.Event()
+
+    def watch():
+        while not over.is_set():
+            seen.add(spark.conf.get(setting))
+
+    name = f"{db}.watched"
+    frame = spark.createDataFrame([(i, f"d{i % 3}") for i in range(30)], "x int, datadt string")
+    sinks.write_table_partitioned(frame, name, ["datadt"])
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    try:
+        sinks.write_table_partitioned(frame.filter("datadt = 'd1'").withColumn("x", -F.col("x")), name, ["datadt"])
+    finally:
+        over.set()
+        watcher.join()
+    assert {v.lower() for v in seen} == {"static"}
+    assert sorted(r.x for r in spark.read.table(name).collect()) == sorted(-i if i % 3 == 1 else i for i in range(30))
+
+
 def test_partition_overwrite_keeps_other_days(spark, db):
     frame = lambda rows: spark.createDataFrame(rows, "v int, datadt string")
     name = f"{db}.p"
@@ -164,13 +188,6 @@ def test_jdbc_options():
         jdbc.partition_options("k", 1, 2, 0)
 
 
-def test_slices_cover_every_key_once(spark):
-    keys = spark.createDataFrame([(k,) for k in [*range(-20, 20), None]], "k int")
-    clauses = jdbc.slice_predicates("k", 4)
-    counts = [keys.filter(clause).count() for clause in clauses]
-    assert sum(counts) == 41 and min(counts) >= 10
-
-
 class Recorder:
     """Stands in for Spark's reader and writer and keeps the options given."""
 
