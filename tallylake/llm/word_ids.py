@@ -49,8 +49,9 @@ class WordIds:
             self.known, self.older = {}, self.known
             new = words
         known = self.known
-        again = new & self.older.keys()
-        known.update(zip(again, map(self.older.__getitem__, again), strict=True))
+        older = self.older
+        again = {w for w in new if w in older}  # set operations would go through all of the older words
+        known.update((w, older[w]) for w in again)
         new = new - again
         split = {w: m.groups() for w in new if (m := _TAILED.fullmatch(w))}
         parts = {p for pair in split.values() for p in pair}
