@@ -53,6 +53,7 @@ def main():
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.warehouse.dir", f"{work}/warehouse")
+        .config("spark.checkpoint.dir", f"{work}/shared")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

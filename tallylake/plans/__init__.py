@@ -1,7 +1,8 @@
 """Composed retail pipelines.
 
 Frames use lower-case retail column names (``customernumber``, ``paymentdate``,
-``productcode`` ...). Nothing here runs a job, reads a clock or writes; the load
-date is always an argument. ``daily`` strings the pipelines together with
-sources and sinks.
+``productcode`` ...). Except in ``daily``, which strings the pipelines together with
+sources and sinks, nothing here writes results. Numbering, merging and keyword matching
+stage intermediate data when they are called. The load date is an argument; left out, it
+is Spark's current date.
 """
