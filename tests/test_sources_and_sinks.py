@@ -1,10 +1,13 @@
 import json
+from collections import Counter
 from datetime import date
 
 import pytest
+from oracle import connect
 from pyspark.sql import functions as F
 
-from tallylake.plans import extracts
+from tallylake.catalogue import retail
+from tallylake.plans import curated, extracts
 from tallylake.sinks import files as out
 from tallylake.sinks import tables as sinks
 from tallylake.sinks.jdbc import write_jdbc
@@ -228,16 +231,16 @@ def test_partitioned_read_asks_for_the_key_range():
 
 def test_extracts_leave_joins_and_filters_to_the_database(spark):
     rows = spark.createDataFrame(
-        [(1, "Signal", "USA", 7, "A", date(2022, 7, 1))],
+        [(1, "Larch", "USA", 7, "A", date(2022, 7, 1))],
         "customernumber int, customername string, country string, salesrepemployeenumber int, checknumber string, paymentdate date",
     ).withColumns({"creditlimit": F.lit(1), "amount": F.lit(2)})
     reader = Recorder((103, 496), rows)
     out_rows = extracts.customer_payments(reader, DB, 2022, 7, as_of="2022-11-01").collect()
     bounds, read = reader.calls
     assert read["partitionColumn"] == "customernumber" and (read["lowerBound"], read["upperBound"]) == ("103", "496")
-    assert "p.paymentdate >= date '2022-07-01' and p.paymentdate < date '2023-01-01'" in read["dbtable"]
+    assert "payments.paymentdate >= date '2022-07-01' and payments.paymentdate < date '2023-01-01'" in read["dbtable"]
     assert bounds["dbtable"].startswith("(select min(customernumber)") and read["dbtable"] in bounds["dbtable"]
-    assert (out_rows[0].custname, out_rows[0].datadt) == ("SIGNAL", date(2022, 11, 1))
+    assert (out_rows[0].custname, out_rows[0].datadt) == ("LARCH", date(2022, 11, 1))
 
     reader = Recorder()
     extracts.changed_rows(reader, DB, "employees", date(2022, 11, 1))
@@ -248,6 +251,28 @@ def test_extracts_leave_joins_and_filters_to_the_database(spark):
     ]
 
 
+def test_extract_texts_give_what_spark_joins_itself(spark):
+    """The statements sent to a database, run by an engine of this process."""
+    sf_dir = "/root/testdata/sf0.001"
+    t = retail.Tables(spark, sf_dir)
+    with connect(sf_dir) as db:
+        for name in ("CUSTOMERS", "PAYMENTS", "ORDERDETAILS"):
+            db.execute(f"CREATE TABLE {name.lower()} AS SELECT * FROM {getattr(retail, name)}")
+        db.execute(f"CREATE OR REPLACE TABLE placed AS SELECT * FROM {retail.ORDERS}")
+        db.execute("DROP VIEW orders")
+        db.execute("ALTER TABLE placed RENAME TO orders")
+        db.execute(f"CREATE TABLE products AS SELECT *, CAST(NULL AS VARCHAR) AS productscale, CAST(NULL AS VARCHAR) AS productdescription FROM {retail.PRODUCTS}")
+        rows = {text: Counter(map(str, db.execute(text).fetchall())) for text in (extracts.payments_text(1997, 7), extracts.lines_text(1997, 7), extracts.line_products_text(1997, 10, 10))}
+    joined = (
+        curated.customer_payments(t.customers, t.payments, 1997, 7),
+        curated.order_lines(t.orders, t.orderdetails, 1997, 7),
+        curated.order_line_products(t.orders, t.orderdetails, t.products, 1997, 10, 10),
+    )
+    for (text, theirs), frame in zip(rows.items(), joined, strict=True):
+        assert theirs.total() == frame.count() > 0, text
+    assert rows[extracts.line_products_text(1997, 10, 10)] == Counter(str(tuple(r)) for r in joined[2].collect())
+
+
 def test_partitioned_read_of_an_empty_table():
     spark = Recorder((None, None))
     jdbc.read_jdbc_partitioned(spark, DB, "payments", "customernumber", 4)
