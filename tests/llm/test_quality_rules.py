@@ -67,7 +67,7 @@ def test_cheap_rules_that_reject_go_first(spark):
     junk = spark.range(400).selectExpr("'a # b # c' AS text")
     ordered = [r.name for r in q.order_rules(junk)]
     assert sorted(ordered) == sorted(r.name for r in q.RULES)
-    assert ordered[0] in ("few_words", "symbols")
+    assert ordered[0] in ("few_words", "symbols", "word_length")  # the others reject nothing here
     assert [r.name for r in q.order_rules(junk.limit(0))] == [r.name for r in q.RULES]
 
 
