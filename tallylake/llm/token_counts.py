@@ -115,7 +115,7 @@ def apply(encoder: WordIds, text: bytes, tree: Tree, edits: list[Edit]) -> tuple
         region = b"".join([*pieces, text[place:end]])
         parts.append(region)
         at = end
-        words = region.split()
+        words = encoder.split(region)
         encoder.learn(set(words))
         encoded += len(words)
         lengths[first : final + 1] = 0
@@ -153,7 +153,7 @@ def _build(path: str):
                 texts = [t or b"" for t in part.column(1).to_pylist()]
                 trees = []
                 for text in texts:
-                    words = text.split()
+                    words = encoder.split(text)
                     encoder.learn(set(words))
                     trees.append(build(encoder, text, words))
                 packed = list(zip(*(t.packed() for t in trees), strict=True)) or [[], []]

@@ -23,7 +23,7 @@ def default_vocabulary() -> str:
 class WordIds:
     """Encodes white-space separated words; keeps those used lately, at most about ``capacity`` of them.
 
-    Only for vocabularies that drop white space. ASCII white space ends a word for the
+    Only for vocabularies that drop white space and capitals. ASCII white space ends a word for the
     tokenizer too and no special token contains any, so a text's ids are those of its words
     one after another. Letters followed by punctuation are two pre-tokens and kept apart.
     """
@@ -42,6 +42,12 @@ class WordIds:
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
             self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True))
 
+    @staticmethod
+    def split(text: bytes | None) -> list[bytes]:
+        """The words of a text, A-Z in lower case as the vocabulary has them; not where a special token may be meant."""
+        text = text or b""
+        return (text if b"<|" in text else text.lower()).split()
+
     def learn(self, words: set[bytes]) -> None:
         """Make sure that all of ``words`` are known."""
         new = words.difference(self.known)
@@ -55,7 +61,7 @@ class WordIds:
         new = new - again
         split = {w: m.groups() for w in new if (m := _TAILED.fullmatch(w))}
         parts = {p for pair in split.values() for p in pair}
-        self._encode(sorted((new - split.keys() | parts).difference(known)))
+        self._encode(list((new - split.keys() | parts).difference(known)))
         known.update((w, known[a] + known[b]) for w, (a, b) in split.items())
 
     def words(self, words: list[bytes]) -> list[bytes]:
@@ -66,7 +72,7 @@ class WordIds:
         """The ids of each text (none for None), in order; about ``block_bytes`` of text are in work at a time."""
         block, held = [], 0
         for text in texts:
-            block.append((text or b"").split())
+            block.append(self.split(text))
             held += len(text or b"")
             if held >= block_bytes:
                 yield from self._block(block)
