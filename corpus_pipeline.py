@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tallylake.llm import decontaminate, mixing, quality_rules, simhash, token_output
+from tallylake.llm.registry import importable
 from tallylake.workspace import stage
 
 
@@ -20,11 +21,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by near fingerprints, the one with the smallest id."""
+    importable(spark)
     return simhash.keep_one(docs, shingle=3, max_bits=3, seed=42)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that aren't contaminated by the benchmark."""
+    importable(spark)
     return decontaminate.drop_documents(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), size=13)
 
 
@@ -35,6 +38,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards; returns each document's place in them, as read back."""
+    importable(spark)
     return token_output.write_and_read(docs, end_id=2)
 
 
