@@ -36,11 +36,13 @@ class WordIds:
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.size, self.capacity, self.known, self.older = size, capacity, {}, {}
 
-    def _encode(self, words: list[bytes]) -> None:
+    def _encode(self, words: list[bytes]) -> dict[bytes, bytes]:
+        out = {}
         for k in range(0, len(words), 10_000):
             part = words[k : k + 10_000]
             found = self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)
-            self.known.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True))
+            out.update((w, np.array(e.ids, self.dtype).tobytes()) for w, e in zip(part, found, strict=True))
+        return out
 
     @staticmethod
     def split(text: bytes | None) -> list[bytes]:
@@ -48,27 +50,31 @@ class WordIds:
         text = text or b""
         return (text if b"<|" in text else text.lower()).split()
 
-    def learn(self, words: set[bytes]) -> None:
-        """Make sure that all of ``words`` are known."""
-        new = words.difference(self.known)
-        if len(self.known) + len(new) > self.capacity // 2:
-            self.known, self.older = {}, self.known
-            new = words
-        known = self.known
-        older = self.older
-        again = {w for w in new if w in older}  # set operations would go through all of the older words
-        known.update((w, older[w]) for w in again)
-        new = new - again
+    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
+        """Make sure that all of ``words`` are known; just theirs are returned, which is faster to look up."""
+        known, older = self.known, self.older
+        found = {w: ids for w in words if (ids := known.get(w)) is not None}
+        new = words.difference(found)
+        if not new:
+            return found
+        if len(known) + len(new) > self.capacity // 2:
+            self.known, self.older = known, older = dict(found), known
+        again = {w: ids for w in new if (ids := older.get(w)) is not None}
+        new = new.difference(again)
         split = {w: m.groups() for w in new if (m := _TAILED.fullmatch(w))}
-        parts = {p for pair in split.values() for p in pair}
-        self._encode(list((new - split.keys() | parts).difference(known)))
-        known.update((w, known[a] + known[b]) for w, (a, b) in split.items())
+        parts = new.difference(split).union(*split.values())
+        coded = {p: ids for p in parts if (ids := found.get(p) or again.get(p) or known.get(p)) is not None}
+        coded |= self._encode(list(parts.difference(coded)))
+        again |= coded | {w: coded[a] + coded[b] for w, (a, b) in split.items()}
+        known.update(again)
+        found |= again
+        return found
 
     def words(self, words: list[bytes]) -> list[bytes]:
         """The ids of each of some known words, as bytes."""
         return list(map(self.known.__getitem__, words))
 
-    def texts(self, texts: list[bytes | None], block_bytes: int = 2 << 20):
+    def texts(self, texts: list[bytes | None], block_bytes: int = 4 << 20):
         """The ids of each text (none for None), in order; about ``block_bytes`` of text are in work at a time."""
         block, held = [], 0
         for text in texts:
@@ -80,8 +86,7 @@ class WordIds:
         yield from self._block(block)
 
     def _block(self, block: list[list[bytes]]):
-        self.learn(set().union(*block))
-        known = self.known
+        known = self.learn(set().union(*block))
         for words in block:
             yield b"".join(map(known.__getitem__, words))
 
