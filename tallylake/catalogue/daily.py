@@ -43,12 +43,12 @@ def _load(t: Tables, *parts: str) -> tuple[daily.Zones, str]:
         prepare_zones(t.spark, [zones.dim], [zones.curated, zones.discovery], session_dir(t.spark))
         if "dimensions" in parts:
             daily.load_dimensions(t.spark, sources, day, zones)
-        if "curated" in parts:
-            daily.load_curated(t.spark, sources, day, report, zones)
+        if "payments" in parts:
+            daily.load_payments(sources, zones)
         if "pages" in parts:
             daily.load_pages(t.spark, sources, day, report, zones)
-        if "discovery" in parts:
-            daily.load_discovery(t.spark, sources, day, zones)
+        if "rewards" in parts:
+            daily.load_rewards(t.spark, day, zones)
         if "frustration" in parts:
             daily.load_frustration(t.spark, sources, zones)
     return zones, report
@@ -82,7 +82,7 @@ def daily_products(t: Tables):
     """,
 )
 def daily_rewards(t: Tables):
-    zones, _ = _load(t, "dimensions", "curated", "discovery")
+    zones, _ = _load(t, "dimensions", "payments", "rewards")
     return read_table(t.spark, f"{zones.discovery}.employeerewards")
 
 

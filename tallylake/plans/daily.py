@@ -104,7 +104,7 @@ def load_dimensions(spark: SparkSession, sources: RetailSources, as_of: date, zo
 
 
 def load_curated(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:
-    write_table_partitioned(sources.customer_payments, f"{zones.curated}.custpayments", ["datadt"])
+    load_payments(sources, zones)
 
     products = read_table(spark, f"{zones.dim}.hive_products")
     joined = curated.orders_products(products, sources.order_lines)
@@ -113,6 +113,10 @@ def load_curated(spark: SparkSession, sources: RetailSources, as_of: date, repor
     load_pages(spark, sources, as_of, report_prefix, zones)
 
 
+def load_payments(sources: RetailSources, zones: Zones) -> None:
+    write_table_partitioned(sources.customer_payments, f"{zones.curated}.custpayments", ["datadt"])
+
+
 def load_pages(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:
     navigation_table = f"{zones.curated}.cust_navigation"
     write_table(explode_pages(sources.visits, ["customernumber"]), navigation_table)
@@ -121,6 +125,11 @@ def load_pages(spark: SparkSession, sources: RetailSources, as_of: date, report_
 
 
 def load_discovery(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones) -> None:
+    load_rewards(spark, as_of, zones)
+    load_frustration(spark, sources, zones)
+
+
+def load_rewards(spark: SparkSession, as_of: date, zones: Zones) -> None:
     rewards = discovery.employee_rewards(
         read_table(spark, f"{zones.dim}.offices_raw"),
         scd2_current(read_table(spark, f"{zones.dim}.hive_employees"), ["employeenumber"]),
@@ -129,7 +138,6 @@ def load_discovery(spark: SparkSession, sources: RetailSources, as_of: date, zon
         since=as_of,
     )
     write_table_partitioned(rewards, f"{zones.discovery}.employeerewards", ["datadt"])
-    load_frustration(spark, sources, zones)
 
 
 def load_frustration(spark: SparkSession, sources: RetailSources, zones: Zones) -> None:
