@@ -13,6 +13,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Public vocabulary whose pre-tokenizer drops white space, so words are encoded independently of each other.
 VOCABULARY = "word_bpe_49k.json"
+#: A capital that a mark may follow: the tokenizer composes first, and some small letters compose where their capital does not.
+_MARKED = re.compile(rb"[A-Z][\x80-\xff]")
 _TAILED = re.compile(rb"([A-Za-z]+)([.,;:!?]+)")
 
 
@@ -46,9 +48,17 @@ class WordIds:
 
     @staticmethod
     def split(text: bytes | None) -> list[bytes]:
-        """The words of a text, A-Z in lower case as the vocabulary has them; not where a special token may be meant."""
+        """The words of a text, A-Z in lower case as the vocabulary has them; not where a special token or a composed letter may be meant."""
         text = text or b""
-        return (text if b"<|" in text else text.lower()).split()
+        if b"<|" in text:
+            return text.split()
+        lower = text.lower()
+        if not text.isascii() and (marked := [m.start() for m in _MARKED.finditer(text)]):
+            lower = bytearray(lower)
+            for k in marked:
+                lower[k] = text[k]
+            lower = bytes(lower)
+        return lower.split()
 
     def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
         """Make sure that all of ``words`` are known; just theirs are returned, which is faster to look up."""

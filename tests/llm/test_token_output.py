@@ -44,6 +44,13 @@ def test_words_encode_like_texts(text):
     assert np.frombuffer(next(iter(WORDS.texts([text.encode()]))), WORDS.dtype).tolist() == wanted
 
 
+@pytest.mark.parametrize("letter", ["H\u0331", "T\u0308", "J\u030c", "W\u030a", "Y\u030a", "H\u1dce\u0331"])
+def test_small_letters_that_compose_where_capitals_do_not(letter):
+    for text in (letter, letter + "x", f"AB{letter}C the {letter}. {letter.lower()}x É{letter}", letter + " <|endoftext|>"):
+        wanted = TOKENIZER.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(next(iter(WORDS.texts([text.encode()]))), WORDS.dtype).tolist() == wanted
+
+
 def test_query_equals_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     found = queries()["op7_token_output"](spark, SF)
