@@ -189,14 +189,22 @@ def incremental_extract_inclusive(t: Tables):
     return table_sources.incremental_extract(t.orders, "orderdate", AS_OF, days=30, inclusive=True)
 
 
+def write_json_arrays(docs, path: str, part_bytes: int = 32 << 20) -> None:
+    """Documents in files of one JSON array each, of about ``part_bytes``; rows are dealt by a hash that equal and NULL ids don't share."""
+    rows = docs.select("doc_id", F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("j"))
+    size = rows.agg(F.sum(F.octet_length("j").cast("long"))).first()[0] or 0
+    parts = max(8, -(-size // part_bytes))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("j", F.monotonically_increasing_id()), F.lit(parts)))
+    listed = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", "j"))), lambda x: x["j"])
+    arrays = rows.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(listed, ",\n"), F.lit("\n]")).alias("value"))
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+
+
 @query("read_json_array", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def read_json_array(t: Tables):
     """Files that hold one JSON array each, over several lines."""
     path = scratch_path(t.spark, "json-array")
-    rows = t.read("documents").withColumn("part", F.pmod("doc_id", F.lit(8)))
-    listed = F.transform(F.array_sort(F.collect_list(F.struct("doc_id", F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("j")))), lambda x: x["j"])
-    arrays = rows.groupBy("part").agg(F.concat(F.lit("[\n"), F.array_join(listed, ",\n"), F.lit("\n]")).alias("value"))
-    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    write_json_arrays(t.read("documents"), path)
     return file_sources.read_json(t.spark, path, DOCUMENT_SCHEMA, multiline=True)
 
 

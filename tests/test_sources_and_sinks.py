@@ -285,3 +285,15 @@ def test_jdbc_write_keeps_credentials_out_of_the_url():
     assert writer.calls[0] == {"numPartitions": "3", "truncate": "true"}
     assert writer.calls[1]["url"] == DB.url and writer.calls[1]["mode"] == "overwrite"
     assert writer.calls[1]["properties"]["password"] == "secret"
+
+
+def test_json_array_files_stay_small(spark, tmp_path):
+    from tallylake.catalogue.ingest import DOCUMENT_SCHEMA, write_json_arrays
+
+    rows = [(None if i % 2 else i, "x" * 900, "en", "s", 900) for i in range(2000)] + [(8, "again", "en", "s", 5)] * 2
+    docs = spark.createDataFrame(rows, DOCUMENT_SCHEMA)
+    write_json_arrays(docs, str(tmp_path / "arrays"), part_bytes=50_000)
+    sizes = [p.stat().st_size for p in (tmp_path / "arrays").glob("part-*")]
+    assert len(sizes) > 30 and max(sizes) < 100_000
+    found = src.read_json(spark, str(tmp_path / "arrays"), DOCUMENT_SCHEMA, multiline=True).collect()
+    assert sorted(map(tuple, found), key=str) == sorted(rows, key=str)
