@@ -6,8 +6,12 @@ ceil((i + 1) / w). In every slot the released block that is due first is taken (
 source that comes first by name). Weights add up to one, so this meets all dates, and after t
 slots every source has given w * t blocks, to less than one block.
 
-Weights are whole multiples of 1 / ``slots``, so the schedule repeats: it is worked out once
-for that many slots, whatever the data, and any block finds its slot by a lookup. The mix
+Weights are rounded to whole multiples of 1 / ``slots`` by largest remainder, so the schedule
+repeats: it is worked out once for that many slots, whatever the data, and any block finds its
+slot by a lookup. Rounding adds less than a block in every period to the deviation from a weight
+that is no such multiple. For weights that are given, ``slots`` is raised to up to ten times as
+many, the first that meets all weights or else the one that comes closest; a weight that would
+still be rounded to none has one slot, at the cost of the largest. The mix
 ends where the first source has no block left for its slot; later documents are left
 out. They are given their slots all the same.
 
@@ -27,7 +31,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-#: Slots before the schedule repeats, and so the finest weight.
+#: Slots before the schedule repeats, and so the finest weight; for weights that are given, at least.
 SLOTS = 1000
 
 
@@ -42,15 +46,29 @@ class Group:
 
 
 def _whole(weights: list[float], slots: int) -> list[int]:
-    """Weights as whole units, at least one each, that add up to ``slots``: largest remainders are rounded up."""
-    share = [w * (slots - len(weights)) / sum(weights) for w in weights]
-    units = [1 + int(x) for x in share]
+    """Weights as whole units that add up to ``slots``: largest remainders are rounded up. What comes to none is given one of the most."""
+    share = [round(w * slots / sum(weights), 9) for w in weights]
+    units = [int(x) for x in share]
     by_rest = sorted(range(len(share)), key=lambda k: (int(share[k]) - share[k], k))
     for k in by_rest[: slots - sum(units)]:
         units[k] += 1
+    for k in range(len(units)):
+        if not units[k]:
+            units[units.index(max(units))] -= 1
+            units[k] = 1
     return units
 
 
+def _closest(weights: list[float], slots: int) -> list[int]:
+    """Whole units of the number of slots, one to ten times ``slots``, that comes closest to the weights; the smallest of equals."""
+    total = sum(weights)
+
+    def off(units: list[int]) -> float:
+        return round(max(abs(u / sum(units) - w / total) for u, w in zip(units, weights, strict=True)), 12)
+
+    return min((_whole(weights, slots * k) for k in range(1, 11)), key=off)
+
+
 def groups(docs: DataFrame, source_col: str = "source", weights: dict[str | None, float] | None = None, power: float = 0.7, min_share: float = 0.01, slots: int = SLOTS) -> list[Group]:
     """The groups with their units, by name (NULL first, the pool last).
 
@@ -66,7 +84,7 @@ def groups(docs: DataFrame, source_col: str = "source", weights: dict[str | None
         named = counts.filter(F.col("source").isin([k for k in weights if k is not None]) | F.col("source").isNull())
         rows = {r["source"]: r["n"] for r in named.collect()}
         listed = sorted(weights.items(), key=by_name)
-        units = _whole([w for _, w in listed], slots)
+        units = _closest([w for _, w in listed], slots)
         return [Group(k, rows.get(k, 0), u) for (k, _), u in zip(listed, units, strict=True)]
     total = docs.count()
     large = sorted(((r["source"], r["n"]) for r in counts.filter(F.col("n") >= F.lit(min_share) * total).collect()), key=lambda x: (-x[1], by_name(x)))
@@ -160,6 +178,7 @@ def mix_order(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
     found = groups(docs, source_col, weights, slots=slots, **options)
     if not sum(g.rows for g in found):
         found = [Group(None, 0, slots, True)]
+    slots = sum(g.units for g in found)
     numbered = _numbered(docs, found, id_col, source_col, bucket_rows)
     table, end = _placed(spark, found, slots, block_rows)
     ends = _ends(numbered, found, slots, block_rows, table, end)
@@ -185,6 +204,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", wei
     found = groups(docs, source_col, weights, slots=slots, **options)
     if not sum(g.rows for g in found):
         return docs.limit(0)
+    slots = sum(g.units for g in found)
     numbered = _numbered(docs, found, id_col, source_col, bucket_rows)
     table, end = _placed(docs.sparkSession, found, slots, block_rows)
     ends = _ends(numbered, found, slots, block_rows, table, end)

@@ -63,3 +63,28 @@ def test_empty_and_equal_tables(spark, docs):
     assert mixing.mix(docs.limit(0)).collect() == [] and mixing.mix_order(docs.limit(0)).collect() == []
     same = spark.range(100).selectExpr("CAST(5 AS BIGINT) AS doc_id", "CAST(NULL AS STRING) AS source")
     assert mixing.mix(same).count() == 100 and mixing.mix_order(same).filter("kept").count() == 100
+
+
+def test_units_are_the_weights_themselves(spark, docs):
+    def units(weights):
+        return {g.name: g.units for g in mixing.groups(docs, weights=weights)}
+
+    even = units({"hot": 0.5} | {f"s{k}": 0.01 for k in range(50)})
+    assert even.pop("hot") == 500 and set(even.values()) == {10}
+    assert units({"hot": 0.9995, "s1": 0.0005}) == {"hot": 1999, "s1": 1}
+    for weights in ({"hot": 1 / 3, "s1": 2 / 3}, {"hot": 3.7, "s1": 0.21, "s2": 1.13}):
+        found = units(weights)
+        assert all(abs(u - weights[k] / sum(weights.values()) * sum(found.values())) < 1 for k, u in found.items())
+    rows = spark.range(60_000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'hot', concat('s', id % 60)) AS source")
+    share = {g.name: g.rows**0.7 for g in mixing.groups(rows)}
+    assert all(abs(g.units - 1000 * share[g.name] / sum(share.values())) < 1 for g in mixing.groups(rows))
+
+
+def test_given_weights_are_met_within_a_block(spark):
+    rows = spark.range(30_000).selectExpr("id AS doc_id", "if(id % 1000 = 0, 'rare', 'hot') AS source")
+    weight = {"hot": 0.9995, "rare": 0.0005}
+    done = Counter()
+    for r in mixing.mix_order(rows, weights=weight, block_rows=4).filter("kept").select("source", "slot").distinct().orderBy("slot").collect():
+        done[r.source] += 1
+        assert all(abs(done[k] - w * (r.slot + 1)) < 1 for k, w in weight.items())
+    assert done["hot"] > 5000 and done["rare"] >= 2
