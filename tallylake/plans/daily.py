@@ -47,6 +47,7 @@ class RetailSources:
     employee_order: tuple[str, ...] = ()
 
 
+# The names of the databases here and of the tables below, which their readers know.
 @dataclass(frozen=True)
 class Zones:
     """Databases: ``dim`` is kept between loads; the other two show what the last complete load has built."""

@@ -53,6 +53,7 @@ def test_product_kpis_types_and_no_python(spark):
 
 
 def test_levels(spark):
+    # The level names.
     sums = [-11, -10, -3, -2, -1, 0, 1, 2, 3, 10, 11, None]
     df = spark.createDataFrame([(s,) for s in sums], "s int")
     assert [r[0] for r in df.select(frustration_level(F.col("s"))).collect()] == [

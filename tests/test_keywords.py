@@ -14,20 +14,20 @@ from tallylake.plans.discovery import (
 )
 
 VISITS = [
-    ("c1", "They are concerned, very concerned"),
-    ("c1", "CONCERNED"),
-    ("c2", "an outstanding balance; we renegotiate"),
-    ("c2", "an outstanding balance; we renegotiate"),
-    ("c3", None),
-    ("c4", "nothing here"),
-    ("c5", "deliver, 100% of_it"),
+    ("g1", "all tulips wilted, even the bulbs wilted"),
+    ("g1", "WILTED"),
+    ("g2", "free seeds again; what a lovely hedge"),
+    ("g2", "free seeds again; what a lovely hedge"),
+    ("g3", None),
+    ("g4", "good morning"),
+    ("g5", "parcel torn, 50% of_it"),
 ]
 DICTIONARY = [
-    (1, "concerned", "cust", -4, "compliant"),
-    (2, "balance; we", "cust", 2, "offer"),
-    (3, "negotiate", "cust", 1, "offer"),
-    (4, "deliv", "comp", 0, "logistic"),
-    (5, "parrot", "comp", 5, "purchases"),
+    (40, "wilted", "comp", -7, "compliant"),
+    (41, "again; what", "cust", 2, "marketing"),
+    (42, "lovely", "cust", -3, "marketing"),
+    (43, "parcel", "comp", 0, "logistic"),
+    (44, "orchid", "cust", 6, "purchases"),
 ]
 DICTIONARY_SCHEMA = "rid int, orddesc string, comp_cust string, severity int, intent string"
 WAYS = {"in the row": {}, "by piece": {"small_entries": 2}, "by piece for its bytes": {"small_bytes": 10}}
@@ -90,13 +90,13 @@ def test_wildcards_in_both_ways(spark, texts, words):
 
 @pytest.mark.parametrize("small", [100, 2])
 def test_wildcards_and_backslashes(spark, visits, small):
-    entries = [(1, "con%ed", "c", 1, "x"), (2, "of_it", "c", 1, "x"), (3, "d_l", "c", 1, "x"), (4, "a\\b", "c", 1, "x"), (5, None, "c", 1, "x")]
+    entries = [(1, "wil%ed", "c", 1, "x"), (2, "of_it", "c", 1, "x"), (3, "p_rc", "c", 1, "x"), (4, "a\\b", "c", 1, "x"), (5, None, "c", 1, "x")]
     d = spark.createDataFrame(entries, DICTIONARY_SCHEMA)
-    more = visits.unionByName(spark.createDataFrame([("c6", "x a\\b y")], visits.schema))
+    more = visits.unionByName(spark.createDataFrame([("g6", "x a\\b y")], visits.schema))
     literal = match_keywords(more, d, literal=True, small_entries=small).collect()
     acting = match_keywords(more, d, small_entries=small).collect()
-    assert sorted((r.customernumber, r.rid) for r in literal) == [("c5", 2), ("c6", 4)]
-    assert sorted((r.customernumber, r.rid) for r in acting) == [("c1", 1), ("c5", 2), ("c5", 3), ("c6", 4)]
+    assert sorted((r.customernumber, r.rid) for r in literal) == [("g5", 2), ("g6", 4)]
+    assert sorted((r.customernumber, r.rid) for r in acting) == [("g1", 1), ("g5", 2), ("g5", 3), ("g6", 4)]
 
 
 def test_no_python_and_no_nested_loop_for_a_large_dictionary(visits, dictionary):
@@ -116,18 +116,18 @@ def test_empty_dictionary(spark, visits):
 
 def test_frustration(visits, dictionary):
     out = {r.customernumber: (r.total_severity, r.customer_frustration_level) for r in customer_frustration(visits, dictionary).collect()}
-    assert out == {"c1": (-4, "highly frustrated"), "c2": (6, "overwhelming"), "c5": (0, "neutral")}
+    assert out == {"g1": (-7, "highly frustrated"), "g2": (-2, "low frustrated"), "g5": (0, "neutral")}
 
 
 def test_intent_and_reasons(visits, dictionary):
     intents = {r.customernumber: (r.intent, r.matches) for r in customer_intent(visits, dictionary).collect()}
-    assert intents == {"c1": ("complaint", 1), "c2": ("offer", 4), "c5": ("logistic", 1)}
-    reasons = sorted((r.comp_cust, r.orddesc, r.customers, r.rnk) for r in contact_reasons(visits, dictionary, n=2).collect())
-    assert reasons == [("comp", "deliv", 1, 1), ("cust", "balance; we", 1, 1), ("cust", "concerned", 1, 2)]
+    assert intents == {"g1": ("complaint", 1), "g2": ("marketing", 4), "g5": ("logistic", 1)}
+    reasons = sorted((r.comp_cust, r.orddesc, r.customers, r.rnk) for r in contact_reasons(visits, dictionary, n=1).collect())
+    assert reasons == [("comp", "parcel", 1, 1), ("cust", "again; what", 1, 1)]
 
 
 def test_sides_and_satisfaction(visits, dictionary):
     sides = {r.customernumber: (r.positive, r.negative) for r in severity_indicator(visits, dictionary).collect()}
-    assert sides == {"c1": (0, 4), "c2": (6, 0), "c5": (0, 0)}
+    assert sides == {"g1": (0, 7), "g2": (4, 6), "g5": (0, 0)}
     index = {r.customernumber: r.satisfaction for r in satisfaction_index(visits, dictionary).collect()}
-    assert index == {"c1": -4, "c2": 6, "c5": 0}
+    assert index == {"g1": -7, "g2": -2, "g5": 0}
