@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_output, warc
+from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_output, vector_codes, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -146,3 +146,32 @@ def op8(spark, sf_dir):
 @query("op6_suffix_dedup")
 def op6(spark, sf_dir):
     return suffix_dedup.judge_documents(table(spark, sf_dir, "documents"))
+
+
+def _codes_sql(rounds: int) -> str:
+    """Every round spelled out: nearest entries, then the means of their parts."""
+    text = """
+WITH k AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS MATERIALIZED (SELECT r, vec_id, part, v[part * (len(v) // 8) + 1 : (part + 1) * (len(v) // 8)] AS x FROM k, range(8) AS t(part)),
+c0 AS MATERIALIZED (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, x AS y
+  FROM p WHERE r IN (SELECT r FROM k ORDER BY vec_id LIMIT 16))"""
+    for i in range(rounds + 1):
+        text += f""",
+a{i} AS MATERIALIZED (SELECT r, part, any_value(x) AS x, min({{'d': d, 'entry': entry}}) AS best FROM (SELECT r, p.part, x, entry,
+    list_sum(list_transform(list_zip(x, y), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM p JOIN c{i} USING (part)) GROUP BY r, part)"""
+        if i < rounds:
+            text += f""",
+m{i} AS (SELECT part, best.entry AS entry, i, sum(x[i])::BIGINT AS s, count(*)::BIGINT AS n FROM a{i}, unnest(range(1, len(x) + 1)) AS t(i) GROUP BY ALL),
+u{i} AS (SELECT part, entry, list((s - ((s % n + n) % n)) // n ORDER BY i) AS y FROM m{i} GROUP BY ALL),
+c{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(u{i}.y, c{i}.y) AS y FROM c{i} LEFT JOIN u{i} USING (part, entry))"""
+    return text + f""",
+f AS (SELECT r, string_agg(printf('%02x', best.entry), '' ORDER BY part) AS code, sum(best.d)::BIGINT AS error FROM a{rounds} GROUP BY r),
+h AS (SELECT sha256(string_agg(array_to_string(y, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM k JOIN f USING (r), h
+"""
+
+
+@query("op11_vector_codes", _codes_sql(6))
+def op11(spark, sf_dir):
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)

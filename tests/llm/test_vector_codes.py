@@ -1,0 +1,93 @@
+"""Vector codes against plain loops over every entry, and the pruning against full evaluation."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from tallylake.llm import vector_codes as vc
+
+SCHEMA = "vec_id long, embedding array<float>, label int, code string, v int"
+
+
+def brute(rows, parts=8, entries=16, rounds=6):
+    kept = []
+    for key, vector, label in rows:
+        if vector is not None and all(x is not None and math.isfinite(x) for x in vector):
+            own = [math.floor(4096 * float(np.float32(x))) for x in vector]
+            own += [0] * (-len(own) % parts)
+            width = len(own) // parts
+            kept.append((key, label, [own[i * width : (i + 1) * width] for i in range(parts)]))
+    kept.sort(key=lambda r: (r[0] is None, r[0] or 0, r[2]))
+    books = [[list(r[2][p]) for r in kept[:entries]] for p in range(parts)]
+
+    def best(part, x):
+        return min((sum((a - b) ** 2 for a, b in zip(x, y, strict=True)), e) for e, y in enumerate(books[part]))
+
+    for _ in range(rounds):
+        found = [[best(p, r[2][p])[1] for p in range(parts)] for r in kept]
+        for p in range(parts):
+            for e in range(len(books[p])):
+                own = [r[2][p] for r, f in zip(kept, found, strict=True) if f[p] == e]
+                if own:
+                    books[p][e] = [sum(c) // len(own) for c in zip(*own, strict=True)]
+    sha = hashlib.sha256(",".join(str(x) for b in books for y in b for x in y).encode()).hexdigest()
+    out, by_label = [], {}
+    for key, label, cut in kept:
+        near = [best(p, cut[p]) for p in range(parts)]
+        error = sum(d for d, _ in near)
+        by_label[label] = by_label.get(label, 0) + error
+        out.append((key, label, "".join(f"{e:02x}" for _, e in near), error))
+    return sorted(((k, c, e, by_label[n], sha) for k, n, c, e in out), key=str)
+
+
+def check(spark, rows):
+    table = spark.createDataFrame([(k, v, n, "x", 1) for k, v, n in rows], SCHEMA).repartition(3)
+    found = vc.compress(table)
+    assert found.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+
+
+def vectors(n, seed, width=16, step=None):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(0, 0.2, (n, width)).astype(np.float32)
+    return (np.round(x / step) * step if step else x).tolist()
+
+
+def test_odd_rows_equal_brute_force(spark):
+    rows = [(i, v, None if i % 5 == 0 else i % 3) for i, v in enumerate(vectors(60, 1), 10)]
+    rows += [(1, None, 1), (2, [None] * 16, 1), (3, [float("nan")] * 16, 1), (4, [float("inf")] + [0.0] * 15, 2), (5, [-0.0001] * 16, 2)]
+    rows += [(None, v, 9) for v in vectors(2, 2)] + [rows[3], rows[3], (rows[4][0], rows[5][1], 1)]
+    check(spark, rows)
+
+
+def test_ties_and_unused_entries(spark):
+    check(spark, [(i, v, 0) for i, v in enumerate(vectors(80, 3, 8, 0.25))])
+    check(spark, [(i, [0.5] * 8, i) for i in range(30)])
+
+
+@pytest.mark.parametrize("width", [0, 3, 24])
+def test_lengths_and_small_tables(spark, width):
+    check(spark, [(i, v, 0) for i, v in enumerate(vectors(5, 4, width))])
+
+
+def test_other_lengths_and_large_components_are_left_out(spark):
+    good = [(i, v, 0) for i, v in enumerate(vectors(20, 5))]
+    table = spark.createDataFrame([(k, v, n, "x", 1) for k, v, n in [*good, (50, [0.1] * 8, 0), (51, [3e38] * 16, 0)]], SCHEMA)
+    assert sorted(map(tuple, vc.compress(table).collect()), key=str) == brute(good)
+
+
+def test_empty_table(spark):
+    assert vc.compress(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_bounds_prune_and_never_cut_off_the_nearest():
+    rng = np.random.default_rng(7)
+    x = np.floor(rng.normal(0, 800, (3000, 8, 8))).astype(np.int64)
+    book = x[:16].transpose(1, 0, 2)
+    pivots = vc.far_apart(book, 4)
+    entry, error, evaluated = vc.nearest_entries(x, vc.pivot_distances(x, pivots), book, pivots)
+    full = vc.squared(x[:, :, None], book[None])
+    assert (entry == full.argmin(2)).all() and (error == full.min(2)).all()
+    assert evaluated < 0.8 * full.size
