@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, suffix_dedup, token_counts, token_output, vector_codes, warc
+from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, suffix_dedup, token_alignment, token_counts, token_output, vector_codes, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -175,3 +175,8 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 @query("op11_vector_codes", _codes_sql(6))
 def op11(spark, sf_dir):
     return vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=8, entries=16, rounds=6, scale=4096)
+
+
+@query("op12_token_alignment")
+def op12(spark, sf_dir):
+    return token_alignment.align_digests(table(spark, sf_dir, "documents"))
