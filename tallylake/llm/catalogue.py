@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tallylake.llm import attention_lm, decontaminate, language_id, mixing, quality_rules, simhash, suffix_dedup, token_alignment, token_counts, token_output, vector_codes, warc
+from tallylake.llm import attention_lm, decontaminate, language_id, minhash_join, mixing, quality_rules, simhash, suffix_dedup, token_alignment, token_counts, token_output, vector_codes, warc
 from tallylake.llm.registry import QUERIES, SQL, query, table
 
 
@@ -180,3 +180,8 @@ def op11(spark, sf_dir):
 @query("op12_token_alignment")
 def op12(spark, sf_dir):
     return token_alignment.align_digests(table(spark, sf_dir, "documents"))
+
+
+@query("op13_minhash_near_dedup")
+def op13(spark, sf_dir):
+    return minhash_join.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
