@@ -36,6 +36,35 @@ def scd2_append_versions_split(t: Tables):
     return rows.drop("part")
 
 
+# A third of the changes under one key, and flags that come back, stay or are missing.
+KEYED = "CASE WHEN employeenumber % 3 = 0 THEN 0 ELSE employeenumber END AS employeenumber"
+FLAGGED = f"(SELECT * REPLACE ({KEYED}, nullif(leaveflag, 'P') AS leaveflag) FROM {CHANGES})"
+FLAG_HISTORY = f"(SELECT * REPLACE (CASE WHEN employeenumber % 2 = 1 THEN 'F' END AS leaveflag) FROM {HISTORY} WHERE employeenumber % 3 > 0)"
+
+
+@query(
+    "scd2_only_changed",
+    f"""
+    WITH stored AS (SELECT employeenumber, leaveflag AS known, ver, ver = max(ver) OVER (PARTITION BY employeenumber) AS latest FROM {FLAG_HISTORY}),
+    lined AS (SELECT c.*, s.known, s.ver AS highest, lag(leaveflag) OVER w AS prior, row_number() OVER w AS place
+        FROM {FLAGGED} c LEFT JOIN (SELECT * FROM stored WHERE latest) s ON c.employeenumber = s.employeenumber
+        WINDOW w AS (PARTITION BY c.employeenumber ORDER BY upddt, changenumber)),
+    kept AS (SELECT * FROM lined WHERE CASE WHEN place > 1 THEN leaveflag IS DISTINCT FROM prior ELSE highest IS NULL OR leaveflag IS DISTINCT FROM known END)
+    SELECT employeenumber, jobtitle, leaveflag, upddt, changenumber,
+           CAST(row_number() OVER (PARTITION BY employeenumber ORDER BY upddt, changenumber) + coalesce(highest, 0) AS INTEGER) AS ver
+    FROM kept
+    """,
+)
+def scd2_only_changed(t: Tables):
+    """Versions only where the leave flag changes; one key holds a third of the changes."""
+    key = F.when(F.col("employeenumber") % 3 == 0, 0).otherwise(F.col("employeenumber"))
+    changes = t.changes.withColumns({"employeenumber": key, "leaveflag": F.nullif("leaveflag", F.lit("P"))})
+    history = t.history.filter("employeenumber % 3 > 0").withColumn("leaveflag", F.when(F.col("employeenumber") % 2 == 1, "F"))
+    return ops.scd2_append_versions(
+        history, changes, ["employeenumber"], ["upddt", "changenumber"], only_changed=True, tracked=["leaveflag"]
+    )
+
+
 @query(
     "scd2_initial_load",
     f"SELECT *, CAST(row_number() OVER (PARTITION BY employeenumber ORDER BY upddt, changenumber) AS INTEGER) AS ver FROM {CHANGES}",

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.operators.grouping import top_per_group
-from tallylake.operators.numbering import number_rows
+from tallylake.operators.numbering import number_changes, number_rows
 from tallylake.workspace import stage
 
 
@@ -25,18 +25,39 @@ def scd2_initial_load(
 
 
 def scd2_append_versions(
-    history: DataFrame | None, changes: DataFrame, keys: list[str], order_by: list[str], ver: str = "ver"
+    history: DataFrame | None,
+    changes: DataFrame,
+    keys: list[str],
+    order_by: list[str],
+    ver: str = "ver",
+    only_changed: bool = False,
+    tracked: list[str] | None = None,
 ) -> DataFrame:
     """The rows to append: each change numbered on from the key's highest version.
 
     Only the key and version columns of ``history`` are read, and combined map-side to one
     row per key. History rows are never altered; an empty or missing history is an initial
     load.
+
+    With ``only_changed`` a row is appended only if its ``tracked`` columns (by default all but the
+    keys and the order) differ from the key's version before it, stored or of the same batch: a batch loaded
+    again, or a value that comes back to what it is, adds nothing; A, B, A adds B and A. NULLs are
+    equal. The tracked columns of ``history`` are then read too.
     """
+    if only_changed:
+        tracked = tracked or [c for c in changes.columns if c not in {*keys, *(name.lstrip("-") for name in order_by)}]
+        latest = None if history is None else latest_versions(history, keys, tracked, ver)
+        return number_changes(changes, keys, order_by, tracked, latest, ver).withColumn(ver, F.col(ver).cast("int"))
     highest = None if history is None else history.groupBy(*keys).agg(F.max(ver).alias(ver))
     return scd2_initial_load(changes, keys, order_by, ver, highest)
 
 
+def latest_versions(history: DataFrame, keys: list[str], columns: list[str], ver: str = "ver") -> DataFrame:
+    """The keys, some columns and the number of every key's latest version, combined map-side."""
+    latest = F.max_by(F.struct(*columns), ver)
+    return history.groupBy(*keys).agg(F.max(ver).alias(ver), latest.alias("_latest")).select(*keys, "_latest.*", ver)
+
+
 def scd2_current(history: DataFrame, keys: list[str], ver: str = "ver") -> DataFrame:
     """The latest version of every key."""
     return top_per_group(history, keys, [f"-{ver}"], n=1, ties=False, out="_latest").drop("_latest")

@@ -18,12 +18,13 @@ def employee_dimension(
     as_of: date | str,
     days: int = 1,
     tie_break: list[str] | None = None,
+    only_changed: bool = False,
 ) -> DataFrame:
-    """Versions to append for the employees changed on the load date."""
+    """Versions to append for the employees changed on the load date (or only for those whose columns differ)."""
     changed = incremental_extract(employees, "upddt", as_of, days)
     cleaned = munge(changed, dedup=True, drop_all_null=True)
     order = ["upddt", *(tie_break or [])]
-    return scd2_append_versions(history, cleaned, ["employeenumber"], order)
+    return scd2_append_versions(history, cleaned, ["employeenumber"], order, only_changed=only_changed)
 
 
 def office_dimension(offices: DataFrame) -> DataFrame:

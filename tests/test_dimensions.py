@@ -35,7 +35,7 @@ def changes(spark):
 
 
 def versions(df):
-    return sorted((r.employeenumber, r.title, r.ver) for r in df.collect())
+    return sorted(((r.employeenumber, r.title, r.ver) for r in df.collect()), key=lambda r: (r[0], str(r[1])))
 
 
 def test_versions_continue_per_key(history, changes):
@@ -83,6 +83,33 @@ def test_hot_key_versions(spark):
     assert hot == list(range(6, 306)) and out.count() == 900
 
 
+def test_only_changes_become_versions(spark, history):
+    """A to A, A to B to A, NULLs, and several changes of one day."""
+    rows = [(1, "lead", d(9)), (1, "lead", d(10)), (2, "boss", d(9)), (2, "boss", d(9)), (2, "rep", d(10)), (3, None, d(9)), (3, None, d(10)), (3, "x", d(11)), (3, None, d(11))]
+    changes = spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], CHANGES + ", seq int")
+    past = history.select("*").unionByName(spark.createDataFrame([(3, None, d(1), 7)], HISTORY))
+    out = scd2_append_versions(past, changes, ["employeenumber"], ["upddt", "seq"], only_changed=True)
+    assert versions(out) == [(2, "boss", 2), (2, "rep", 3), (3, None, 9), (3, "x", 8)]
+    assert out.columns == [*changes.columns, "ver"] and out.dtypes[-1] == ("ver", "int")
+
+
+def test_an_unchanged_batch_appends_nothing(spark, history, changes):
+    how = {"only_changed": True, "tracked": ["title"]}
+    first = scd2_append_versions(history, changes, ["employeenumber"], ["upddt"], **how)
+    assert versions(first) == [(1, "boss", 3), (1, "vp", 4), (3, "new", 1)]
+    whole = history.unionByName(first)
+    latest = changes.filter("NOT (employeenumber = 1 AND title = 'boss')")
+    assert scd2_append_versions(whole, latest, ["employeenumber"], ["upddt"], **how).count() == 0
+
+
+@pytest.mark.parametrize("stored", [True, False])
+def test_only_changed_without_history_and_null_keys(spark, stored):
+    batch = spark.createDataFrame([(None, "y", d(2)), (None, "y", d(3)), (1, "a", d(2))], CHANGES)
+    history = spark.createDataFrame([(None, "y", d(1), 5)], HISTORY) if stored else None
+    out = scd2_append_versions(history, batch, ["employeenumber"], ["upddt"], only_changed=True)
+    assert [(r.employeenumber, r.title, r.ver) for r in out.orderBy("title").collect()] == [(1, "a", 1), (None, "y", 1)]
+
+
 def test_current_version(history):
     assert versions(scd2_current(history, ["employeenumber"])) == [(1, "lead", 2), (2, "rep", 1)]
 
