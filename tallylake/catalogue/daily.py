@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import date
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tallylake.catalogue.discovery import CUSTOMER_PAYMENTS, FIRST_LAST, LEVEL, MATCHES
@@ -63,6 +65,34 @@ def daily_employees(t: Tables):
     return read_table(t.spark, f"{zones.dim}.hive_employees")
 
 
+@query("daily_rerun", f"{STAFF} UNION ALL SELECT *, CAST(2 AS INTEGER) AS ver FROM {DATED_EMPLOYEES} WHERE upddt >= DATE '{DAYS[1]}'")
+def daily_rerun(t: Tables):
+    """Each day is broken off between two parts, run again, and then repeated as a whole; the rows are those of one run."""
+    zones = daily.Zones(*(t.new_database() for _ in range(3)))
+    for day in DAYS:
+        sources = _sources(t, day)
+        lost = t.offices.withColumn("state", F.raise_error(F.lit("the source is gone")))
+        try:
+            daily.load_dimensions(t.spark, replace(sources, offices=lost), day, zones)
+        except PySparkException:
+            daily.load_dimensions(t.spark, sources, day, zones)
+        daily.load_dimensions(t.spark, sources, day, zones, daily.DimensionRules(repeat=True))
+    return read_table(t.spark, f"{zones.dim}.hive_employees")
+
+
+CAUGHT_UP = f"SELECT *, CAST(1 AS INTEGER) AS ver FROM {DATED_EMPLOYEES} WHERE upddt <= DATE '{DAYS[1]}'"
+
+
+@query("daily_catch_up", CAUGHT_UP)
+def daily_catch_up(t: Tables):
+    """No load runs on the day between the two; the second one reads from the mark of the first, and only what changed."""
+    zones = daily.Zones(*(t.new_database() for _ in range(3)))
+    rules = daily.DimensionRules(only_changed=True, catch_up=2)
+    for day in DAYS:
+        daily.load_dimensions(t.spark, _sources(t, day), day, zones, rules)
+    return read_table(t.spark, f"{zones.dim}.hive_employees")
+
+
 @query("daily_products", f"SELECT * FROM ({KPI_SQL}) WHERE upddt >= DATE '{DAYS[0]}' - INTERVAL 1 DAY")
 def daily_products(t: Tables):
     """The second day's products are among the first day's, and replace them."""

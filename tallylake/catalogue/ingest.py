@@ -12,6 +12,7 @@ from tallylake.functions.dates import in_months
 from tallylake.operators.dimensions import scd1_merge
 from tallylake.sinks import files as file_sinks
 from tallylake.sinks import tables as table_sinks
+from tallylake.sinks.loads import LoadLedger, rows_before, write_load
 from tallylake.sources import files as file_sources
 from tallylake.sources import tables as table_sources
 from tallylake.workspace import scratch_path, session_dir
@@ -189,6 +190,51 @@ def incremental_extract_inclusive(t: Tables):
     return table_sources.incremental_extract(t.orders, "orderdate", AS_OF, days=30, inclusive=True)
 
 
+MARK_DAYS = (date(1997, 12, 30), date(1998, 1, 1))
+#: One payment in seven reaches the source two days late.
+ARRIVED = "paymentdate + CAST(CASE WHEN checknumber % 7 = 0 THEN 2 ELSE 0 END AS INTEGER)"
+
+
+@query(
+    "incremental_extract_marked",
+    f"""
+    SELECT *, CASE WHEN {ARRIVED} <= DATE '{MARK_DAYS[0]}' THEN DATE '{MARK_DAYS[0]}' ELSE DATE '{MARK_DAYS[1]}' END AS load_date
+    FROM {PAYMENTS} WHERE {ARRIVED} <= DATE '{MARK_DAYS[1]}'
+    """,
+)
+def incremental_extract_marked(t: Tables):
+    """Three days, the middle one without a load: its rows come with the next load, late rows too, none twice."""
+    database = t.new_database()
+    ledger = LoadLedger(t.spark, database)
+    for load_date in MARK_DAYS:
+        arrived = F.date_add("paymentdate", F.when(F.col("checknumber") % 7 == 0, 2).otherwise(0))
+        source = t.payments.filter(arrived <= F.lit(load_date))
+        loaded = rows_before(t.spark, database, "payments", load_date, "payments")
+        rows = table_sources.extract_since_mark(source, "paymentdate", load_date, ledger.mark("payments", load_date), 5, loaded)
+        write_load(rows, database, "payments", load_date, "payments")
+        written = t.spark.read.table(f"{database}.payments_loads").filter(F.col("load_date") == F.lit(load_date))
+        ledger.commit(load_date, "payments", *written.agg(F.count("*"), F.max("paymentdate")).first())
+    return t.spark.read.table(f"{database}.payments_loads").drop("load_part")
+
+
+@query(
+    "external_table_dated",
+    f"""
+    SELECT customernumber, checknumber, paymentdate, amount, DATE '{MARK_DAYS[0]}' AS datadt FROM {PAYMENTS}
+    UNION ALL SELECT customernumber, checknumber, paymentdate, CAST(2 * amount AS DECIMAL(18,2)), DATE '{MARK_DAYS[1]}' FROM {PAYMENTS}
+    """,
+)
+def external_table_dated(t: Tables):
+    """A delimited table outside the catalog, loaded by date: the second date twice, which replaces its rows and keeps the first date's."""
+    path = scratch_path(t.spark, "external")
+    name = f"{t.new_database()}.payments"
+    table_sources.external_delimited_table(t.spark, name, f"{PAYMENT_SCHEMA}, datadt date", path, by="datadt", delimiter="|")
+    doubled = t.payments.withColumn("amount", (2 * F.col("amount")).cast("decimal(18,2)"))
+    for load_date, rows in ((MARK_DAYS[0], t.payments), (MARK_DAYS[1], t.payments), (MARK_DAYS[1], doubled)):
+        table_sinks.replace_partition(rows, name, {"datadt": load_date})
+    return t.spark.read.table(name)
+
+
 def write_json_arrays(docs, path: str, part_bytes: int = 32 << 20) -> None:
     """Documents in files of one JSON array each, of about ``part_bytes``; rows are dealt by a hash that equal and NULL ids don't share."""
     rows = docs.select("doc_id", F.to_json(F.struct("doc_id", "text", "lang", "source", "n_chars")).alias("j"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
@@ -9,12 +10,14 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallylake.functions.dates import day
 from tallylake.operators.dimensions import scd2_current
 from tallylake.operators.navigation import explode_pages, first_last_pages
 from tallylake.plans import curated, dimensions, discovery
 from tallylake.sinks.files import dated_path, write_json
+from tallylake.sinks.loads import LoadLedger, rows_before, write_load
 from tallylake.sinks.tables import (
-    append_insert,
+    abandon_zones,
     build_zone,
     load_file_overwrite,
     prepare_zones,
@@ -23,7 +26,7 @@ from tallylake.sinks.tables import (
     write_table,
     write_table_partitioned,
 )
-from tallylake.sources.tables import incremental_extract, read_table, read_table_if_exists
+from tallylake.sources.tables import extract_since_mark, incremental_extract, read_table, read_table_if_exists
 from tallylake.workspace import owned, stage
 
 
@@ -57,6 +60,21 @@ class Zones:
     discovery: str = "retail_discovery"
 
 
+@dataclass(frozen=True)
+class DimensionRules:
+    """How the kept dimensions are loaded.
+
+    ``repeat`` loads parts again that the ledger holds for the date (their rows are replaced). With
+    ``only_changed`` an employee gets a version only where a column differs. ``catch_up`` reads employees from
+    the mark of the last complete load instead of the day before the load date, and late rows as many
+    days back; so a day without a load loses nothing.
+    """
+
+    repeat: bool = False
+    only_changed: bool = False
+    catch_up: int | None = None
+
+
 def run_day(
     spark: SparkSession,
     sources: RetailSources,
@@ -65,43 +83,73 @@ def run_day(
     zones: Zones = Zones(),
     location: str | None = None,
     export: Callable[[DataFrame], None] | None = None,
+    rules: DimensionRules = DimensionRules(),
 ) -> None:
     """Load everything for ``as_of``.
 
     Each result is written once and read back where it is used again, so no
     plan is computed twice. The rebuilt zones are built beside the present ones and
     switched when they are complete; staged files are deleted at the end. ``export``
-    receives the frustration table, for example to send it to a database. A second run for
-    the same date appends the employee versions again; the other tables come out the same.
+    receives the frustration table, for example to send it to a database.
+
+    A run that has failed, or a second one for the same date, can simply be repeated while no later date is loaded: parts of
+    the dimensions that are complete are left as they are, and an incomplete one begins from the dimension
+    as it was. A failed run takes the zones away that it has begun.
     """
     prepare_zones(spark, [zones.dim], [], location)
-    beside = Zones(zones.dim, build_zone(spark, zones.curated, location), build_zone(spark, zones.discovery, location))
-    with owned(spark):
-        load_dimensions(spark, sources, as_of, beside)
-        load_curated(spark, sources, as_of, report_prefix, beside)
-        load_discovery(spark, sources, as_of, beside)
-    switch_zone(spark, zones.curated, beside.curated, location)
-    switch_zone(spark, zones.discovery, beside.discovery, location)
+    owner = f"{spark.sparkContext.applicationId}_{uuid.uuid4().hex[:8]}"
+    try:
+        beside = Zones(zones.dim, *(build_zone(spark, zone, location, owner) for zone in (zones.curated, zones.discovery)))
+        with owned(spark):
+            load_dimensions(spark, sources, as_of, beside, rules)
+            load_curated(spark, sources, as_of, report_prefix, beside)
+            load_discovery(spark, sources, as_of, beside)
+        switch_zone(spark, zones.curated, beside.curated, location)
+        switch_zone(spark, zones.discovery, beside.discovery, location)
+    finally:
+        for zone in (zones.curated, zones.discovery):
+            abandon_zones(spark, zone, owner)
     if export is not None:
         export(read_table(spark, f"{zones.discovery}.cust_frustration_level"))
 
 
-def load_dimensions(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones) -> None:
-    # Staged once: the plans below read the changes several times, and must see the same.
-    employees = stage(incremental_extract(sources.employees, "upddt", as_of), "employees")
-    history = read_table_if_exists(spark, zones.dim, "hive_employees")
-    versions = dimensions.employee_dimension(employees, history, as_of, tie_break=list(sources.employee_order))
-    if history is None:
-        write_table(versions, f"{zones.dim}.hive_employees")
+def load_dimensions(
+    spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones, rules: DimensionRules = DimensionRules()
+) -> None:
+    """The three parts of the kept zone; each is entered in the ledger once it is complete."""
+    ledger = LoadLedger(spark, zones.dim)
+    for part, load in (("employees", load_employees), ("offices", load_offices), ("products", load_products)):
+        if rules.repeat or not ledger.holds(as_of, part):
+            load(spark, sources, as_of, zones, rules)
+
+
+def load_employees(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones, rules: DimensionRules) -> None:
+    ledger = LoadLedger(spark, zones.dim)
+    history = rows_before(spark, zones.dim, "hive_employees", as_of, "employees")
+    mark = ledger.mark("employees", as_of)
+    if rules.catch_up is None:
+        changed = incremental_extract(sources.employees, "upddt", as_of)
     else:
-        append_insert(versions, f"{zones.dim}.hive_employees")
+        changed = extract_since_mark(sources.employees, "upddt", as_of, mark, rules.catch_up, history)
+    # Staged once: the plans below read the changes several times, and must see the same.
+    changed = stage(changed, "employees")
+    versions = dimensions.employee_versions(changed, history, list(sources.employee_order), rules.only_changed)
+    write_load(versions, zones.dim, "hive_employees", as_of, "employees")
+    rows, latest = changed.agg(F.count("*"), F.max(F.least("upddt", day(as_of)))).first()
+    ledger.commit(as_of, "employees", rows, max((d for d in (mark, latest) if d is not None), default=None))
+
 
+def load_offices(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones, rules: DimensionRules) -> None:
     write_table(dimensions.office_dimension(sources.offices), f"{zones.dim}.offices_raw")
+    LoadLedger(spark, zones.dim).commit(as_of, "offices", read_table(spark, f"{zones.dim}.offices_raw").count())
+
 
+def load_products(spark: SparkSession, sources: RetailSources, as_of: date, zones: Zones, rules: DimensionRules) -> None:
     products = stage(incremental_extract(sources.products, "upddt", as_of, inclusive=True), "products")
     existing = read_table_if_exists(spark, zones.dim, "hive_products")
     merged = dimensions.product_dimension(products, existing, as_of, latest_by=["-upddt"])
     publish_snapshot(merged, zones.dim, "hive_products")
+    LoadLedger(spark, zones.dim).commit(as_of, "products", products.count())
 
 
 def load_curated(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:

@@ -20,8 +20,14 @@ def employee_dimension(
     tie_break: list[str] | None = None,
     only_changed: bool = False,
 ) -> DataFrame:
-    """Versions to append for the employees changed on the load date (or only for those whose columns differ)."""
-    changed = incremental_extract(employees, "upddt", as_of, days)
+    """Versions to append for the employees changed on the load date."""
+    return employee_versions(incremental_extract(employees, "upddt", as_of, days), history, tie_break, only_changed)
+
+
+def employee_versions(
+    changed: DataFrame, history: DataFrame | None, tie_break: list[str] | None = None, only_changed: bool = False
+) -> DataFrame:
+    """Versions to append for a batch of changes, or only for those that change a column."""
     cleaned = munge(changed, dedup=True, drop_all_null=True)
     order = ["upddt", *(tie_break or [])]
     return scd2_append_versions(history, cleaned, ["employeenumber"], order, only_changed=only_changed)

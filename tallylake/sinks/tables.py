@@ -8,6 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallylake.workspace import delete
+
 
 def prepare_zones(spark: SparkSession, kept: list[str], rebuilt: list[str], location: str | None = None) -> None:
     """Create the databases that keep their tables; drop and recreate the others."""
@@ -18,17 +20,23 @@ def prepare_zones(spark: SparkSession, kept: list[str], rebuilt: list[str], loca
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{where}")
 
 
-def build_zone(spark: SparkSession, zone: str, location: str | None = None) -> str:
-    """A new database in which the next contents of a zone are built, while readers use the present ones."""
+def build_zone(spark: SparkSession, zone: str, location: str | None = None, owner: str | None = None) -> str:
+    """A new database in which the next contents of a zone are built, while readers use the present ones.
+
+    It is marked as being built by ``owner`` (this application, unless named), and no other load takes it away.
+    """
     built = f"{zone}_built_{uuid.uuid4().hex[:12]}"
     prepare_zones(spark, [built], [], location)
+    _mark_zone(spark, built, load_owner=owner or spark.sparkContext.applicationId, load_state="building")
     return built
 
 
-def switch_zone(spark: SparkSession, zone: str, built: str, location: str | None = None) -> None:
-    """Point the zone's views to the tables of ``built``, and drop what was built before.
+def switch_zone(spark: SparkSession, zone: str, built: str, location: str | None = None, keep: int = 1) -> None:
+    """Point the zone's views to the tables of ``built``, and retire what was finished long before.
 
-    Until here a load that fails leaves the zone as it was. Readers use ``zone.table``.
+    Until here a load that fails leaves the zone as it was. Readers use ``zone.table``; whoever has begun to
+    read goes on with the former tables, since the last ``keep`` finished databases stay beside the present
+    one. Databases that are still being built are never touched.
     """
     prepare_zones(spark, [zone], [], location)
     names = [t.name for t in spark.catalog.listTables(built) if not t.isTemporary]
@@ -37,9 +45,33 @@ def switch_zone(spark: SparkSession, zone: str, built: str, location: str | None
     for old in spark.catalog.listTables(zone):
         if not old.isTemporary and old.name not in names:
             spark.sql(f"DROP {'VIEW' if old.tableType == 'VIEW' else 'TABLE'} IF EXISTS {zone}.{old.name}")
+    finished = {name: int(marks["load_number"]) for name, marks in zone_builds(spark, zone).items() if marks.get("load_state") == "finished"}
+    _mark_zone(spark, built, load_state="finished", load_number=1 + max(finished.values(), default=0))
+    former = sorted((name for name in finished if name != built), key=finished.get, reverse=True)
+    for name in former[keep:]:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def zone_builds(spark: SparkSession, zone: str) -> dict[str, dict[str, str]]:
+    """The databases built for a zone, with their marks."""
+    found = {}
     for database in spark.catalog.listDatabases(f"{zone}_built_*"):
-        if database.name != built:
-            spark.sql(f"DROP DATABASE IF EXISTS {database.name} CASCADE")
+        described = {row[0]: row[1] for row in spark.sql(f"DESCRIBE DATABASE EXTENDED {database.name}").collect()}
+        found[database.name] = dict(re.findall(r"\((load_\w+),([^()]*)\)", described.get("Properties") or ""))
+    return found
+
+
+def abandon_zones(spark: SparkSession, zone: str, owner: str | None = None) -> None:
+    """Drop what ``owner`` (this application, unless named) has begun to build for a zone and not finished."""
+    owner = owner or spark.sparkContext.applicationId
+    for name, marks in zone_builds(spark, zone).items():
+        if marks.get("load_state") == "building" and marks.get("load_owner") == owner:
+            spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+
+
+def _mark_zone(spark: SparkSession, database: str, **marks) -> None:
+    listed = ", ".join(f"'{key}' = '{value}'" for key, value in marks.items())
+    spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ({listed})")
 
 
 def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
@@ -63,13 +95,75 @@ def write_table_partitioned(df: DataFrame, name: str, by: list[str], dynamic: bo
     rows = balanced.select(*[F.col(f.name).cast(f.dataType) for f in fields])
     # insertInto takes the mode from the session alone, and another thread's write would see it
     # changed. The writer's option does the same in the table's folder.
-    about = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    about = _about(spark, name)
     writer = rows.write.mode("overwrite").format(about["Provider"]).partitionBy(*by)
     writer.option("partitionOverwriteMode", "dynamic").save(about["Location"])
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
     spark.catalog.refreshTable(name)
 
 
+def replace_partition(df: DataFrame, name: str, values: dict[str, object]) -> None:
+    """Make ``df`` the whole contents of one partition of a table, whatever it held before.
+
+    The rows go to a folder that no other load uses, and the partition's location is then set to it, in one
+    step. So a repeated load replaces its rows, other partitions stay as they are, and a load that breaks off
+    leaves only files that nobody reads, as replaced ones are (see ``drop_unread``). An empty frame empties the
+    partition. ``values`` holds all partition columns; ``df`` the others, matched by name.
+    """
+    spark = df.sparkSession
+    about = _about(spark, name)
+    fields = [f for f in spark.read.table(name).schema.fields if f.name not in values]
+    rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in fields])
+    spec = ", ".join(f"`{key}` = '{value}'" for key, value in values.items())
+    folder = "/".join([about["Location"].rstrip("/"), *(f"{key}={value}" for key, value in values.items()), f"load-{uuid.uuid4().hex}"])
+    whole = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"} if about["Provider"] == "csv" else {}
+    rows.write.format(about["Provider"]).options(**whole, **_stored_options(about)).save(folder)
+    if spark.sql(f"SHOW PARTITIONS {name} PARTITION ({spec})").isEmpty():
+        spark.sql(f"ALTER TABLE {name} ADD PARTITION ({spec}) LOCATION '{folder}'")
+    else:
+        spark.sql(f"ALTER TABLE {name} PARTITION ({spec}) SET LOCATION '{folder}'")
+    spark.catalog.refreshTable(name)
+
+
+def drop_unread(spark: SparkSession, name: str) -> int:
+    """Delete the folders of replaced or broken-off loads, and return their number.
+
+    Run it when no load of the table is under way and readers of replaced rows are done.
+    """
+    top = _about(spark, name)["Location"].rstrip("/")
+    read = set()
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        spec = ", ".join(f"`{key}` = '{value}'" for key, value in (part.split("=", 1) for part in row[0].split("/")))
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
+        read |= {r["data_type"].rstrip("/").split("/")[-1] for r in described if r["col_name"] == "Location"}
+    old = [folder for folder in _load_folders(spark, top) if folder.split("/")[-1] not in read]
+    for folder in old:
+        delete(spark, folder)
+    return len(old)
+
+
+def _load_folders(spark: SparkSession, top: str) -> list[str]:
+    """All folders named ``load-…`` below a table's location."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, left = [], [path]
+    while left:
+        for status in system.listStatus(left.pop()) if left else []:
+            if status.isDirectory():
+                inner = status.getPath()
+                found.append(inner.toString()) if inner.getName().startswith("load-") else left.append(inner)
+    return found
+
+
+def _about(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+
+
+def _stored_options(about: dict[str, str]) -> dict[str, str]:
+    """The options that a table was declared with, as its readers use them."""
+    return dict(re.findall(r"(?:^\[|, )(\w+)=(.*?)(?=, \w+=|\]$)", about.get("Storage Properties", "")))
+
+
 def append_insert(df: DataFrame, name: str) -> None:
     """Append to an existing table, matching columns by name."""
     df.select(*df.sparkSession.read.table(name).columns).write.mode("append").insertInto(name)

@@ -5,7 +5,9 @@ from decimal import Decimal as D
 import pytest
 
 from tallylake.plans import curated
-from tallylake.plans.daily import RetailSources, Zones, run_day
+from tallylake.plans.daily import DimensionRules, RetailSources, Zones, run_day
+from tallylake.sinks.loads import LoadLedger
+from tallylake.sinks.tables import abandon_zones, build_zone, switch_zone, write_table, zone_builds
 from tallylake.sources.files import read_json
 from tallylake.sources.tables import read_table
 from tallylake.workspace import session_dir, shared_dir
@@ -115,4 +117,63 @@ def test_a_failed_load_leaves_the_zones_as_they_were(spark):
     assert read_table(spark, "fail_discovery.cust_frustration_level").count() == 1
     run_day(spark, sources(spark, NEXT), NEXT, f"{base}/pages", zones, base)
     assert {r.datadt for r in read_table(spark, "fail_curated.custpayments").collect()} == {NEXT}
-    assert len(spark.catalog.listDatabases("fail_curated_built_*")) == 1
+    # The present contents and the former ones; what the failed load had begun is gone.
+    assert {marks["load_state"] for marks in zone_builds(spark, "fail_curated").values()} == {"finished"}
+    assert len(zone_builds(spark, "fail_curated")) == 2
+
+
+def dimension_rows(spark, dim):
+    staff = sorted((r.employeenumber, r.upddt, r.ver) for r in read_table(spark, f"{dim}.hive_employees").collect())
+    return staff, sorted(r.productcode for r in read_table(spark, f"{dim}.hive_products").collect())
+
+
+def test_a_day_run_twice_or_broken_off_gives_the_rows_of_one_run(spark):
+    base = f"{shared_dir(spark)}/daily_again"
+    once, again = Zones("once_dim", "once_curated", "once_discovery"), Zones("again_dim", "again_curated", "again_discovery")
+    for day in (DAY, NEXT):
+        run_day(spark, sources(spark, day), day, f"{base}/once", once, base)
+        broken = replace(sources(spark, day), products=spark.sql("SELECT raise_error('lost') AS productcode, current_date() AS upddt"))
+        with pytest.raises(Exception):
+            run_day(spark, broken, day, f"{base}/again", again, base)
+        assert LoadLedger(spark, "again_dim").holds(day, "offices") and not LoadLedger(spark, "again_dim").holds(day, "products")
+        run_day(spark, sources(spark, day), day, f"{base}/again", again, base)
+        run_day(spark, sources(spark, day), day, f"{base}/again", again, base)
+        run_day(spark, sources(spark, day), day, f"{base}/again", again, base, rules=DimensionRules(repeat=True))
+        assert dimension_rows(spark, "again_dim") == dimension_rows(spark, "once_dim")
+    with pytest.raises(ValueError, match="rest on it"):
+        run_day(spark, sources(spark, DAY), DAY, f"{base}/again", again, base, rules=DimensionRules(repeat=True))
+
+
+def test_a_skipped_day_is_caught_up_with(spark):
+    base = f"{shared_dir(spark)}/daily_skip"
+    zones = Zones("skip_dim", "skip_curated", "skip_discovery")
+    rules = DimensionRules(only_changed=True, catch_up=3)
+    schema = "employeenumber int, email string, officecode string, upddt date"
+    first = [(1, "ann@x", "1", date(2022, 10, 31)), (2, "bob@x", "1", DAY)]
+    later = [*first, (1, "ann@y", "1", date(2022, 11, 2)), (2, "bob@x", "1", date(2022, 11, 3)), (3, "late@x", "1", date(2022, 10, 31))]
+    for day, rows in ((DAY, first), (date(2022, 11, 3), later)):
+        staff = replace(sources(spark, day), employees=spark.createDataFrame(rows, schema))
+        run_day(spark, staff, day, f"{base}/pages", zones, base, rules=rules)
+    found = sorted((r.employeenumber, r.email, r.ver) for r in read_table(spark, "skip_dim.hive_employees").collect())
+    assert found == [(1, "ann@x", 1), (1, "ann@y", 2), (2, "bob@x", 1), (3, "late@x", 1)]
+    assert LoadLedger(spark, "skip_dim").mark("employees", date(2022, 11, 4)) == date(2022, 11, 3)
+
+
+def test_two_loads_at_once_and_a_reader_across_the_switch(spark):
+    base = f"{shared_dir(spark)}/two_loads"
+    one, two = (build_zone(spark, "two_zone", base, owner) for owner in ("first", "second"))
+    write_table(spark.range(1), f"{one}.t")
+    write_table(spark.range(2), f"{two}.t")
+    switch_zone(spark, "two_zone", one, base)
+    assert two in zone_builds(spark, "two_zone") and read_table(spark, "two_zone.t").count() == 1
+    reader = read_table(spark, "two_zone.t")
+    switch_zone(spark, "two_zone", two, base)
+    assert reader.count() == 1 and read_table(spark, "two_zone.t").count() == 2
+    third = build_zone(spark, "two_zone", base, "third")
+    abandon_zones(spark, "two_zone", "second")
+    write_table(spark.range(3), f"{third}.t")
+    switch_zone(spark, "two_zone", third, base)
+    assert set(zone_builds(spark, "two_zone")) == {two, third} and read_table(spark, "two_zone.t").count() == 3
+    build_zone(spark, "two_zone", base, "third")
+    abandon_zones(spark, "two_zone", "third")
+    assert set(zone_builds(spark, "two_zone")) == {two, third}
