@@ -15,8 +15,12 @@ from tallylake.workspace import stage
 
 SMALL_ENTRIES = 1_000
 SMALL_BYTES = 1_000_000
-#: Characters of a keyword by which large dictionaries are looked up.
+#: Characters of the pieces by which large dictionaries are looked up.
 PIECE = 3
+#: Texts from which on a piece alone is no key, and a second piece of the keyword must be there too.
+FREQUENT = 100
+#: Texts of one piece that one group of the join holds.
+HOT = 100_000
 
 
 def match_keywords(
@@ -32,7 +36,7 @@ def match_keywords(
 
     The dictionary's size is probed first (at most ``small_entries`` + 1 rows are read). One
     within both limits becomes a single array value, tested row by row without any join or
-    shuffle. Any other is joined with the texts on a short piece of each keyword, and the
+    shuffle. Any other is joined with the texts on each keyword's rarest piece (see ``candidate_pairs``), and the
     pairs found are tested in full. The result is the same.
     """
     shared = set(texts.columns) & set(dictionary.columns)
@@ -65,12 +69,14 @@ def _match_in_row(texts, dictionary, text, keyword, literal):
     )
 
 
-def _piece(keyword: Column, literal: bool) -> Column:
-    """The first characters of the keyword's longest run without wildcards; a text that matches holds them."""
-    if literal:
-        return F.substring(keyword, 1, PIECE)
-    runs = F.transform(F.split(keyword, "[%_]", -1), lambda run: F.struct(F.length(run).alias("size"), run.alias("run")))
-    return F.substring(F.array_max(runs)["run"], 1, PIECE)
+def _keyword_pieces(keyword: Column, literal: bool) -> Column:
+    """What every text that matches must hold: all runs of ``PIECE`` characters between wildcards, or the longest shorter one."""
+    runs = F.array(keyword) if literal else F.split(keyword, "[%_]", -1)
+    starts = lambda run: F.sequence(F.lit(1), F.greatest(F.length(run) - PIECE + 1, F.lit(1)))
+    cut = F.flatten(F.transform(runs, lambda run: F.transform(starts(run), lambda i: run.substr(i, F.lit(PIECE)))))
+    whole = F.filter(cut, lambda piece: F.length(piece) == PIECE)
+    longest = F.array_max(F.transform(runs, lambda run: F.struct(F.length(run).alias("size"), run.alias("run"))))["run"]
+    return F.when(F.size(whole) > 0, F.array_distinct(whole)).otherwise(F.array(longest))
 
 
 def _pieces_of(chars: str, size: int) -> Column:
@@ -84,23 +90,55 @@ def _pieces_of(chars: str, size: int) -> Column:
 
 
 def _match_by_piece(texts, dictionary, text, keyword, literal):
-    entries = dictionary.filter(F.col(keyword).isNotNull()).withColumn("_piece", _piece(F.col(keyword), literal))
+    # Numbered and written, since the numbers must be the same in all uses; columns stay in structs, apart from them.
+    entries = dictionary.filter(F.col(keyword).isNotNull()).select(F.monotonically_increasing_id().alias("entry"), F.struct("*").alias("row"))
     entries = stage(entries, "keywords")
-    sizes = [row[0] for row in entries.select(F.length("_piece")).distinct().collect()]  # 0 to PIECE
-    numbered = texts.filter(F.col(text).isNotNull()).withColumn("_text", F.monotonically_increasing_id())
-    numbered = stage(numbered, "texts")  # written, since the numbers must be the same in both uses
-    pieces = entries.select("_piece").distinct()
-    chars = numbered.select("_text", F.split(F.col(text), "").alias("_chars"))
+    numbered = texts.filter(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("text"), F.struct("*").alias("of"))
+    numbered = stage(numbered, "texts")
+    words = entries.select("entry", _keyword_pieces(F.col(f"row.`{keyword}`"), literal).alias("pieces"))
+    pairs = candidate_pairs(numbered.select("text", F.col(f"of.`{text}`").alias("body")), words)
+    if pairs is None:
+        return texts.limit(0).crossJoin(dictionary.limit(0))
+    matched = numbered.join(pairs, "text").join(entries, "entry")
+    held = contained(F.col(f"of.`{text}`"), F.col(f"row.`{keyword}`"), literal)
+    return matched.filter(held).select("of.*", "row.*")
+
+
+def candidate_pairs(texts: DataFrame, words: DataFrame) -> DataFrame | None:
+    """``text`` and ``entry`` of the pairs worth testing; None without any words.
+
+    ``texts`` holds numbers and bodies, ``words`` the entries' numbers and ``pieces``, which a matching body must all
+    hold. Pieces that no word has are dropped at once, and the texts of each other piece are counted. A word is looked up by
+    its rarest piece, so a common beginning costs nothing; one that no text holds is done with. Where even that
+    piece is ``FREQUENT``, the second rarest must be in the text as well. The texts of a piece that very many
+    have are spread over several groups of the join.
+    """
+    wanted = stage(words.select("entry", F.explode("pieces").alias("piece")), "keyword-pieces")
+    sizes = [row[0] for row in wanted.select(F.length("piece")).distinct().collect()]  # 0 to PIECE
+    if not sizes:
+        return None
+    chars = texts.select("text", F.split("body", "").alias("chars"))
     found = None
     for size in sizes:
-        own = chars.select("_text", F.explode(_pieces_of("_chars", size)).alias("_piece"))
+        own = chars.select("text", F.explode(_pieces_of("chars", size)).alias("piece"))
         found = own if found is None else found.unionAll(own)
-    if found is None:
-        return numbered.drop("_text").join(dictionary.limit(0), F.col(text) == F.col(keyword))
-    # Only pieces that some keyword has are kept; then pairs of a text's number and an entry are formed.
-    pairs = found.join(pieces, "_piece", "left_semi").join(entries, "_piece")
-    matched = numbered.join(pairs, "_text").filter(contained(F.col(text), F.col(keyword), literal))
-    return matched.select(*texts.columns, *dictionary.columns)
+    found = stage(found.join(wanted.select("piece").distinct(), "piece", "left_semi"), "found-pieces")
+    counts = stage(found.groupBy("piece").agg(F.count("*").alias("texts")), "piece-counts")
+    ranked = wanted.join(counts, "piece", "left").groupBy("entry")
+    ranked = ranked.agg(F.array_sort(F.collect_list(F.struct(F.coalesce("texts", F.lit(0)).alias("texts"), "piece"))).alias("rarest"))
+    keys = ranked.select(
+        "entry", F.col("rarest")[0]["piece"].alias("piece"), F.col("rarest")[0]["texts"].alias("texts"), F.get("rarest", F.lit(1))["piece"].alias("second")
+    )
+    keys = stage(keys.filter("texts > 0"), "keyword-keys")
+    groups = F.ceil(F.col("texts") / HOT)
+    hot = counts.filter(F.col("texts") > HOT).select("piece", groups.alias("groups"))
+    one = F.lit(0).cast("long")
+    spread = found.join(hot, "piece", "left").select("text", "piece", F.coalesce(F.pmod("text", "groups"), one).alias("salt"))
+    pairs = spread.join(keys.withColumn("salt", F.explode(F.sequence(one, groups - 1))), ["piece", "salt"])
+    frequent = F.col("second").isNotNull() & (F.col("texts") > FREQUENT)
+    doubtful = pairs.filter(frequent).select("text", "entry", F.col("second").alias("piece"))
+    sure = pairs.filter(~frequent).select("text", "entry")
+    return sure.unionAll(doubtful.join(found, ["text", "piece"], "left_semi").select("text", "entry"))
 
 
 def severity_per_customer(matches: DataFrame, customer: str, severity: str = "severity") -> DataFrame:

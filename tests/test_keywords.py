@@ -3,7 +3,9 @@ import re
 import pytest
 from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
+from tallylake.operators import keywords
 from tallylake.operators.keywords import match_keywords
 from tallylake.plans.discovery import (
     contact_reasons,
@@ -110,6 +112,45 @@ def test_no_join_for_a_small_dictionary(visits, dictionary):
     assert "Join" not in plan and "Cartesian" not in plan
 
 
+def staged_texts(spark, bodies):
+    return spark.createDataFrame(list(enumerate(bodies)), "text long, body string")
+
+
+def pieces(spark, words, literal=True):
+    entries = spark.createDataFrame(list(enumerate(words)), "entry long, w string")
+    return entries.select("entry", keywords._keyword_pieces(F.col("w"), literal).alias("pieces"))
+
+
+def test_a_common_beginning_gives_no_pairs(spark):
+    """Pairs stay within a multiple of the matches, however many words begin with what all texts hold."""
+    bodies = [f"the end of the week number {i} and the zqa{i % 50:03d}x" for i in range(200)]
+    words = [f"the zq{chr(97 + i % 26)}{i:03d}" for i in range(1500)]
+    matches = sum(word in body for body in bodies for word in words)
+    pairs = keywords.candidate_pairs(staged_texts(spark, bodies), pieces(spark, words))
+    assert 0 < matches <= pairs.count() <= 4 * matches
+
+
+@pytest.mark.parametrize("hot", [7, 100_000])
+def test_frequent_and_hot_pieces(spark, monkeypatch, hot):
+    monkeypatch.setattr(keywords, "FREQUENT", 3)
+    monkeypatch.setattr(keywords, "HOT", hot)
+    bodies = ["abcabd" if i % 3 else "abdx abc" for i in range(40)] + ["abc only", "abd only", "x"]
+    words = ["abcabd", "abc", "ab", "zzz", "abdx%c", ""]
+    found = keywords.candidate_pairs(staged_texts(spark, bodies), pieces(spark, words, literal=False)).collect()
+    assert len(found) == len(set(found))
+    matched = {(i, k) for i, body in enumerate(bodies) for k, word in enumerate(words) if like(body, word)}
+    assert matched <= {tuple(p) for p in found}
+    # The rarest pieces of the first word are those across its middle.
+    assert {t for t, k in found if k == 0} == {i for i in range(40) if i % 3}
+
+
+def test_columns_named_like_those_inside(spark):
+    v = spark.createDataFrame([("a", "big cat", 1), ("b", "dog", 2)], "text string, comments string, entry int")
+    d = spark.createDataFrame([("cat", "x", 5), ("😀b", "y", 6)], "orddesc string, piece string, salt int")
+    out = match_keywords(v.unionByName(spark.createDataFrame([("c", "a😀b", 3)], v.schema)), d, small_entries=1)
+    assert sorted(map(tuple, out.collect())) == [("a", "big cat", 1, "cat", "x", 5), ("c", "a😀b", 3, "😀b", "y", 6)]
+
+
 def test_empty_dictionary(spark, visits):
     assert match_keywords(visits, spark.createDataFrame([], DICTIONARY_SCHEMA)).count() == 0
 
