@@ -111,14 +111,14 @@ def test_groups_are_real_ids(spark, both):
     assert [i for _, b in groups for i in b] == both[1].encode("unbelievable alignments")
 
 
-def test_memory_stays_bounded(both):
-    two = ta.TwoTokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), capacity=50)
-    for k in range(20):
-        text = " ".join(f"w{(k * 13 + i) % 97}" for i in range(40)) + " " + "z" * 1200
-        (a, b), = two.texts([text.encode()])
-        assert np.frombuffer(a, two.type_a).tolist() == both[0].encode(" " + text, add_special_tokens=False).ids
-        assert np.frombuffer(b, two.type_b).tolist() == both[1].encode(text)
-        assert len(two.known) <= 100 and max(map(len, two.known)) < 100
+def test_fast_ids_equal_the_vocabularys_own(both):
+    two = ta.shared(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    assert two.fast is not None
+    # Every character that the fast way takes, in several neighbourhoods.
+    chars = [chr(c) for c in range(0x250)]
+    texts = [f"ab{c}cd {c} {c}{c}1{c} {c}'s\n{c}" for c in chars] + ["".join(chars), " ".join(chars)]
+    assert not any(ta._UNUSUAL.search(t) for t in texts[:-2])
+    assert [two.fast.encode_ordinary(" " + t) for t in texts] == [both[0].encode(" " + t, add_special_tokens=False).ids for t in texts]
 
 
 @settings(max_examples=60, deadline=None)
