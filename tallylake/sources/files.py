@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallylake.sources.records import csv_records, ddl, json_records
+
 # Fixed value: the schema of the navigation files.
 NAVIGATION_SCHEMA = "id string, comments string, pagevisit array<string>"
 
@@ -13,10 +15,12 @@ NAVIGATION_SCHEMA = "id string, comments string, pagevisit array<string>"
 def read_json(spark: SparkSession, path: str, schema: str | T.StructType, multiline: bool = False) -> DataFrame:
     """JSON with an explicit schema.
 
-    JSON Lines files are split among tasks. ``multiline`` is for a file that is
-    one JSON array: such a file is read by a single task.
+    JSON Lines files are split among tasks. ``multiline`` is for files that hold one JSON array of objects each, or
+    objects over several lines; they are split among tasks too (see ``sources.records``).
     """
-    return spark.read.schema(schema).json(path, multiLine=multiline)
+    if not multiline:
+        return spark.read.schema(schema).json(path)
+    return json_records(spark, path).select(F.from_json("record", schema).alias("row")).select("row.*")
 
 
 def read_csv(
@@ -35,15 +39,26 @@ def read_csv(
     ``infer`` reads all files a second time to find the types. Columns without
     a header or schema are called ``_c0``, ``_c1`` and so on.
 
-    ``multiline`` reads quoted values that hold line breaks; each file is then
-    read by one task. ``null_text`` is what stands for NULL: with the default,
+    ``multiline`` reads quoted values that hold line breaks; files are split among tasks all the same (see
+    ``sources.records``; ``infer`` alone reads each file in one). ``null_text`` is what stands for NULL: with the default,
     an empty string cannot be told from NULL.
     """
     reader = spark.read.schema(schema) if schema is not None else spark.read
-    return reader.csv(
+    plain = reader.csv(
         path, sep=delimiter, header=header, inferSchema=infer if schema is None else None,
         multiLine=multiline, quote='"', escape='"', nullValue=null_text,
     )
+    if not multiline:
+        return plain
+    how = {"sep": delimiter, "quote": '"', "escape": '"', "nullValue": null_text}
+    return _csv_rows(spark, path, plain.schema, header, how).select("row.*")
+
+
+def _csv_rows(spark: SparkSession, path: str, schema: T.StructType, header: bool, how: dict[str, str]) -> DataFrame:
+    records = csv_records(spark, path)
+    if header:
+        records = records.filter("NOT first")
+    return records.select(F.from_csv("record", ddl(schema), how).alias("row"))
 
 
 def read_csv_with_rejects(
@@ -53,14 +68,21 @@ def read_csv_with_rejects(
     delimiter: str = ",",
     header: bool = False,
     reject_column: str = "wrong_data",
+    multiline: bool = False,
 ) -> DataFrame:
     """Permissive read: a line that does not fit the schema is kept whole in ``wrong_data``.
 
+    With ``multiline``, values may hold line breaks, and a rejected record is kept with them.
+
     Spark parses only the columns a query needs, and would then miss a bad value
     in any other. The always true test over all columns makes every use of the
     reject column parse the whole line.
     """
     data = T.StructType.fromDDL(schema)
+    if multiline:
+        whole = T.StructType(data.fields).add(reject_column, "string")
+        how = {"sep": delimiter, "quote": '"', "escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": reject_column}
+        return _csv_rows(spark, path, whole, header, how).select("row.*")
     rows = spark.read.schema(T.StructType(data.fields).add(reject_column, "string")).csv(
         path, sep=delimiter, header=header, mode="PERMISSIVE", columnNameOfCorruptRecord=reject_column,
         quote='"', escape='"',
