@@ -11,6 +11,7 @@ from tallylake.functions.dates import day
 from tallylake.functions.kpis import with_product_kpis
 from tallylake.operators import dimensions as ops
 from tallylake.plans import dimensions as plans
+from tallylake.sinks.buckets import merge_buckets
 from tallylake.sources.tables import incremental_extract
 
 VERSIONED = """
@@ -113,6 +114,18 @@ def scd1_merge(t: Tables):
     return ops.scd1_merge(_stored(t), _batch(t), ["productcode"], latest_by=["-upddt"])
 
 
+@query(
+    "scd1_merge_buckets",
+    f"SELECT * FROM ({BATCH}) UNION ALL SELECT * FROM ({STORED}) WHERE upddt < DATE '{AS_OF}' - INTERVAL 1 DAY",
+)
+def scd1_merge_buckets(t: Tables):
+    """The same merge into a dimension kept in buckets."""
+    database = t.new_database()
+    merge_buckets(_stored(t), database, "products", ["productcode"], buckets=8)
+    merge_buckets(_batch(t), database, "products", ["productcode"], latest_by=["-upddt"])
+    return t.spark.read.table(f"{database}.products")
+
+
 @query("scd1_initial_load", BATCH)
 def scd1_initial_load(t: Tables):
     return ops.scd1_merge(None, _batch(t), ["productcode"])

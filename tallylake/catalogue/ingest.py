@@ -15,6 +15,7 @@ from tallylake.sinks import tables as table_sinks
 from tallylake.sinks.loads import LoadLedger, rows_before, write_load
 from tallylake.sources import files as file_sources
 from tallylake.sources import tables as table_sources
+from tallylake.sources.jdbc import derived_table
 from tallylake.workspace import scratch_path, session_dir
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -168,16 +169,13 @@ def write_versioned_snapshot(t: Tables):
     """,
 )
 def read_pushdown_query(t: Tables):
-    """A join and a filter given as SQL text over the sources."""
-    return t.spark.sql(
-        """
+    """A join and a filter given as a derived table over the sources, as a database would get it."""
+    text = """
         SELECT c.customernumber, c.customername, p.checknumber, p.amount
         FROM {customers} c JOIN {payments} p ON c.customernumber = p.customernumber
-        WHERE p.amount >= 100000 AND p.paymentdate >= DATE '1997-07-01'
-        """,
-        customers=t.customers,
-        payments=t.payments,
-    )
+        WHERE p.amount >= 100000 AND p.paymentdate >= DATE '1997-07-01';
+    """
+    return t.spark.sql(f"SELECT * FROM {derived_table(text, 'joined')}", customers=t.customers, payments=t.payments)
 
 
 @query("incremental_extract", f"SELECT * FROM {PRODUCTS} WHERE upddt > DATE '{AS_OF}' - INTERVAL 1 DAY")

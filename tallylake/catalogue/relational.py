@@ -20,6 +20,7 @@ from tallylake.catalogue.retail import (
     VISITS,
     Tables,
 )
+from tallylake.functions.catalog import create_functions
 from tallylake.functions.dates import day, in_months
 from tallylake.functions.kpis import with_product_kpis
 from tallylake.functions.levels import bucket
@@ -62,6 +63,15 @@ def product_kpis(t: Tables):
     return with_product_kpis(t.products)
 
 
+@query("product_kpis_sql", KPI_SQL)
+def product_kpis_sql(t: Tables):
+    """The indicators by a function that SQL text can call."""
+    function, _ = create_functions(t.spark, t.new_database())
+    return t.spark.sql(
+        f"SELECT * EXCEPT (kpis), kpis.* FROM (SELECT *, {function}(buyprice, msrp, quantityinstock) AS kpis FROM {{products}})", products=t.products
+    )
+
+
 @query("struct_flatten", f"SELECT productcode, msrp, buyprice, CAST(msrp - buyprice AS DECIMAL(10,2)) AS gap FROM {PRODUCTS}")
 def struct_flatten(t: Tables):
     gap = (F.col("msrp") - F.col("buyprice")).cast("decimal(10,2)").alias("gap")

@@ -62,13 +62,23 @@ def employee_rewards(
 
 
 def customer_frustration(
-    visits: DataFrame, dictionary: DataFrame, customer: str = "customernumber", text: str = "comments", literal: bool = False
+    visits: DataFrame,
+    dictionary: DataFrame,
+    customer: str = "customernumber",
+    text: str = "comments",
+    literal: bool = False,
+    keep_unmatched: bool = False,
 ) -> DataFrame:
     """Total severity of the keywords in a customer's comments, and its level.
 
-    Customers whose comments hold no keyword are left out.
+    Customers whose comments hold no keyword are left out, or, with ``keep_unmatched``, come with
+    no total and the level for other values.
     """
     totals = severity_per_customer(match_keywords(visits, dictionary, text, literal=literal), customer)
+    if keep_unmatched:
+        # United and summed once more, map-side, instead of a join of the totals to all customers.
+        every = visits.select(customer, F.lit(None).cast("bigint").alias("total_severity"))
+        totals = totals.unionByName(every).groupBy(customer).agg(F.sum("total_severity").alias("total_severity"))
     return totals.withColumn("customer_frustration_level", frustration_level(F.col("total_severity")))
 
 

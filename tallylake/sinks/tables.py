@@ -95,7 +95,7 @@ def write_table_partitioned(df: DataFrame, name: str, by: list[str], dynamic: bo
     rows = balanced.select(*[F.col(f.name).cast(f.dataType) for f in fields])
     # insertInto takes the mode from the session alone, and another thread's write would see it
     # changed. The writer's option does the same in the table's folder.
-    about = _about(spark, name)
+    about = table_facts(spark, name)
     writer = rows.write.mode("overwrite").format(about["Provider"]).partitionBy(*by)
     writer.option("partitionOverwriteMode", "dynamic").save(about["Location"])
     spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
@@ -111,7 +111,7 @@ def replace_partition(df: DataFrame, name: str, values: dict[str, object]) -> No
     partition. ``values`` holds all partition columns; ``df`` the others, matched by name.
     """
     spark = df.sparkSession
-    about = _about(spark, name)
+    about = table_facts(spark, name)
     fields = [f for f in spark.read.table(name).schema.fields if f.name not in values]
     rows = df.select(*[F.col(f"`{f.name}`").cast(f.dataType) for f in fields])
     spec = ", ".join(f"`{key}` = '{value}'" for key, value in values.items())
@@ -130,32 +130,39 @@ def drop_unread(spark: SparkSession, name: str) -> int:
 
     Run it when no load of the table is under way and readers of replaced rows are done.
     """
-    top = _about(spark, name)["Location"].rstrip("/")
-    read = set()
-    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-        spec = ", ".join(f"`{key}` = '{value}'" for key, value in (part.split("=", 1) for part in row[0].split("/")))
-        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
-        read |= {r["data_type"].rstrip("/").split("/")[-1] for r in described if r["col_name"] == "Location"}
-    old = [folder for folder in _load_folders(spark, top) if folder.split("/")[-1] not in read]
+    read = {where.rstrip("/").split("/")[-1] for where in partition_locations(spark, name).values()}
+    old = [f for f in folders_below(spark, table_facts(spark, name)["Location"], "load-") if f.split("/")[-1] not in read]
     for folder in old:
         delete(spark, folder)
     return len(old)
 
 
-def _load_folders(spark: SparkSession, top: str) -> list[str]:
-    """All folders named ``load-…`` below a table's location."""
+def partition_locations(spark: SparkSession, name: str) -> dict[str, str]:
+    """Where each partition lies, by its values joined with ``/``."""
+    found = {}
+    for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+        parts = [part.split("=", 1) for part in row[0].split("/")]
+        spec = ", ".join(f"`{key}` = '{value}'" for key, value in parts)
+        described = spark.sql(f"DESCRIBE TABLE EXTENDED {name} PARTITION ({spec})").collect()
+        found["/".join(value for _, value in parts)] = next(r["data_type"] for r in described if r["col_name"] == "Location")
+    return found
+
+
+def folders_below(spark: SparkSession, top: str, begins: str) -> list[str]:
+    """All folders below ``top`` whose name begins as given; those inside them aren't looked at."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(top)
     system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found, left = [], [path]
+    found, left = [], [path] if system.exists(path) else []
     while left:
-        for status in system.listStatus(left.pop()) if left else []:
+        for status in system.listStatus(left.pop()):
             if status.isDirectory():
                 inner = status.getPath()
-                found.append(inner.toString()) if inner.getName().startswith("load-") else left.append(inner)
+                found.append(inner.toString()) if inner.getName().startswith(begins) else left.append(inner)
     return found
 
 
-def _about(spark: SparkSession, name: str) -> dict[str, str]:
+def table_facts(spark: SparkSession, name: str) -> dict[str, str]:
+    """What the catalog says of a table: Provider, Location, Storage Properties and so on."""
     return {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
 
 

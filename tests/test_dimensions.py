@@ -13,6 +13,9 @@ from tallylake.operators.dimensions import (
 )
 from tallylake.operators.grouping import rows_at_group_max, top_n, top_per_group
 from tallylake.plans.dimensions import employee_dimension, office_dimension, product_dimension
+from tallylake.sinks.buckets import merge_buckets, with_bucket
+from tallylake.sinks.tables import folders_below, partition_locations, prepare_zones, snapshot_tables
+from tallylake.workspace import scratch_path, shared_dir
 
 HISTORY = "employeenumber int, title string, upddt date, ver int"
 CHANGES = "employeenumber int, title string, upddt date"
@@ -241,3 +244,54 @@ def test_group_limit_is_below_the_shuffle(spark):
     df = spark.range(100).selectExpr("id % 3 as k", "id as v")
     plan = top_per_group(df, ["k"], ["-v"])._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+@pytest.fixture
+def db(spark):
+    name = f"buckets_{scratch_path(spark, 'x')[-32:]}"
+    prepare_zones(spark, [name], [], shared_dir(spark))
+    return name
+
+
+def bucket_files(spark, table):
+    found = spark.read.table(table).select("bucket", "_metadata.file_path", "_metadata.file_modification_time").distinct().collect()
+    return {r.file_path: (r.bucket, r.file_modification_time) for r in found}
+
+
+def test_a_merge_rewrites_only_the_buckets_it_touches(spark, db):
+    rows = [(f"k{i}" if i else None, i, d(1)) for i in range(200)]
+    target = spark.createDataFrame(rows, PRODUCT)
+    batch = spark.createDataFrame([("k3", 30, d(2)), ("new", 1, d(2))], PRODUCT)
+    assert merge_buckets(target, db, "p", ["code"], buckets=16) == 1
+    first = f"{db}.{snapshot_tables(spark, db, 'p')[-1][1]}"
+    before = bucket_files(spark, first)
+    reader = spark.read.table(f"{db}.p")
+    assert merge_buckets(batch, db, "p", ["code"], buckets=99) == 2
+    second = f"{db}.{snapshot_tables(spark, db, 'p')[-1][1]}"
+    after = bucket_files(spark, second)
+    touched = {r.bucket for r in with_bucket(batch, ["code"], 16).collect()}
+    assert {f: v for f, v in before.items() if v[0] not in touched} == {f: v for f, v in after.items() if v[0] not in touched}
+    assert not {f for f, v in before.items() if v[0] in touched} & set(after) and len(touched) <= 2
+    expected = sorted(map(tuple, scd1_merge(target, batch, ["code"]).collect()), key=str)
+    assert sorted(map(tuple, spark.read.table(f"{db}.p").collect()), key=str) == expected
+    # The snapshot before still reads its own files, and so does a frame that was made from it.
+    assert sorted(map(tuple, spark.read.table(first).select("code", "price", "upddt").collect()), key=str) == sorted(rows, key=str)
+    assert reader.count() == 200
+
+
+def test_snapshots_beyond_those_kept_leave_no_files(spark, db):
+    for price in range(1, 5):
+        batch = spark.createDataFrame([("a", price, d(1)), ("a", price, d(2)), (None, price, d(1))], PRODUCT)
+        assert merge_buckets(batch, db, "p", ["code"], buckets=4, latest_by=["-upddt"]) == price
+    assert [version for version, _ in snapshot_tables(spark, db, "p")] == [3, 4]
+    found = sorted(map(tuple, spark.read.table(f"{db}.p").collect()), key=str)
+    assert found == sorted([("a", 4, d(2)), *((None, price, d(1)) for price in range(1, 5))], key=str)
+    top = spark.sql(f"DESCRIBE DATABASE {db}").filter("info_name = 'Location'").first()[1] + "/p_buckets"
+    read = {place for _, table in snapshot_tables(spark, db, "p") for place in partition_locations(spark, f"{db}.{table}").values()}
+    assert {"/".join(f.split("/")[-2:]) for f in folders_below(spark, top, "bucket=")} == {"/".join(p.split("/")[-2:]) for p in read}
+    assert merge_buckets(spark.createDataFrame([], PRODUCT), db, "p", ["code"]) == 5 and spark.read.table(f"{db}.p").count() == 5
+
+
+def test_buckets_need_a_batch_with_unique_keys(spark, db):
+    with pytest.raises(Exception, match="several rows"):
+        merge_buckets(spark.createDataFrame([("a", 1, d(1)), ("a", 2, d(1))], PRODUCT), db, "p", ["code"])

@@ -4,6 +4,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
+from tallylake.functions.catalog import create_functions
 from tallylake.functions.dates import changed_since, in_months
 from tallylake.functions.kpis import with_product_kpis
 from tallylake.functions.levels import frustration_level
@@ -84,3 +85,15 @@ def test_watermark(spark):
     assert days() == [10]
     assert days(inclusive=True) == [9, 10]
     assert days(days=2) == [9, 10]
+
+
+def test_functions_of_the_catalog_equal_the_columns(spark):
+    names = create_functions(spark, "default")
+    cases = [("40.00", "70.00", 7000), ("10", "20", 1500), ("10", "12", 2000), ("0", "5", 10), (None, "1", 1), ("1", None, 1), ("1", "3", None), ("30000", "45000.01", 100)]
+    frame = spark.createDataFrame([tuple(None if v is None else D(v) for v in c[:2]) + c[2:] for c in cases], "buyprice decimal(10,2), msrp decimal(10,2), quantityinstock int")
+    by_text = spark.sql(f"SELECT k.* FROM (SELECT {names[0]}(buyprice, msrp, quantityinstock) AS k FROM {{f}})", f=frame)
+    by_column = with_product_kpis(frame).select("profit", "profitpercent", "promoind", "demandind")
+    assert by_text.dtypes == by_column.dtypes and by_text.collect() == by_column.collect()
+    levels = spark.sql(f"SELECT s, {names[1]}(s) AS level FROM VALUES (-11), (-10), (-2), (0), (2), (10), (11), (NULL) AS t(s)")
+    assert levels.select("level").collect() == levels.select(frustration_level(F.col("s"))).collect()
+    assert "Python" not in by_text._jdf.queryExecution().executedPlan().toString()

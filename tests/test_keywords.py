@@ -160,6 +160,14 @@ def test_frustration(visits, dictionary):
     assert out == {"g1": (-7, "highly frustrated"), "g2": (-2, "low frustrated"), "g5": (0, "neutral")}
 
 
+def test_customers_without_a_match_can_be_kept(visits, dictionary):
+    out = customer_frustration(visits, dictionary, keep_unmatched=True).collect()
+    found = {r.customernumber: (r.total_severity, r.customer_frustration_level) for r in out}
+    assert found == {
+        "g1": (-7, "highly frustrated"), "g2": (-2, "low frustrated"), "g3": (None, "unknown"), "g4": (None, "unknown"), "g5": (0, "neutral")
+    }
+
+
 def test_intent_and_reasons(visits, dictionary):
     intents = {r.customernumber: (r.intent, r.matches) for r in customer_intent(visits, dictionary).collect()}
     assert intents == {"g1": ("complaint", 1), "g2": ("marketing", 4), "g5": ("logistic", 1)}

@@ -3,6 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from tallylake.operators.distinct import count_bitmaps, distinct_bitmaps, merge_bitmaps
 from tallylake.operators.navigation import (
     array_item,
     event_funnel,
@@ -13,6 +14,7 @@ from tallylake.operators.navigation import (
     page_transitions,
     path_funnel,
 )
+from tallylake.workspace import stage
 
 VISITS = [
     ("c1", ["home", "cart", "order", "exit"]),
@@ -106,3 +108,18 @@ def test_funnels(visits, events):
     assert by_path == {"order": 1, "cart only": 1, "neither": 5}
     by_event = {r.stage: r.visits for r in event_funnel(events, ["customernumber", "visitday"], "navigation_pg", "order", "cart").collect()}
     assert by_event == {"order": 1, "cart only": 1, "neither": 3}
+
+
+def test_distinct_counts_are_kept_over_days(spark):
+    """Day two reads its own events and the stored bitmaps, none of day one's events."""
+    rows = [("home", 1), ("home", 1), ("home", 40_000), ("home", None), ("cart", -5), ("none", None), (None, 7)]
+    again = [("home", 1), ("home", 2), ("cart", -5), ("cart", 10**12)]
+    days = [spark.createDataFrame(r, "page string, who bigint") for r in (rows, again)]
+    kept = [stage(distinct_bitmaps(df, ["page"], "who"), f"bitmaps{i}") for i, df in enumerate(days)]
+    merged = stage(merge_bitmaps(kept[0].unionByName(kept[1]), ["page"]), "merged")
+    out = count_bitmaps(merged, ["page"], "n")
+    whole = days[0].unionByName(days[1]).groupBy("page").agg(F.countDistinct("who").alias("n"))
+    assert sorted(map(tuple, out.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    read = count_bitmaps(kept[0].unionByName(distinct_bitmaps(days[1], ["page"], "who")), ["page"], "n")
+    assert sorted(map(tuple, read.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
+    assert all("bitmaps0" in f for f in read.inputFiles()) and "Python" not in read._jdf.queryExecution().optimizedPlan().toString()
