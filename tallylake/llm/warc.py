@@ -299,14 +299,15 @@ def _capture(record: Record) -> tuple:
     kind, n = record.headers["WARC-Type"], len(record.payload)
     digest = hashlib.sha1(record.payload).hexdigest()
     own = (n, digest) if kind == "response" else (None, None)
-    return (record.page_id, *own, kind, record.refers_to, record.headers.get("WARC-Refers-To-Target-URI"))
+    said = base64.b32decode(record.headers["WARC-Payload-Digest"].removeprefix("sha1:")).hex()
+    return (record.page_id, *own, kind, record.refers_to, record.headers.get("WARC-Refers-To-Target-URI"), said)
 
 
 def _read(root: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(root)
-        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "refers_uri"]
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+        names = ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "refers_uri", "said_digest"]
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
         for batch in batches:
             for archive, path in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 for lines in index.blocks(path):
@@ -319,9 +320,9 @@ def _read(root: str):
 
 
 def read_archive(archive: Archive) -> DataFrame:
-    """Every record as it stands in the archives; sizes and digests of the payloads that are there."""
+    """Every record as it stands in the archives; sizes and digests of the payloads that are there, and the digest a record states."""
     spark = archive.files.sparkSession
-    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, refers_uri string"
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, refers_uri string, said_digest string"
     if archive.root is None:
         return spark.createDataFrame([], schema)
     tasks = max(1, min(10_000, archive.files.count()))
@@ -333,12 +334,13 @@ def _look_up(root: str):
         index, last, found = Index(root), None, (None, None)
         for batch in batches:
             sizes, digests = [], []
-            for key, page in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if last != (key, page):  # wanted captures are sorted, so copies of one page stand together
-                    hits = (index.read(a, line) for a, line in index.find(key, page) if line[1] == "response")
+            for wanted in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
+                if last != wanted:  # wanted captures are sorted, so copies of one payload stand together
+                    key, page, digest = wanted
+                    hits = (index.read(a, line) for a, line in index.find(key, page) if line[1:3] == ["response", digest])
                     payload = next((r.payload for r in hits), None)
                     found = (None, None) if payload is None else (len(payload), hashlib.sha1(payload).hexdigest())
-                    last = (key, page)
+                    last = wanted
                 sizes.append(found[0])
                 digests.append(found[1])
             columns = [*batch.columns, pa.array(sizes, pa.int64()), pa.array(digests, pa.string())]
@@ -348,7 +350,10 @@ def _look_up(root: str):
 
 
 def look_up(archive: Archive, wanted: DataFrame) -> DataFrame:
-    """``wanted`` (key, id, then other columns) with size and digest of the response's payload, NULL if there is none."""
+    """``wanted`` (key, id, payload digest, then other columns) with size and digest of that response's payload, NULL if there is none.
+
+    One page may have been captured under its URL with several payloads; the digest tells them apart.
+    """
     names = wanted.columns
     schema = ", ".join(f"{n} {t}" for n, t in wanted.dtypes) + ", payload_bytes long, payload_digest string"
     ordered = wanted.repartitionByRange(*names).sortWithinPartitions(*names)
@@ -363,6 +368,6 @@ def write_and_read(pages: DataFrame, id_col: str = "page_id", **options) -> Data
     if archive.root is None:
         return captures.select(*result).withColumnRenamed("page_id", id_col)
     revisits = captures.filter("record_type = 'revisit'")
-    wanted = revisits.select(key_of(F.col("refers_uri")).alias("key"), "refers_to", "page_id", "record_type")
+    wanted = revisits.select(key_of(F.col("refers_uri")).alias("key"), "refers_to", "said_digest", "page_id", "record_type")
     resolved = look_up(archive, wanted).select(*result)
     return captures.filter("record_type = 'response'").select(*result).unionByName(resolved).withColumnRenamed("page_id", id_col)

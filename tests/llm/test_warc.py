@@ -40,6 +40,14 @@ def test_read_back(pages, rows):
     assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
 
 
+def test_a_revisit_reads_the_payload_it_states(spark):
+    """One page id, one URL, two payloads: each revisit has its own."""
+    a, b, small = "A" * 1500, "B" * 2500, "c" * 10
+    rows = [(7, "http://x.org/", a), (7, "http://x.org/", b), (4, "http://y.org/", b), (5, "http://x.org/", a), (7, "http://x.org/", small)]
+    found = warc.write_and_read(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3))
+    assert sorted(map(tuple, found.collect()), key=str) == brute(rows)
+
+
 def test_archives_are_gzip_members_that_any_reader_splits(pages, rows):
     archive = warc.write_archive(pages)
     records = 0
