@@ -84,9 +84,9 @@ ranked AS (SELECT source, n, n >= 0.01 * total AS large, row_number() OVER (ORDE
 flagged AS (SELECT source, n, NOT large OR (small > 0 AND small < 0.01 * total AND up = 1 + (SELECT count(*) FROM c, tot WHERE n < 0.01 * total)) AS pooled FROM ranked),
 g0 AS (SELECT CASE WHEN pooled THEN NULL ELSE source END AS source, pooled, sum(n)::BIGINT AS n FROM flagged GROUP BY ALL),
 g1 AS (SELECT *, row_number() OVER (ORDER BY pooled, source NULLS FIRST) AS k, n ** 0.7 AS w FROM g0),
-g2 AS (SELECT *, w * (1000 - count(*) OVER ()) / sum(w) OVER () AS share FROM g1),
-g3 AS (SELECT *, 1 + floor(share)::BIGINT AS base, row_number() OVER (ORDER BY floor(share) - share, k) AS place,
-  1000 - sum(1 + floor(share)::BIGINT) OVER () AS spare FROM g2),
+g2 AS (SELECT *, round(w * 1000 / sum(w) OVER (), 9) AS share FROM g1),
+g3 AS (SELECT *, floor(share)::BIGINT AS base, row_number() OVER (ORDER BY floor(share) - share, k) AS place,
+  1000 - sum(floor(share)::BIGINT) OVER () AS spare FROM g2),
 g AS (SELECT source, pooled, n, k, base + (place <= spare)::BIGINT AS units FROM g3),
 u AS (SELECT list(units ORDER BY k) AS units, count(*) AS m FROM g),
 s AS (SELECT 0 AS t, list_transform(units, lambda x: 0::BIGINT) AS nxt, NULL::BIGINT AS k FROM u

@@ -2,9 +2,10 @@
 
 from collections import Counter
 
+import duckdb
 import pytest
 
-from tallylake.llm import mixing
+from tallylake.llm import catalogue, mixing
 
 
 @pytest.fixture(scope="module")
@@ -88,3 +89,18 @@ def test_given_weights_are_met_within_a_block(spark):
         done[r.source] += 1
         assert all(abs(done[k] - w * (r.slot + 1)) < 1 for k, w in weight.items())
     assert done["hot"] > 5000 and done["rare"] >= 2
+
+
+def test_query_equals_sql_on_unequal_sources(spark, tmp_path):
+    """Thirteen sources of very different sizes, a missing one and a pool of small ones."""
+    sizes = [3000, 1700, 900, 640, 333, 250, 199, 150, 120, 90, 77, 61, 5]
+    rows = [(None if j % 401 == 7 else 10_000 * i + j, f"s{i:02d}" if i != 3 else None) for i, n in enumerate(sizes) for j in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string").dropDuplicates(["doc_id"])
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    frame = catalogue.queries()["op4_source_mixing"](spark, str(tmp_path))
+    with duckdb.connect() as db:
+        db.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        result = db.execute(catalogue.oracle_sql()["op4_source_mixing"])
+        names = [c[0] for c in result.description]
+        theirs = Counter(result.fetchall())
+    assert Counter(map(tuple, frame.select(*names).collect())) == theirs and len({r.slot for r in frame.collect()}) > 900
