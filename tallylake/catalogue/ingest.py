@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallylake.catalogue.registry import query
@@ -15,7 +17,7 @@ from tallylake.sinks import tables as table_sinks
 from tallylake.sinks.loads import LoadLedger, rows_before, write_load
 from tallylake.sources import files as file_sources
 from tallylake.sources import tables as table_sources
-from tallylake.sources.jdbc import derived_table
+from tallylake.sources.jdbc import bounds_text, derived_table, range_predicates
 from tallylake.workspace import scratch_path, session_dir
 
 DOCUMENT_SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -178,6 +180,31 @@ def read_pushdown_query(t: Tables):
     return t.spark.sql(f"SELECT * FROM {derived_table(text, 'joined')}", customers=t.customers, payments=t.payments)
 
 
+PARTS = 6
+
+
+@query(
+    "read_partition_ranges",
+    f"""
+    WITH k AS (SELECT CASE WHEN checknumber % 3 = 0 THEN 7 ELSE customernumber END AS k FROM {PAYMENTS}),
+    bounds AS (SELECT DISTINCT k AS bound FROM (SELECT k, row_number() OVER (ORDER BY k) AS place, count(*) OVER () AS n FROM k)
+        WHERE place % ((n + {PARTS - 1}) // {PARTS}) = 0)
+    SELECT CAST((SELECT count(*) FROM bounds WHERE bound <= k) AS INTEGER) AS part, count(*) AS n_rows FROM k GROUP BY part
+    """,
+)
+def read_partition_ranges(t: Tables):
+    """The ranges of a balanced parallel read, each sent as its own condition; a third of the rows have one key."""
+    key = F.when(F.col("checknumber") % 3 == 0, 7).otherwise(F.col("customernumber"))
+    payments = t.payments.withColumn("customernumber", key)
+    step = -(-payments.count() // PARTS)
+    bounds = [row[0] for row in t.spark.sql(bounds_text("{payments}", "customernumber", step), payments=payments).collect()]
+    parts = [
+        t.spark.sql(f"SELECT {part} AS part FROM {{payments}} WHERE {condition}", payments=payments)
+        for part, condition in enumerate(range_predicates("customernumber", bounds))
+    ]
+    return reduce(DataFrame.unionAll, parts).groupBy("part").agg(F.count("*").alias("n_rows"))
+
+
 @query("incremental_extract", f"SELECT * FROM {PRODUCTS} WHERE upddt > DATE '{AS_OF}' - INTERVAL 1 DAY")
 def incremental_extract(t: Tables):
     return table_sources.incremental_extract(t.products, "upddt", AS_OF)

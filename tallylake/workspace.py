@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -48,6 +49,22 @@ def delete(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def discard(staged: DataFrame) -> None:
+    """Delete what ``stage`` has written for a frame; it, and what is made from it, can't be used any more."""
+    for folder in {path.rpartition("/")[0] for path in staged.inputFiles()}:
+        delete(staged.sparkSession, folder)
+
+
+def forget_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that nothing refers to any more.
+
+    Its cleaner does so when the driver's JVM collects garbage, by default every half hour; a job that
+    shuffles much in several steps would hold the files of all steps until then. The latest plan run is still referred to.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def release(spark: SparkSession) -> None:
     """Delete everything this application has staged; frames that read it can't be used any more."""
     delete(spark, session_dir(spark))

@@ -1,4 +1,5 @@
 import json
+import os
 from collections import Counter
 from datetime import date
 
@@ -15,7 +16,7 @@ from tallylake.sinks.loads import LoadLedger, rows_before, write_load
 from tallylake.sources import files as src
 from tallylake.sources import jdbc
 from tallylake.sources.tables import external_delimited_table, extract_since_mark, read_table, read_table_if_exists, table_exists
-from tallylake.workspace import scratch_path, shared_dir, stage
+from tallylake.workspace import discard, forget_shuffles, scratch_path, shared_dir, stage
 
 AWKWARD = [(1, 'line one\nline, two "quoted"'), (2, "  padded  "), (3, ""), (4, None), (5, "back\\slash")]
 
@@ -222,6 +223,15 @@ def test_stage_reads_back_the_same(awkward):
     assert same(stage(awkward, "t"), awkward)
 
 
+def test_staged_files_can_be_discarded(spark, awkward):
+    staged = stage(awkward, "gone")
+    folder = staged.inputFiles()[0].removeprefix("file://").rpartition("/")[0]
+    discard(staged)
+    assert not os.path.exists(folder)
+    forget_shuffles(spark)
+    assert same(stage(awkward, "t"), awkward)
+
+
 DB = jdbc.JdbcDatabase("jdbc:mysql://host/db", {"user": "u", "password": "secret", "driver": "d"})
 
 
@@ -344,3 +354,30 @@ def test_json_array_files_stay_small(spark, tmp_path):
     assert len(sizes) > 30 and max(sizes) < 100_000
     found = src.read_json(spark, str(tmp_path / "arrays"), DOCUMENT_SCHEMA, multiline=True).collect()
     assert sorted(map(tuple, found), key=str) == sorted(rows, key=str)
+
+
+@pytest.mark.parametrize("column", ["customernumber", "paymentdate"])
+def test_balanced_ranges_hold_every_row_once(column):
+    """The texts sent to a database, run by an engine of this process, on a table with a frequent key and NULLs."""
+    with connect("/root/testdata/sf0.001") as db:
+        db.execute(f"CREATE TABLE paid AS SELECT * REPLACE (CASE WHEN checknumber % 3 = 0 THEN 7 WHEN checknumber % 50 = 1 THEN NULL ELSE customernumber END AS customernumber) FROM {retail.PAYMENTS}")
+        n = db.execute("SELECT count(*) FROM paid").fetchone()[0]
+        bounds = [r[0] for r in db.execute(jdbc.bounds_text("paid", column, -(-n // 8))).fetchall()]
+        sizes = [db.execute(f"SELECT count(*) FROM paid WHERE {p}").fetchone()[0] for p in jdbc.range_predicates(column, bounds)]
+        hot = db.execute(f"SELECT max(c) FROM (SELECT count(*) AS c FROM paid GROUP BY {column})").fetchone()[0]
+    assert sum(sizes) == n and len(sizes) <= 9 and max(sizes) <= max(hot, 2 * n / 8) + n / 8
+
+
+def test_balanced_read_sends_predicates(spark):
+    class Database(Recorder):
+        def load(self):
+            text = self.calls[-1]["dbtable"]
+            return spark.createDataFrame([(10,)], "n long") if "count(*)" in text else spark.createDataFrame([("b'c",), ("a",)], "k string")
+
+    reader = Database()
+    jdbc.read_jdbc_balanced(reader, DB, "payments", "name", 4)
+    assert reader.calls[1]["dbtable"].startswith("(select distinct k from (select name as k,") and "mod(place, 3) = 0" in reader.calls[1]["dbtable"]
+    assert reader.calls[2]["predicates"] == ["name < 'a' or name is null", "name >= 'a' and name < 'b''c'", "name >= 'b''c'"]
+    assert reader.calls[2]["properties"]["password"] == "secret" and "secret" not in reader.calls[2]["url"]
+    assert jdbc.range_predicates("d", []) == ["1 = 1"]
+    assert jdbc.range_predicates("d", [date(2024, 1, 2)])[1] == "d >= date '2024-01-02'"
