@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallylake.llm.blocks import BLOCK_BYTES, read_block, stage_blocks, write_by_block
-from tallylake.workspace import stage
+from tallylake.workspace import discard, forget_shuffles, stage
 
 LENGTH, GRAM = 50, 16
 REACH = LENGTH - GRAM  #: Most bytes of a window before its trigger.
@@ -216,6 +216,19 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(rest[0]), pa.array(rest[1] >> 1)], ["gram", "block"])
 
 
+def _needed(least: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Which of the ``CONTEXT`` bytes around its trigger a phrase's own windows hold."""
+    at = np.arange(CONTEXT)
+    return (at >= REACH - most[:, None]) & (at < REACH + LENGTH - least[:, None])
+
+
+def _around(least: np.ndarray, most: np.ndarray, held: pa.Array) -> np.ndarray:
+    """The bytes around the triggers, zero where a phrase doesn't need them."""
+    around = np.zeros((len(least), CONTEXT), np.uint8)
+    around[_needed(least, most)] = np.frombuffer(b"".join(held.to_pylist()), np.uint8)
+    return around
+
+
 def _phrases(copies: str, dictionary: str):
     """The phrases of shared triggers, with what stands around the trigger."""
 
@@ -240,8 +253,10 @@ def _phrases(copies: str, dictionary: str):
                 data = np.concatenate([np.zeros(REACH, np.uint8), np.frombuffer(b"".join(texts), np.uint8), np.zeros(LENGTH, np.uint8)])
                 for k in range(0, len(some), 20_000):
                     part = some[k : k + 20_000]
-                    around = data[place[part, None] + np.arange(CONTEXT)]
-                    offsets = pa.py_buffer((np.arange(len(part) + 1) * CONTEXT).astype(np.int32))
+                    least, most = place[part] - last[part], place[part] - first[part]
+                    needed = _needed(least, most)
+                    around = data[place[part, None] + np.arange(CONTEXT)][needed]
+                    offsets = pa.py_buffer(np.concatenate([[0], np.cumsum(needed.sum(1))]).astype(np.int32))
                     rows = np.array(own)[doc[part]]
                     columns = [
                         pa.array(gram[part].view(np.int64)),
@@ -249,8 +264,8 @@ def _phrases(copies: str, dictionary: str):
                         pa.array(numbers[rows].astype(np.int32)),
                         pa.array(ids[rows]),
                         pa.array((place[part] - starts[doc[part]]).astype(np.int32)),
-                        pa.array((place[part] - last[part]).astype(np.int16)),
-                        pa.array((place[part] - first[part]).astype(np.int16)),
+                        pa.array(least.astype(np.int16)),
+                        pa.array(most.astype(np.int16)),
                         pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, offsets, pa.py_buffer(around.tobytes())]),
                     ]
                     yield pa.RecordBatch.from_arrays(columns, _PHRASE.names)
@@ -319,7 +334,7 @@ def _spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def emit(table: pa.Table):
         columns = [table[c].to_numpy() for c in ("gram", "block", "row", "id", "place", "least", "most")]
         gram, block, row, ids, place, least, most = columns
-        around = np.frombuffer(b"".join(table["around"].to_pylist()), np.uint8).reshape(-1, CONTEXT)
+        around = _around(least, most, table["around"])
         lists = np.cumsum(np.concatenate([[True], gram[1:] != gram[:-1]]))
         low, high = repeats(lists, ids, least, most, around)
         hit = high >= 0
@@ -349,7 +364,7 @@ def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for k in range(0, batch.num_rows, 2000):
             block, row, ids, place, least, most = (batch.column(c).slice(k, 2000).to_numpy() for c in range(1, 7))
-            around = np.frombuffer(b"".join(batch.column(7).slice(k, 2000).to_pylist()), np.uint8).reshape(-1, CONTEXT)
+            around = _around(least, most, batch.column(7).slice(k, 2000))
             for before in range(REACH + 1):
                 some = np.flatnonzero((least <= before) & (before <= most))
                 if not len(some):
@@ -413,6 +428,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     dictionary = write_by_block(shared, "suffix-dictionary")
 
     phrases = stage(texts.select("block", "row", "text", "id").mapInArrow(_phrases(copies, dictionary), _PHRASE), "suffix-phrases", "zstd")
+    del words, shared
+    forget_shuffles(docs.sparkSession)
     hot = stage(phrases.groupBy("gram").count().filter(F.col("count") > list_rows).select("gram"), "suffix-hot")  # at most rows / list_rows
     long_lists = not hot.isEmpty()
     listed = phrases.join(hot, "gram", "left_anti").select(*_PHRASE.names) if long_lists else phrases
@@ -424,6 +441,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         found = windows.join(least, ["one", "two"]).filter("id > least")
         spans = spans.unionByName(found.select("block", "row", "start", (F.col("start") + LENGTH).alias("end")))
     spans = write_by_block(spans, "suffix-spans")
+    discard(phrases)
     kept = T.StructType([T.StructField("id", texts.schema["given"].dataType), *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept", T.BinaryType())])
     return texts.select("block", "row", "text", "given").mapInArrow(_cut(copies, spans), kept)
 
