@@ -7,9 +7,10 @@ are hashed the same way, and every hash hit is verified word by word before its
 are marked.
 
 The benchmark is small, but that is checked and not assumed: it goes out in slices of at
-most ``slice_bytes`` of item text (one item at least), each broadcast by itself, and the
-documents pass through one scan per slice, in one job and without a shuffle. An item that
-is larger than a slice is the one thing that is broadcast whole.
+most ``slice_bytes`` of item text (one item at least). The driver reads one slice after another, and
+broadcasts it by itself; where more than one is needed, the documents are staged with the hits of each
+before the next, and its broadcast is taken back. An item that is larger than a slice is the one thing that is broadcast whole. Nothing is
+shuffled, and Python gets the texts and gives back the hits, while the rows stay where they are.
 
 Defined cases: a NULL or empty text or item has no words; an item with a NULL id marks
 words but isn't listed; items with equal ids count as one; an empty benchmark marks
@@ -28,6 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallylake.workspace import stage
+
 #: Each byte as part of a word, in lower case, or as a space.
 _FOLD = bytes(b if b >= 0x80 or 48 <= b <= 57 or 97 <= b <= 122 else b + 32 if 65 <= b <= 90 else 32 for b in range(256))
 _MIX = 0x9E3779B97F4A7C15
@@ -42,6 +45,11 @@ HITS = T.StructType(
 )
 
 
+_HITS_ARROW = pa.struct(
+    [("n_words", pa.int64()), ("starts", pa.list_(pa.int32())), ("ends", pa.list_(pa.int32())), ("items", pa.list_(pa.string()))]
+)
+
+
 def words_of(text: bytes | None) -> list[bytes]:
     return (text or b"").translate(_FOLD).split()
 
@@ -110,24 +118,24 @@ def _spans(hit: np.ndarray) -> tuple[list[int], list[int]]:
     return edges[::2].tolist(), edges[1::2].tolist()
 
 
-def _scan(windows: Broadcast, text_at: int, hits_at: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = []
-            for text, before in zip(batch.column(text_at), batch.column(hits_at), strict=True):
-                words = words_of(text.as_py())
-                hit, items = find(windows.value, words)
-                if (old := before.as_py()) is not None:
-                    items |= set(old["items"])
-                    for a, b in zip(old["starts"], old["ends"], strict=True):
-                        hit[a:b] = True
-                starts, ends = _spans(hit)
-                found.append({"n_words": len(words), "starts": starts, "ends": ends, "items": sorted(items)})
-            columns = batch.columns
-            columns[hits_at] = pa.array(found, batch.schema.field(hits_at).type)
-            yield pa.RecordBatch.from_arrays(columns, schema=batch.schema)
+def _scan(windows: Broadcast):
+    """The hits of some texts, with those found before."""
+
+    @F.arrow_udf(HITS)
+    def scan(texts: pa.Array, before: pa.Array) -> pa.Array:
+        found = []
+        for text, old in zip(texts, before, strict=True):
+            words = words_of(text.as_py())
+            hit, items = find(windows.value, words)
+            if (old := old.as_py()) is not None:
+                items |= set(old["items"])
+                for a, b in zip(old["starts"], old["ends"], strict=True):
+                    hit[a:b] = True
+            starts, ends = _spans(hit)
+            found.append({"n_words": len(words), "starts": starts, "ends": ends, "items": sorted(items)})
+        return pa.array(found, _HITS_ARROW)
 
-    return run
+    return scan
 
 
 def slices(benchmark: DataFrame, id_col: str, text_col: str, slice_bytes: int) -> Iterator[list[tuple[str | None, bytes]]]:
@@ -147,10 +155,14 @@ def slices(benchmark: DataFrame, id_col: str, text_col: str, slice_bytes: int) -
 def mark(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", size: int = 13, slice_bytes: int = 8 << 20) -> DataFrame:
     """``doc`` (the row), ``t`` (its text as bytes) and ``hits``: number of words, hit spans of words, ids of the items found."""
     rows = docs.select(F.struct("*").alias("doc"), F.col(text_col).cast("binary").alias("t"), F.lit(None).cast(HITS).alias("hits"))
-    context = docs.sparkSession.sparkContext
-    for items in [*slices(benchmark, item_col, item_text_col, slice_bytes)] or [[]]:
-        rows = rows.mapInArrow(_scan(context.broadcast(Windows(items, size)), 1, 2), rows.schema)
-    return rows
+    context, sent = docs.sparkSession.sparkContext, None
+    for items in slices(benchmark, item_col, item_text_col, slice_bytes):
+        if sent is not None:
+            rows = stage(rows, "decontaminate-hits", "zstd")
+            sent.destroy()
+        sent = context.broadcast(Windows(items, size))
+        rows = rows.withColumn("hits", _scan(sent)("t", "hits"))
+    return rows if sent is not None else rows.withColumn("hits", _scan(context.broadcast(Windows([], size)))("t", "hits"))
 
 
 def _n_hit(hits):

@@ -57,6 +57,23 @@ def test_equals_brute_force_whatever_the_slices(spark, tables, slice_bytes):
     assert sorted(map(tuple, found.collect()), key=str) == brute(*tables)
 
 
+def test_one_slice_is_broadcast_at_a_time(spark, tables, monkeypatch):
+    docs, items = frames(spark, tables)
+    alive, most = [], []
+    send = type(spark.sparkContext).broadcast
+
+    def broadcast(context, value):
+        sent = send(context, value)
+        alive.append(sent)
+        most.append(sum(b._jbroadcast is not None and b._jbroadcast.isValid() for b in alive))
+        return sent
+
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", broadcast)
+    found = decontaminate.judge_documents(docs, items, slice_bytes=300)
+    assert len(alive) > 1 and max(most) == 1
+    assert sorted(map(tuple, found.collect()), key=str) == brute(*tables)
+
+
 def test_contaminated_documents_go_and_columns_stay(spark, tables):
     docs, items = frames(spark, tables)
     kept = decontaminate.drop_documents(docs, items)
