@@ -7,7 +7,8 @@ finds all positions of a block with one running sum and gathers the bytes throug
 
 A shard file is a sequence of blocks (number of ids, of control bytes and of data bytes as
 three unsigned 32-bit numbers, control bytes, data bytes), then the documents (id, null flag,
-number of ids), and a fixed-size trailer. Shards follow each other in ascending document
+number of ids), and a fixed-size trailer. The id of every rank is in a file beside the shards, which
+their trailers name; so the files alone give back the ids. Shards follow each other in ascending document
 order. A task writes under a name of its own and reports it in its result, so an attempt
 that is lost or runs twice leaves at most a file that nobody reads.
 
@@ -23,6 +24,7 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallylake.llm.shared_files import create, open_file
-from tallylake.llm.word_ids import default_vocabulary, shared
+from tallylake.llm.word_ids import REMEMBERED, default_vocabulary, shared
 from tallylake.workspace import scratch_path, stage
 
-MAGIC = b"TOKSHRD1"
-#: Magic, place of the document table, number of documents, number of ids.
-TRAILER = struct.Struct("<8sQQQ")
+MAGIC = b"TOKSHRD2"
+#: Magic, place of the document table, number of documents, number of ids, name of the ranks.
+TRAILER = struct.Struct("<8sQQQ16s")
 BLOCK = struct.Struct("<III")
 BLOCK_IDS = 1 << 18
 
@@ -84,8 +86,19 @@ def _document(doc: int | None, n: int) -> bytes:
     return struct.pack("<qBQ", doc or 0, doc is None, n)
 
 
-def _trailer(table: int, n_docs: int, n_tokens: int) -> bytes:
-    return TRAILER.pack(MAGIC, table, n_docs, n_tokens)
+def _trailer(table: int, n_docs: int, n_tokens: int, ranks: uuid.UUID) -> bytes:
+    return TRAILER.pack(MAGIC, table, n_docs, n_tokens, ranks.bytes)
+
+
+def _ranks_name(ranks: uuid.UUID) -> str:
+    return f"ranks-{ranks.hex}.bin"
+
+
+@lru_cache(4)
+def read_ranks(path: str) -> np.ndarray:
+    """The id of every rank."""
+    with open_file(path) as source:
+        return np.frombuffer(source.read(), "<u4").astype(np.uint32)
 
 
 @dataclass(frozen=True)
@@ -93,12 +106,11 @@ class Shards:
     """``table`` has a row per file: shard (their order), path, first id's place, numbers of documents and ids."""
 
     table: DataFrame
-    ranked: np.ndarray  #: The id of every rank.
 
 
-def _encode_texts(path: str, end_id: int | None):
+def _encode_texts(path: str, end_id: int | None, remembered: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = shared(path)
+        encoder = shared(path, remembered)
         end = b"" if end_id is None else np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
             for k in range(0, batch.num_rows, 1000):
@@ -121,7 +133,7 @@ def _count(dtype: str, size: int):
     return run
 
 
-def _write(folder: str, dtype: str, rank_of):
+def _write(folder: str, dtype: str, rank_of, ranks: uuid.UUID):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, docs, held, size, tokens = None, [], [], 0, 0
         shard = TaskContext.get().partitionId()
@@ -145,21 +157,24 @@ def _write(folder: str, dtype: str, rank_of):
             return
         if size:
             out.write(_block(np.concatenate(held)))
-        out.write(b"".join([*docs, _trailer(out.tell(), len(docs), tokens)]))
+        out.write(b"".join([*docs, _trailer(out.tell(), len(docs), tokens, ranks)]))
         out.close()
         yield pa.RecordBatch.from_pydict({"shard": [shard], "path": [f"{folder}/{name}"], "n_docs": [len(docs)], "n_tokens": [tokens]})
 
     return run
 
 
-def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int | None = 2, folder: str | None = None) -> Shards:
-    """Encode every whole text, rank the ids by their counts in all texts, and write the shards."""
+def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: str | None = None, end_id: int | None = 2, folder: str | None = None, remembered: int = REMEMBERED) -> Shards:
+    """Encode every whole text, rank the ids by their counts in all texts, and write the shards.
+
+    A task keeps the ids of about ``remembered`` words, at some 200 bytes each.
+    """
     spark = docs.sparkSession
     vocabulary = vocabulary or default_vocabulary()
-    own = shared(vocabulary)
+    own = shared(vocabulary, remembered)
     size, dtype = max(own.size, (end_id or 0) + 1), own.dtype.str
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("binary").alias("text"))
-    encoded = stage(rows.mapInArrow(_encode_texts(vocabulary, end_id), "id long, ids binary"), "token-ids", "zstd")
+    encoded = stage(rows.mapInArrow(_encode_texts(vocabulary, end_id, remembered), "id long, ids binary"), "token-ids", "zstd")
     counts = encoded.select("ids").mapInArrow(_count(dtype, size), "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     total = np.zeros(size, np.int64)
     for row in counts.collect():  # at most a row per id of the vocabulary
@@ -169,20 +184,24 @@ def write_shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     rank_of[ranked] = np.arange(size, dtype=np.uint32)
     tied = encoded.withColumn("tie", F.xxhash64("ids"))
     sorted_rows = tied.repartitionByRange(F.asc_nulls_first("id"), "tie").sortWithinPartitions(F.asc_nulls_first("id"), "tie", "ids")
-    write = _write(folder or scratch_path(spark, "token-shards"), dtype, spark.sparkContext.broadcast(rank_of))
+    folder, ranks = folder or scratch_path(spark, "token-shards"), uuid.uuid4()
+    with create(folder, _ranks_name(ranks)) as out:  # as many numbers as the vocabulary has ids
+        out.write(ranked.astype("<u4").tobytes())
+    write = _write(folder, dtype, spark.sparkContext.broadcast(rank_of), ranks)
     files = sorted_rows.select("id", "ids").mapInArrow(write, "shard long, path string, n_docs long, n_tokens long")
     files = stage(files, "token-manifest")
     before = F.sum("n_tokens").over(Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1))
-    return Shards(files.withColumn("start", F.coalesce(before, F.lit(0))), ranked)
+    return Shards(files.withColumn("start", F.coalesce(before, F.lit(0))))
 
 
-def read_file(path: str, ranked: np.ndarray) -> Iterator[tuple[int | None, np.ndarray]]:
+def read_file(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
     """Documents of a shard file with their ids, one block in memory at a time."""
     with open_file(path) as source:
         end = source.size() - TRAILER.size
-        magic, table, n_docs, _ = TRAILER.unpack(source.read_at(TRAILER.size, end))
+        magic, table, _, _, ranks = TRAILER.unpack(source.read_at(TRAILER.size, end))
         if magic != MAGIC:
             raise ValueError(f"{path} is no token shard")
+        ranked = read_ranks(f"{path.rpartition('/')[0]}/{_ranks_name(uuid.UUID(bytes=ranks))}")
         documents = source.read_at(end - table, table)
         source.seek(0)
         held = np.empty(0, np.uint32)
@@ -197,27 +216,22 @@ def read_file(path: str, ranked: np.ndarray) -> Iterator[tuple[int | None, np.nd
             held = held[n:]
 
 
-def _read(ranked):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                rows = []
-                for doc, ids in read_file(path, ranked.value):
-                    rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
-                    start += len(ids)
-                columns = list(zip(*rows, strict=True)) or [[]] * 4
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
-
-    return run
+def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            rows = []
+            for doc, ids in read_file(path):
+                rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                start += len(ids)
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
 def read_shards(shards: Shards) -> DataFrame:
     """From the files: every document's id, place and number of ids, and the CRC-32 of its ids as 32-bit numbers."""
     files = shards.table.select("path", "start")
-    spark = files.sparkSession
     tasks = max(1, min(10_000, shards.table.count()))
-    ranked = spark.sparkContext.broadcast(shards.ranked)
-    return files.repartition(tasks).mapInArrow(_read(ranked), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.repartition(tasks).mapInArrow(_read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def write_and_read(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

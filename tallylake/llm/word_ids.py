@@ -30,7 +30,7 @@ class WordIds:
     one after another. Letters followed by punctuation are two pre-tokens and kept apart.
     """
 
-    def __init__(self, path: str, capacity: int = 1_000_000):
+    def __init__(self, path: str, capacity: int):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -101,7 +101,11 @@ class WordIds:
             yield b"".join(map(known.__getitem__, words))
 
 
+#: Words remembered by a process, unless said otherwise.
+REMEMBERED = 1_000_000
+
+
 @lru_cache(1)
-def shared(path: str) -> WordIds:
+def shared(path: str, capacity: int = REMEMBERED) -> WordIds:
     """One for the process, so that a Python worker's next task finds the words of the last one."""
-    return WordIds(path)
+    return WordIds(path, capacity)

@@ -12,7 +12,7 @@ from tallylake.llm.word_ids import WordIds, default_vocabulary
 
 SF = "/root/testdata/sf0.001"
 TOKENIZER = Tokenizer.from_file(default_vocabulary())
-ENCODER = WordIds(default_vocabulary())
+ENCODER = WordIds(default_vocabulary(), capacity=1_000_000)
 
 
 def tokens(text):

@@ -90,4 +90,18 @@ def test_frequent_ids_take_one_byte(spark):
     ids = sum(r.n_tokens for r in shards.table.collect())
     assert ids == 8 * 1501 and size < 1.3 * ids + 400 * len(paths)
     with pytest.raises(ValueError):
-        list(token_output.read_file(__file__, shards.ranked))
+        list(token_output.read_file(__file__))
+
+
+def test_files_alone_give_back_the_ids(spark, tmp_path):
+    """Two corpora in one folder, moved elsewhere; nothing but the files is used."""
+    texts = {1: "the cat sat", 2: None, 3: "a dog, the dog!"}
+    for part in ({1: texts[1], 2: texts[2]}, {3: texts[3]}):
+        docs = spark.createDataFrame(list(part.items()), "doc_id long, text string")
+        token_output.write_shards(docs, folder=str(tmp_path / "one"))
+    (tmp_path / "one").rename(tmp_path / "two")
+    found = {}
+    for path in (tmp_path / "two").glob("shard-*"):
+        found |= {doc: ids.tolist() for doc, ids in token_output.read_file(str(path))}
+    plain = Tokenizer.from_file(default_vocabulary())
+    assert found == {k: [*plain.encode(t or "", add_special_tokens=False).ids, 2] for k, t in texts.items()}
