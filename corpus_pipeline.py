@@ -39,7 +39,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token shards; returns each document's place in them, as read back."""
     importable(spark)
-    return token_output.write_and_read(docs, end_id=2)
+    return token_output.write_and_read(docs, end_id=2, remembered=200_000)
 
 
 STAGES = [
