@@ -11,10 +11,12 @@ sets confirm what is left.
 
 A key can be shared by a great many near copies, so their pairs are never listed. Each key names a hub (the node that
 shares most keys) and only hubs are compared with the nodes of their keys: for copies of one text that
-joins nearly all. What components then leave apart within a key goes on to the next hub, while each round
-halves what is left; after that, the nodes that are still outside the first hub's component
-are compared with all nodes of the key, in salted groups, by their sketches. So no link between two components is
-missed, and links inside a component aren't looked for.
+joins nearly all. A node that isn't joined with its hub is too far from it; what it can share with any other
+node beyond what it shares with the hub are shingles outside the hub. So it is looked up by these alone, by its rarest ones, as many
+as leave too few for a link; most such nodes have none that another node has. Partners so much smaller that they need none
+are found by their sizes. As long as that would give many pairs a node, further hubs are compared first,
+while each round halves what is left. So no link between two components is missed, and links inside a
+component aren't looked for.
 
 Texts are staged in blocks and stay there; the full sets of candidates are made again where the text lies.
 
@@ -34,7 +36,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -46,8 +48,10 @@ from tallylake.workspace import stage
 HASHES = 128
 #: Shingles in work at a time.
 WORK = 1 << 16
-#: Nodes outside a key's main component that one group of the last comparison holds.
+#: Nodes that one salted group of the last comparison holds.
 SALTED = 64
+#: Pairs a node of a hub that the last comparison may meet before further hubs are tried.
+FEW = 64
 
 _EVEN = 0x5555555555555555
 
@@ -198,10 +202,13 @@ def _near(left: str, right: str, percent: int) -> Column:
     return (100 * F.least(a, b) >= percent * F.greatest(a, b)) & (differ <= most_differing(percent))
 
 
-def confirm(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The pairs ``a``, ``b`` of nodes whose full sets are alike enough."""
+def sets_of(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = full_sets(texts, nodes, wanted, shingle)
+    return full_sets(texts, nodes, wanted, shingle)
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` of nodes whose full sets are alike enough."""
     beside = pairs.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("theirs")), "b")
     beside = beside.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("own")), "a")
     shared = F.size(F.array_intersect("own", "theirs"))
@@ -209,6 +216,11 @@ def confirm(pairs: DataFrame, texts: DataFrame, nodes: DataFrame, shingle: int,
     return stage(beside.filter(100 * shared >= percent * either).select("a", "b"), "minhash-links")
 
 
+def _required(a: Column, b: Column, percent: int) -> Column:
+    """Shingles that two sets of these sizes must share to be alike enough."""
+    return F.ceil(percent * (a + b) / (100 + percent))
+
+
 def _ordered(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -223,30 +235,75 @@ class Search:
         posts = nodes.filter(F.col("n") >= least).select("node", F.explode("keys").alias("key"))
         shared = posts.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
         met = stage(posts.join(shared, "key"), "minhash-met")
-        weights = met.groupBy("node").agg(F.sum("size").alias("weight"))
-        self.members = stage(met.select("key", "node").join(weights, "node"), "minhash-members")
+        self.weights = stage(met.groupBy("node").agg(F.sum("size").alias("weight")), "minhash-weights")
+        self.members = stage(met.select("key", "node").join(self.weights, "node"), "minhash-members")
         self.links: list[DataFrame] = []
-        self.tested: list[DataFrame] = []
+        self.sets: DataFrame | None = None
         self.used: list[DataFrame] = []
 
+    def labels(self) -> DataFrame:
+        """``node`` and a ``comp`` it is known to belong to, for linked nodes: the heaviest node it is linked to, and that one's, and again.
+
+        Not yet the components, which are found once at the end; nodes of one label are linked for certain.
+        """
+        links = reduce(DataFrame.unionAll, self.links)
+        sides = links.unionAll(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).join(self.weights.withColumnRenamed("node", "b"), "b")
+        best = sides.groupBy("a").agg(F.max(F.struct("weight", F.col("b").alias("node"))).alias("best"))
+        own = best.join(self.weights.withColumnRenamed("node", "a"), "a")
+        up = F.greatest(F.col("best"), F.struct("weight", F.col("a").alias("node")))["node"]
+        found = stage(own.select(F.col("a").alias("node"), up.alias("comp")), "minhash-labels")
+        for _ in range(2):
+            above = found.select(F.col("node").alias("comp"), F.col("comp").alias("top"))
+            found = found.join(above, "comp").select("node", F.col("top").alias("comp"))
+        return found
+
     def roots(self) -> DataFrame:
-        return components(reduce(DataFrame.unionAll, self.links), "a", "b")
+        """``node`` and ``root`` of all linked nodes: their labels, joined by the links that are left between labels."""
+        labels = stage(self.labels(), "minhash-joined")
+        ends = [labels.select(F.col("node").alias(side), F.col("comp").alias(f"top_{side}")) for side in "ab"]
+        between = reduce(DataFrame.unionAll, self.links).join(ends[0], "a").join(ends[1], "b").filter("top_a <> top_b")
+        between = stage(between.select("top_a", "top_b").distinct(), "minhash-between")
+        if between.isEmpty():
+            return labels.select("node", F.col("comp").alias("root"))
+        tops = components(between, "top_a", "top_b").withColumnRenamed("node", "comp")
+        return labels.join(tops, "comp", "left").select("node", F.coalesce("root", "comp").alias("root"))
 
     def open_members(self) -> DataFrame:
         """Members, with their component, of the keys that hold several components."""
-        placed = self.members.withColumn("comp", F.col("node"))
-        if self.links:
-            roots = self.roots().withColumnRenamed("root", "comp")
-            placed = self.members.join(roots, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-            placed = stage(placed, "minhash-placed")
+        placed = self.members.join(self.labels(), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+        placed = stage(placed, "minhash-placed")
         apart = placed.groupBy("key").agg((F.min("comp") < F.max("comp")).alias("open")).filter("open").select("key")
-        return stage(placed.join(apart, "key", "left_semi"), "minhash-open")
+        return stage(placed.join(apart, "key", "left_semi").select("key", "node", "comp"), "minhash-open")
+
+    def left(self, members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+        """Nodes by the hubs of their keys, their shared shingles outside the hub, and the nodes that may still have a link.
 
-    def others(self, members: DataFrame) -> DataFrame:
-        """Members outside the component of their key's first hub."""
+        ``groups``: ``hub``, ``node``, ``comp``, size ``n``, ``inside`` (shared with the hub) and ``held`` (outside it, and
+        in another node of the hub). ``index``: hub, node, comp, ``shingle`` and in how many nodes of the hub it is. ``live``:
+        the groups' rows of other components than their hub's. Partners of a size up to ``bound`` need nothing outside the
+        hub, larger ones share at least ``needed`` there.
+        """
         own = self.used[0].select("key", F.col("node").alias("hub"))
-        main = members.join(own, "key").filter("node = hub").select("key", F.col("comp").alias("main"))
-        return stage(members.join(main, "key").filter("comp <> main").drop("main"), "minhash-others")
+        met = members.join(own, "key").select("hub", "node", "comp").distinct()
+        sets = self.sets.select("node", F.col("shingles").alias("own"))
+        both = met.join(sets, "node").join(sets.select(F.col("node").alias("hub"), F.col("own").alias("theirs")), "hub")
+        outside = F.array_except("own", "theirs")
+        rows = both.select("hub", "node", "comp", F.size("own").cast("long").alias("n"), outside.alias("outside"))
+        rows = stage(rows, "minhash-outside", "zstd")
+        each = rows.select("hub", "node", "comp", F.explode("outside").alias("shingle"))
+        shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("nodes")).filter("nodes > 1")
+        index = stage(each.join(shared, ["hub", "shingle"]), "minhash-index")
+        held = index.groupBy("hub", "node").agg(F.count("*").alias("held"))
+        by_hub = rows.groupBy("hub").agg(F.min("n").alias("smallest"), F.max(F.when(F.col("node") == F.col("hub"), F.col("comp"))).alias("main"))
+        inside = F.col("n") - F.size("outside")
+        groups = rows.join(held, ["hub", "node"], "left").join(by_hub, "hub")
+        groups = groups.select("hub", "node", "comp", "n", inside.alias("inside"), F.coalesce("held", F.lit(0)).alias("held"), "smallest", "main")
+        groups = stage(groups, "minhash-groups")
+        least = F.greatest("smallest", F.ceil(F.col("n") * self.percent / 100))
+        bound = F.floor(F.col("inside") * (100 + self.percent) / self.percent) - F.col("n")
+        live = groups.filter("comp <> main").withColumns({"least": least, "bound": bound})
+        live = live.withColumn("needed", _required(F.col("n"), F.greatest("least", F.col("bound") + 1), self.percent) - F.col("inside"))
+        return groups, index, live.filter("least <= bound OR held >= needed")
 
     def hubs(self, members: DataFrame) -> DataFrame:
         """By key the heaviest node that has not been its hub."""
@@ -258,53 +315,74 @@ class Search:
         return found
 
     def compare(self, pairs: DataFrame) -> None:
-        """Sift new pairs by length and sketch, and confirm what is left; all are remembered as tested."""
-        for tested in self.tested:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        """Sift pairs by length and sketch, and confirm what is left by the full sets."""
         facts = self.nodes.select("node", "n", *SKETCH)
         sifted = pairs.alias("p").join(facts.alias("x"), F.col("p.a") == F.col("x.node")).join(facts.alias("y"), F.col("p.b") == F.col("y.node"))
-        self.keep(sifted.filter(_near("x", "y", self.percent)).select("p.a", "p.b"))
-
-    def keep(self, pairs: DataFrame) -> None:
-        pairs = stage(pairs, "minhash-pairs")
-        self.tested.append(pairs)
-        self.links.append(confirm(pairs, self.texts, self.nodes, self.shingle, self.percent))
+        pairs = stage(sifted.filter(_near("x", "y", self.percent)).select("p.a", "p.b"), "minhash-pairs")
+        sets = self.sets if self.sets is not None else sets_of(pairs, self.texts, self.nodes, self.shingle)
+        self.links.append(confirm(pairs, sets, self.percent))
 
     def star(self, members: DataFrame, hubs: DataFrame) -> None:
         met = members.join(hubs.select("key", F.col("node").alias("hub"), F.col("comp").alias("hub_comp")), "key")
         met = met.filter("comp <> hub_comp")
         self.compare(met.select(*_ordered(F.col("node"), F.col("hub"))).distinct())
 
-    def rest(self, members: DataFrame, others: DataFrame) -> None:
-        """All nodes outside the main components beside all nodes of their keys, as far as sketches allow."""
-        facts = self.nodes.select("node", "n", *SKETCH)
-        groups = others.groupBy("key").agg(F.ceil(F.count("*") / SALTED).cast("int").alias("groups"))
-        own = others.join(groups, "key").withColumn("salt", F.pmod(F.hash("node"), "groups")).join(facts, "node").alias("x")
-        every = members.join(groups, "key").join(facts, "node")
-        every = every.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("groups") - 1))).alias("y")
-        same = (F.col("x.key") == F.col("y.key")) & (F.col("x.salt") == F.col("y.salt")) & (F.col("x.comp") != F.col("y.comp"))
-        pairs = own.join(every, same & _near("x", "y", self.percent)).select(*_ordered(F.col("x.node"), F.col("y.node"))).distinct()
-        for tested in self.tested:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        self.keep(pairs)
+    def looked_up(self, index: DataFrame, live: DataFrame) -> DataFrame:
+        """The rarest shingles of live nodes, by which every partner above their bound is found."""
+        place = F.row_number().over(Window.partitionBy("hub", "node").orderBy("nodes", "shingle"))
+        ranked = index.join(live.drop("comp").filter("held >= needed"), ["hub", "node"]).withColumn("place", place)
+        return ranked.filter(F.col("place") <= F.col("held") - F.col("needed") + 1)
+
+    def rest(self, groups: DataFrame, index: DataFrame, live: DataFrame) -> None:
+        """Live nodes beside the nodes that hold their rarest shingles, and beside those small enough to need none."""
+        facts = groups.select("hub", "node", "n", "inside", "held")
+        x = self.looked_up(index, live).select("hub", "shingle", F.col("node").alias("x"), F.col("comp").alias("x_comp"), "needed")
+        y = index.select("hub", "shingle", F.col("node").alias("y"), F.col("comp").alias("y_comp"))
+        met = x.join(y, ["hub", "shingle"]).filter("x_comp <> y_comp")
+        # Of the shingles that x was not looked up by, one less than it needs, all might be shared as well.
+        met = met.groupBy("hub", "x", "y").agg((F.count("*") + F.max("needed") - 1).alias("shared")).alias("p")
+        met = met.join(facts.alias("a"), (F.col("p.hub") == F.col("a.hub")) & (F.col("p.x") == F.col("a.node")))
+        met = met.join(facts.alias("b"), (F.col("p.hub") == F.col("b.hub")) & (F.col("p.y") == F.col("b.node")))
+        found = met.filter(self._possible("a", "b", F.col("p.shared"))).select(*_ordered(F.col("p.x"), F.col("p.y")))
+        # By sizes: small partners only, in salted groups.
+        loose = live.filter("least <= bound")
+        limits = loose.groupBy("hub").agg(F.max("bound").alias("limit"), F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
+        small = groups.join(limits, "hub").filter(F.col("n") <= F.col("limit"))
+        small = small.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).alias("b")
+        own = loose.join(limits, "hub").withColumn("salt", F.pmod(F.hash("node"), "salts")).alias("a")
+        same = (F.col("a.hub") == F.col("b.hub")) & (F.col("a.salt") == F.col("b.salt")) & (F.col("a.comp") != F.col("b.comp"))
+        sized = own.join(small, same & (F.col("b.n") <= F.col("a.bound")) & self._possible("a", "b"))
+        self.compare(found.unionAll(sized.select(*_ordered(F.col("a.node"), F.col("b.node")))).distinct())
+
+    def _possible(self, a: str, b: str, outside: Column | None = None) -> Column:
+        """Whether what two nodes share inside and outside their hub can be enough; ``outside`` is at most that much."""
+        held = F.least(f"{a}.held", f"{b}.held")
+        most = F.least(f"{a}.inside", f"{b}.inside") + (held if outside is None else F.least(held, outside))
+        return most >= _required(F.col(f"{a}.n"), F.col(f"{b}.n"), self.percent)
 
     def run(self) -> DataFrame | None:
-        """``node`` and ``root`` of all nodes that aren't their own root; None where nothing is shared."""
+        """``node`` and ``root`` of all linked nodes; None where nothing is shared."""
         if self.members.isEmpty():
             return None
-        members = self.open_members()
+        members = self.members.withColumn("comp", F.col("node"))
         self.star(members, self.hubs(members))
-        before = members.count()
-        while not (members := self.open_members()).isEmpty():
-            others = self.others(members)
-            now = others.count()
-            if 2 * now > before:
-                self.rest(members, others)
-                break
+        members = self.open_members()
+        # All further pairs are among these nodes.
+        self.sets = full_sets(self.texts, self.nodes, members.select("node").distinct(), self.shingle)
+        before = None
+        while True:
+            groups, index, live = self.left(members)
+            now = live.count()
+            met = self.looked_up(index, live).agg(F.sum("nodes")).first()[0] or 0
+            if met <= FEW * groups.count() or before is not None and 2 * now > before:
+                self.rest(groups, index, live)
+                return self.roots()
             before = now
-            left = self.hubs(others)
-            self.star(members, left)
-        return self.roots()
+            weighted = members.join(live.select("node").distinct(), "node", "left_semi").join(self.members, ["key", "node"])
+            own = self.used[0].select("key", F.col("node").alias("hub"))
+            main = members.join(own, "key").filter("node = hub").select("key", F.col("comp").alias("main"))
+            self.star(members, self.hubs(weighted.join(main, "key").filter("comp <> main")))
+            members = self.open_members()
 
 
 def near_duplicates(

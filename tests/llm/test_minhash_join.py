@@ -88,15 +88,32 @@ def test_chains_and_stars_without_a_common_middle(spark):
     check(spark, rows)
 
 
-@pytest.mark.parametrize("salted", [1, 64])
-def test_nodes_left_after_the_hubs(spark, monkeypatch, salted):
+@pytest.mark.parametrize(("salted", "few"), [(1, 10**9), (64, 8), (3, 0)])
+def test_nodes_left_after_the_hubs(spark, monkeypatch, salted, few):
     """Near copies at the limit: hubs leave many apart, and the last comparison finds the rest."""
     monkeypatch.setattr(mh, "SALTED", salted)
+    monkeypatch.setattr(mh, "FEW", few)
     rng = random.Random(8)
     base = [f"b{i}" for i in range(100)]
     check(spark, [(i, changed(rng, base, rng.choice([2, 3, 4]))) for i in range(150)])
 
 
+def cut(rng, words, n):
+    out = list(words)
+    for _ in range(n):
+        del out[rng.randrange(len(out))]
+    return " ".join(out)
+
+
+def test_copies_that_share_their_edits(spark):
+    """Words left out give equal new shingles and smaller sets, so links exist that no hub sees."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    rows = [(i, cut(rng, base, rng.choice([1, 2, 3, 4]))) for i in range(120)]
+    rows += [(1000 + i, cut(rng, base[::-1], rng.choice([2, 3]))) for i in range(60)]
+    check(spark, rows)
+
+
 def test_other_limits(spark):
     rng = random.Random(9)
     base = [f"b{i}" for i in range(100)]
