@@ -215,6 +215,8 @@ def _dealt(rows: DataFrame, columns: dict[str, Column], falling: set[str]) -> Da
 
 def _not_after(bound: Column, names: list[str], falling: set[str]) -> Column:
     """Whether a bound is a row's equal or comes before it, NULLs where sorting puts them."""
+    if not falling:
+        return bound <= F.struct(*names)  # structs compare field by field, NULLs first
     found = F.lit(True)
     for name in reversed(names):
         a, b = (F.col(name), bound[name]) if name in falling else (bound[name], F.col(name))
