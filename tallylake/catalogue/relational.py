@@ -28,7 +28,7 @@ from tallylake.operators import navigation
 from tallylake.operators.cleanse import munge as munge_rows
 from tallylake.operators.grouping import rows_at_group_max, top_per_group
 from tallylake.operators.grouping import top_n as first_n
-from tallylake.operators.keywords import match_keywords, severity_per_customer
+from tallylake.operators.keywords import TABLE_BYTES, match_keywords, severity_per_customer
 from tallylake.operators.layout import optimize_layout as lay_out
 from tallylake.operators.numbering import number_rows, rank_rows
 from tallylake.plans import curated
@@ -305,7 +305,7 @@ def like_join_large(t: Tables):
     words = t.read("benchmark").select(F.explode(F.split("text", " ")).alias("orddesc"))
     words = words.filter(F.col("orddesc") != "").distinct()
     return (
-        match_keywords(t.visits, words, literal=True, small_entries=100)
+        match_keywords(t.visits, words, literal=True, small_entries=100, table_bytes=TABLE_BYTES)
         .groupBy("orddesc")
         .agg(F.count("*").alias("texts"), F.countDistinct("customernumber").alias("customers"))
     )

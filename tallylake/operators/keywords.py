@@ -8,6 +8,10 @@ without any match, or a NULL text, yields nothing.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +19,10 @@ from tallylake.workspace import stage
 
 SMALL_ENTRIES = 1_000
 SMALL_BYTES = 1_000_000
+#: Bytes of a dictionary's rows, as JSON, that every task can well hold (see ``match_keywords``).
+TABLE_BYTES = 16_000_000
+#: Bytes of text that are looked through at once.
+BLOCK = 1 << 18
 #: Characters of the pieces by which large dictionaries are looked up.
 PIECE = 3
 #: Texts from which on a piece alone is no key, and a second piece of the keyword must be there too.
@@ -31,13 +39,16 @@ def match_keywords(
     literal: bool = False,
     small_entries: int = SMALL_ENTRIES,
     small_bytes: int = SMALL_BYTES,
+    table_bytes: int = 0,
 ) -> DataFrame:
     """Every text row beside every dictionary row whose keyword it contains.
 
     The dictionary's size is probed first (at most ``small_entries`` + 1 rows are read). One
     within both limits becomes a single array value, tested row by row without any join or
     shuffle. Any other is joined with the texts on each keyword's rarest piece (see ``candidate_pairs``), and the
-    pairs found are tested in full. The result is the same.
+    pairs found are tested in full, without any Python. With ``table_bytes``, a dictionary of at most that size is broadcast
+    instead, and every task finds its keywords in its texts by runs of bytes (see ``_finder``), in numpy:
+    no pair is shuffled, which is much faster. The result is the same.
     """
     shared = set(texts.columns) & set(dictionary.columns)
     if shared:
@@ -48,7 +59,12 @@ def match_keywords(
     size = probe.first()
     if size["entries"] <= small_entries and (size["bytes"] or 0) <= small_bytes:
         return _match_in_row(texts, dictionary, text, keyword, literal)
-    return _match_by_piece(texts, dictionary, text, keyword, literal)
+    # Numbered and written, since the numbers must be the same in all uses; columns stay in structs, apart from them.
+    entries = dictionary.filter(F.col(keyword).isNotNull()).select(F.monotonically_increasing_id().alias("entry"), F.struct("*").alias("row"))
+    entries = stage(entries, "keywords")
+    if table_bytes and (entries.agg(F.sum(F.octet_length(F.to_json("row")))).first()[0] or 0) <= table_bytes:
+        return _match_by_table(texts, entries, text, keyword, literal)
+    return _match_by_piece(texts, dictionary, entries, text, keyword, literal)
 
 
 def contained(text: Column, keyword: Column, literal: bool = False) -> Column:
@@ -89,10 +105,116 @@ def _pieces_of(chars: str, size: int) -> Column:
     return F.array_remove(F.array_distinct(F.when(F.size(chars) >= size, runs)), "")
 
 
-def _match_by_piece(texts, dictionary, text, keyword, literal):
-    # Numbered and written, since the numbers must be the same in all uses; columns stay in structs, apart from them.
-    entries = dictionary.filter(F.col(keyword).isNotNull()).select(F.monotonically_increasing_id().alias("entry"), F.struct("*").alias("row"))
-    entries = stage(entries, "keywords")
+def _match_by_table(texts, entries, text, keyword, literal):
+    known = entries.select("entry", F.col(f"row.`{keyword}`").cast("binary").alias("word")).collect()
+    words = texts.sparkSession.sparkContext.broadcast([(row["entry"], bytes(row["word"])) for row in known])
+    find = F.arrow_udf(_finder(words, literal), "array<struct<entry: bigint, word: binary>>")
+    # A word stands beside those only that must still be tested.
+    found = F.filter(find(F.col(f"`{text}`").cast("binary")), lambda hit: hit["word"].isNull() | contained(F.col(f"`{text}`"), hit["word"].cast("string"), literal))
+    kept = [F.col(f"`{name}`") for name in texts.columns]
+    pairs = texts.select(*kept, F.explode(F.transform(found, lambda hit: hit["entry"])).alias("_entry"))
+    rows = entries.select(F.col("entry").alias("_entry"), F.col("row").alias("_row"))
+    return pairs.join(F.broadcast(rows), "_entry").select(*kept, "_row.*")
+
+
+def _finder(words, literal: bool):
+    """For a column of texts the entries that each may hold; ``words`` is a broadcast list of entries and their keywords.
+
+    Every keyword has a key, a run of up to 8 of its bytes that hold no wildcard; of several the one that fewest keywords
+    share. Keys are whole numbers: at every byte of a text, the next 1 to 8 bytes are looked up among those of that length. A keyword
+    that is its own key is found thereby, a longer one is searched for in the text; one with wildcards is left to be
+    tested. One without any such byte may be in every text.
+    """
+
+    def table():
+        runs = [[word] if literal else word.replace(b"_", b"%").split(b"%") for _, word in words.value]
+        windows = []
+        for parts in runs:
+            longest = max(map(len, parts))
+            size = min(longest, 8)
+            windows.append({p[i : i + size] for p in parts if len(p) >= size for i in range(len(p) - size + 1)} if size else {b""})
+        shared = {}
+        for options in windows:
+            for window in options:
+                shared[window] = shared.get(window, 0) + 1
+        keys = {}
+        for k, options in enumerate(windows):
+            keys.setdefault(min(options, key=lambda w: (shared[w], w)), []).append(k)
+        always = keys.pop(b"", [])
+        sizes = {}
+        for key in keys:
+            sizes.setdefault(len(key), []).append(key)
+        lookups = []
+        for size, own in sizes.items():
+            numbers = np.array([int.from_bytes(key, "little") for key in own], np.uint64)
+            order = np.argsort(numbers)
+            numbers, owners = numbers[order], [keys[own[k]] for k in order]
+            slots = np.zeros(1 << 20, bool)
+            slots[hashed(numbers)] = True
+            firsts = np.cumsum([0, *map(len, owners)])
+            lookups.append((size, numbers, slots, firsts, np.array([k for o in owners for k in o])))
+        entry = np.array([e for e, _ in words.value], np.int64)
+        wild = np.array([not literal and (b"%" in w or b"_" in w) for _, w in words.value], bool)
+        exact = ~wild & np.array([len(w) <= 8 for _, w in words.value], bool)
+        return np.array(always, np.int64), lookups, entry, wild, exact
+
+    def hashed(numbers):
+        return (numbers * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
+
+    def hits(data, starts, ends, lookups):
+        """Text and keyword of every key that occurs in a text, as one number."""
+        total, found = int(ends[-1]), []
+        for a in range(int(starts[0]), total, BLOCK):
+            b = min(a + BLOCK, total)
+            part = np.zeros(b - a + 8, np.uint8)
+            known = data[a : min(b + 8, total)]
+            part[: len(known)] = known
+            ahead = np.zeros(b - a, np.uint64)
+            for k in range(8):
+                ahead |= part[k : k + b - a].astype(np.uint64) << np.uint64(8 * k)
+            for size, numbers, slots, firsts, owners in lookups:
+                own = ahead if size == 8 else ahead & np.uint64((1 << 8 * size) - 1)
+                at = np.flatnonzero(slots[hashed(own)])
+                own = own[at]
+                place = np.minimum(np.searchsorted(numbers, own), len(numbers) - 1)
+                of = np.searchsorted(starts, at + a, side="right") - 1
+                real = (numbers[place] == own) & (at + a + size <= ends[of])
+                both = np.unique(of[real] * len(numbers) + place[real])
+                of, place = both // len(numbers), both % len(numbers)
+                count = firsts[place + 1] - firsts[place]
+                upto = np.cumsum(count)
+                inner = np.arange(int(upto[-1]) if len(upto) else 0) - np.repeat(upto - count, count)
+                found.append((np.repeat(of, count) << 32) | owners[np.repeat(firsts[place], count) + inner])
+        return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+
+    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        always, lookups, entry, wild, exact = table()
+        kind = pa.list_(pa.struct([("entry", pa.int64()), ("word", pa.binary())]))
+        for texts in columns:
+            texts = texts.cast(pa.large_binary())
+            size = len(texts)
+            bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + size + 1]
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
+            real = np.flatnonzero(texts.is_valid().to_numpy(zero_copy_only=False))
+            filled = real[bounds[real + 1] > bounds[real]]
+            both = hits(data, bounds[filled], bounds[filled + 1], lookups) if len(filled) and lookups else np.zeros(0, np.int64)
+            of, word = filled[both >> 32], both & 0xFFFFFFFF
+            sure = exact[word] | wild[word]
+            for k in np.flatnonzero(~sure):
+                a, b = bounds[of[k]], bounds[of[k] + 1]
+                sure[k] = words.value[word[k]][1] in data[a:b].tobytes()
+            of, word = of[sure], word[sure]
+            of, word = np.append(of, np.repeat(real, len(always))), np.append(word, np.tile(always, len(real)))
+            order = np.argsort(of, kind="stable")
+            of, word = of[order], word[order]
+            doubtful = [words.value[k][1] if wild[k] else None for k in word] if wild.any() else pa.nulls(len(word), pa.binary())
+            pairs = pa.StructArray.from_arrays([pa.array(entry[word]), pa.array(doubtful, pa.binary())], fields=list(kind.value_type))
+            yield pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(size + 1)), pa.int32()), pairs, type=kind)
+
+    return run
+
+
+def _match_by_piece(texts, dictionary, entries, text, keyword, literal):
     numbered = texts.filter(F.col(text).isNotNull()).select(F.monotonically_increasing_id().alias("text"), F.struct("*").alias("of"))
     numbered = stage(numbered, "texts")
     words = entries.select("entry", _keyword_pieces(F.col(f"row.`{keyword}`"), literal).alias("pieces"))
