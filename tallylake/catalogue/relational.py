@@ -324,7 +324,7 @@ PATTERNS = r"(SELECT * FROM (VALUES (1, 'th_ %ing '), (2, '_nd the'), (3, 'a\b')
 )
 def like_join_wildcards(t: Tables):
     patterns = t.spark.sql(PATTERNS.replace("\\", "\\\\"))
-    matched = match_keywords(t.visits, patterns, small_entries=3)
+    matched = match_keywords(t.visits, patterns, small_entries=3, table_bytes=TABLE_BYTES)
     return matched.groupBy("rid").agg(F.count("*").alias("texts"), F.countDistinct("customernumber").alias("customers"))
 
 
