@@ -168,7 +168,7 @@ def load_payments(sources: RetailSources, zones: Zones) -> None:
 
 def load_pages(spark: SparkSession, sources: RetailSources, as_of: date, report_prefix: str, zones: Zones) -> None:
     navigation_table = f"{zones.curated}.cust_navigation"
-    write_table(explode_pages(sources.visits, ["customernumber"]), navigation_table)
+    write_table(explode_pages(sources.visits, ["customernumber"]), navigation_table, compression="zstd")
     report = first_last_pages(read_table(spark, navigation_table))
     write_json(report, dated_path(report_prefix, as_of), compacted=True)
 

@@ -74,8 +74,9 @@ def _mark_zone(spark: SparkSession, database: str, **marks) -> None:
     spark.sql(f"ALTER DATABASE {database} SET DBPROPERTIES ({listed})")
 
 
-def write_table(df: DataFrame, name: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).saveAsTable(name)
+def write_table(df: DataFrame, name: str, mode: str = "overwrite", compression: str | None = None) -> None:
+    writer = df.write.mode(mode)
+    (writer.option("compression", compression) if compression else writer).saveAsTable(name)
 
 
 def write_table_partitioned(df: DataFrame, name: str, by: list[str], dynamic: bool = True) -> None:

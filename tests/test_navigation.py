@@ -123,3 +123,22 @@ def test_distinct_counts_are_kept_over_days(spark):
     read = count_bitmaps(kept[0].unionByName(distinct_bitmaps(days[1], ["page"], "who")), ["page"], "n")
     assert sorted(map(tuple, read.collect()), key=str) == sorted(map(tuple, whole.collect()), key=str)
     assert all("bitmaps0" in f for f in read.inputFiles()) and "Python" not in read._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_within_paths_stay_out_of_the_shuffle(spark):
+    """Only a batch's first and last pages go on; NULL customers and positions, ties and shuffled rows count as ever."""
+    rows = [(f"c{i % 5}", k, f"p{i % 7}.{k % 50}") for i in range(20) for k in range(400)]
+    rows += [(None, 0, "home"), (None, 9, "x"), ("c1", None, "y"), ("only", 3, "late"), ("tie", 2, "a"), ("tie", 2, "b"), ("below", -1, "z")]
+    nav = spark.createDataFrame(rows, "customernumber string, navigation_index int, navigation_pg string").repartition(3)
+    first, last = {}, {}
+    top = {c: max(k for o, k, _ in rows if o == c and k is not None) for c, _, _ in rows}
+    for c, k, page in rows:
+        if k == 0:
+            first.setdefault(page, set()).update({c} - {None})
+        if c is not None and k == top[c]:
+            last.setdefault(page, set()).add(c)
+    wanted = {("first pagevisited", p): len(c) for p, c in first.items()} | {("last pagevisited", p): len(c) for p, c in last.items()}
+    assert report(first_last_pages(nav)) == wanted
+    from tallylake.operators.navigation import _batch_ends
+
+    assert nav.mapInArrow(_batch_ends(), nav.schema).count() < len(rows) / 10
