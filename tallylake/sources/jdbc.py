@@ -66,8 +66,14 @@ def read_jdbc_partitioned(
 
 
 def bounds_text(table: str, column: str, step: int) -> str:
-    """Every ``step``-th value of a column in its order, numbered by the database; NULLs have no place."""
-    ranked = f"select {column} as k, row_number() over (order by {column}) as place from {table} where {column} is not null"
+    """Every ``step``-th value of a column in its order, numbered by the database; NULLs have no place.
+
+    Equal values are counted first, so only one row per distinct value is put in order; its ``place`` is 0 where a
+    step ends within its rows.
+    """
+    upto = f"sum(count({column})) over (order by {column} rows unbounded preceding)"
+    place = f"case when mod({upto}, {step}) < count({column}) then 0 else 1 end"
+    ranked = f"select {column} as k, {place} as place from {table} where {column} is not null group by {column}"
     return f"select distinct k from ({ranked}) ranked where mod(place, {step}) = 0 order by k"
 
 

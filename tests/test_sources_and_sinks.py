@@ -381,3 +381,14 @@ def test_balanced_read_sends_predicates(spark):
     assert reader.calls[2]["properties"]["password"] == "secret" and "secret" not in reader.calls[2]["url"]
     assert jdbc.range_predicates("d", []) == ["1 = 1"]
     assert jdbc.range_predicates("d", [date(2024, 1, 2)])[1] == "d >= date '2024-01-02'"
+
+
+@pytest.mark.parametrize("step", [1, 3, 40])
+def test_bounds_put_distinct_values_in_order_only(spark, step):
+    rows = spark.range(2000).selectExpr("case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 90 end as k")
+    values = sorted(r.k for r in rows.collect() if r.k is not None)
+    text = jdbc.bounds_text("{rows}", "k", step)
+    found = spark.sql(text, rows=rows)
+    assert [r.k for r in found.collect()] == sorted({v for place, v in enumerate(values, 1) if place % step == 0})
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" in plan[plan.index("Window") :]
