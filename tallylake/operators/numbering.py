@@ -64,15 +64,24 @@ def number_rows(
 def rank_rows(df: DataFrame, keys: list[str], order_by: list[str], out: str = "rnk") -> DataFrame:
     """``rank() over (partition by keys order by order_by)`` as a bigint; ties share a rank.
 
-    Ties may lie in many parts. Those at a part's edge take the rank found by the first part that the tie reaches.
+    Rows are staged, so that both readings see the same, and counted by (keys, order); only these counts are dealt to
+    parts and summed up. A row's rank is one more than the rows before its tie, and is joined back to
+    it: by broadcast where there are few ties, and where there are many by a shuffle, in which Spark splits frequent ones.
     """
-    parts = _Parts(_wrapped(df), keys, order_by)
-    staged = parts.write({"number": F.row_number().over(parts.by_group), "rank": F.rank().over(parts.by_order)})
-    edges = parts.edges(staged).withColumns({"tie": parts.tie, "total": F.sum("number").over(_through_group())})
-    first = F.min(F.col("total") - F.col("number") + F.col("rank")).over(Window.partitionBy("group", "tie"))
-    ranked = parts.beside_edges(staged, edges.withColumn("first", first), "tie", "total", "first")
-    rank = F.when(~F.col("goes_on"), F.col("rank")).when(parts.tie.eqNullSafe(F.col("tie")), F.col("first"))
-    return _unwrapped(ranked, df, out, rank.otherwise(F.col("rank") + F.col("total")))
+    staged = stage(_wrapped(df), "ranked-rows")
+    names = list(dict.fromkeys([*keys, *order_names(order_by)]))
+    tie = [F.col(f"row.`{name}`") for name in names]
+    counts = staged.groupBy(*[value.alias(f"tie{i}") for i, value in enumerate(tie)]).agg(F.count("*").alias("rows"))
+    own = {name: f"tie{i}" for i, name in enumerate(names)}
+    falling = [f"-{own[name[1:]]}" if name.startswith("-") else own[name] for name in order_by]
+    parts = _Parts(_wrapped(stage(counts, "tie-counts")), [own[key] for key in keys], falling)
+    summed = parts.write({"number": F.sum("row.rows").over(parts.by_group.rowsBetween(Window.unboundedPreceding, 0))})
+    edges = parts.edges(summed).withColumn("total", F.sum("number").over(_through_group()))
+    placed = parts.beside_edges(summed, edges, "total")
+    before = F.col("number") - F.col("row.rows") + F.when(F.col("goes_on"), F.col("total")).otherwise(0)
+    ranks = stage(placed.select(*[f"row.tie{i}" for i in range(len(names))], (before + 1).alias("rank")), "tie-ranks")
+    same = reduce(Column.__and__, [value.eqNullSafe(F.col(f"tie{i}")) for i, value in enumerate(tie)], F.lit(True))
+    return _unwrapped(staged.join(ranks, same), df, out, F.col("rank"))
 
 
 def number_changes(

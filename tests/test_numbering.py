@@ -173,3 +173,20 @@ def test_changes_without_a_past(spark, many_parts):
     out = number_changes(spark.createDataFrame(rows, SCHEMA), ["k"], ["id"], ["d"])
     assert {r.id: r.row_num for r in out.collect()} == changes_by_hand(rows, {})
     assert number_changes(spark.createDataFrame([], SCHEMA), ["k"], ["id"], ["d"]).count() == 0
+
+
+def test_ranks_shuffle_ties_instead_of_rows(spark):
+    """Many rows with few ties: no row is shuffled; NULLs in keys and order are ties like any other."""
+    df = spark.range(30_000).selectExpr("nullif(id % 3, 2) as k", "nullif(id % 50, 7) as d", "id")
+    out = rank_rows(df, ["k"], ["-d"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
+    window = df.selectExpr("k", "d", "id", "cast(rank() over (partition by k order by d desc) as bigint) as rnk")
+    assert out.exceptAll(window).count() == 0 and out.count() == 30_000
+
+
+def test_ranks_of_many_ties_over_parts(spark):
+    df = spark.range(40_000).selectExpr("id % 2 as k", "cast(id % 15000 as double) * 0.0 + id % 15000 as d", "id")
+    out = rank_rows(df, ["k"], ["d"])
+    window = df.selectExpr("k", "d", "id", "cast(rank() over (partition by k order by d) as bigint) as rnk")
+    assert out.exceptAll(window).count() == 0 and out.count() == 40_000
