@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallylake.operators.grouping import top_per_group
 from tallylake.operators.numbering import number_rows
+from tallylake.workspace import stage
 
 
 def explode_pages(visits: DataFrame, keep: list[str], pages: str = "pagevisit") -> DataFrame:
@@ -36,38 +31,21 @@ def first_last_pages(
     """Distinct customers per first page and per last page of their visits.
 
     The last page is taken at a customer's highest position over all visits,
-    ties included. The rows are read once. Those that lie neither at position 0 nor at a
-    customer's highest one within their Arrow batch can't count and don't leave it; the others are reduced, map-side, to one
-    per customer and page.
+    ties included. These highest positions are few numbers, which are found first and written, so Spark
+    broadcasts them while its threshold allows; of the rows only those at such a position, or at position 0, go
+    on, and are reduced, map-side, to one per customer and page.
     """
-    rows = navigation.select(customer, index, page)
-    kinds = [rows.schema[name].dataType for name in (customer, index)]
-    if isinstance(kinds[0], (T.StringType, T.IntegralType)) and isinstance(kinds[1], T.IntegralType):
-        rows = rows.mapInArrow(_batch_ends(), rows.schema)
+    rows = navigation.select(F.col(customer).alias("_customer"), F.col(index).alias("_index"), F.col(page).alias("_page"))
+    tops = rows.filter("_customer IS NOT NULL").groupBy(F.col("_customer").alias("_owner")).agg(F.max("_index").alias("_top"))
+    rows = rows.join(stage(tops, "last-positions", "zstd"), F.col("_customer") == F.col("_owner"), "left")
+    rows = rows.filter("_index = 0 OR _index = _top")
+    rows = rows.select(F.col("_customer").alias(customer), F.col("_index").alias(index), F.col("_page").alias(page))
     reach = rows.groupBy(customer, page).agg(F.min(index).alias("_from"), F.max(index).alias("_to"))
     first = F.when(F.col("_from") == 0, _end(FIRST_PAGE, page, F.lit(0)))
     last = F.when(F.col("_to").isNotNull() & F.col(customer).isNotNull(), _end(LAST_PAGE, page, F.col("_to")))
     return _count_ends(reach, customer, page, first, last)
 
 
-def _batch_ends():
-    """Of customer, position and page: rows at position 0 and at the customer's highest position in the batch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            batch = batch.filter(pc.is_valid(batch.column(1)))
-            if not batch.num_rows:
-                continue
-            owners = batch.column(0).dictionary_encode()
-            who = pc.fill_null(owners.indices, len(owners.dictionary)).to_numpy(zero_copy_only=False)
-            at = batch.column(1).to_numpy(zero_copy_only=False)
-            top = np.full(len(owners.dictionary) + 1, np.iinfo(at.dtype).min, at.dtype)
-            np.maximum.at(top, who, at)
-            yield batch.filter(pa.array((at == 0) | (at == top[who])))
-
-    return run
-
-
 def first_last_of_visits(events: DataFrame, customer: str, visit: list[str], order_by: list[str], page: str) -> DataFrame:
     """``first_last_pages`` straight from event rows, without numbering them.
 
