@@ -79,14 +79,12 @@ def _keyword_pieces(keyword: Column, literal: bool) -> Column:
     return F.when(F.size(whole) > 0, F.array_distinct(whole)).otherwise(F.array(longest))
 
 
-def _pieces_of(chars: str, size: int) -> Column:
-    """All runs of ``size`` characters of a text that is given as an array of them, each once."""
+def _pieces_of(body: str, size: int) -> Column:
+    """All runs of ``size`` characters of a text, each once: the text is cut into runs from each of its first places on."""
     if size == 0:
         return F.array(F.lit(""))
-    starts = F.sequence(F.lit(0), F.size(chars) - size)
-    runs = F.transform(starts, lambda i: F.concat(*[F.get(chars, i + k) for k in range(size)]))
-    # An empty text is an array of one empty string.
-    return F.array_remove(F.array_distinct(F.when(F.size(chars) >= size, runs)), "")
+    cuts = [F.regexp_extract_all(F.col(body).substr(F.lit(i + 1), F.length(body)), F.lit(f"(?s).{{{size}}}"), F.lit(0)) for i in range(size)]
+    return F.array_distinct(F.concat(*cuts))
 
 
 def _match_by_piece(texts, dictionary, text, keyword, literal):
@@ -117,10 +115,9 @@ def candidate_pairs(texts: DataFrame, words: DataFrame) -> DataFrame | None:
     sizes = [row[0] for row in wanted.select(F.length("piece")).distinct().collect()]  # 0 to PIECE
     if not sizes:
         return None
-    chars = texts.select("text", F.split("body", "").alias("chars"))
     found = None
     for size in sizes:
-        own = chars.select("text", F.explode(_pieces_of("chars", size)).alias("piece"))
+        own = texts.select("text", F.explode(_pieces_of("body", size)).alias("piece"))
         found = own if found is None else found.unionAll(own)
     found = stage(found.join(wanted.select("piece").distinct(), "piece", "left_semi"), "found-pieces")
     counts = stage(found.groupBy("piece").agg(F.count("*").alias("texts")), "piece-counts")

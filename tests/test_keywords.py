@@ -180,3 +180,15 @@ def test_sides_and_satisfaction(visits, dictionary):
     assert sides == {"g1": (0, 7), "g2": (4, 6), "g5": (0, 0)}
     index = {r.customernumber: r.satisfaction for r in satisfaction_index(visits, dictionary).collect()}
     assert index == {"g1": -7, "g2": -2, "g5": 0}
+
+
+@pytest.mark.parametrize("size", [0, 1, 2, 3])
+def test_pieces_are_cut_from_the_text_itself(spark, size):
+    """Every run once, over line breaks and characters outside the first plane; no array of single characters is made."""
+    bodies = ["", "a", "ab", "abcabcab", "a\nb\r\nc\u2028d", "😀b😀b😀", "ünï\x00 ", "xxxxxxx"]
+    cut = staged_texts(spark, bodies).select("text", keywords._pieces_of("body", size).alias("pieces"))
+    for row in cut.collect():
+        body = bodies[row.text]
+        wanted = {body[i : i + size] for i in range(len(body) - size + 1)}
+        assert sorted(row.pieces) == sorted(wanted)
+    assert "lambda" not in cut._jdf.queryExecution().optimizedPlan().toString()
