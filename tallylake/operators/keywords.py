@@ -8,6 +8,8 @@ without any match, or a NULL text, yields nothing.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,6 +21,8 @@ SMALL_BYTES = 1_000_000
 PIECE = 3
 #: Texts from which on a piece alone is no key, and a second piece of the keyword must be there too.
 FREQUENT = 100
+#: Pieces up to which each is looked for in every text, instead of cutting the texts.
+FEW_PIECES = 50
 #: Texts of one piece that one group of the join holds.
 HOT = 100_000
 
@@ -115,10 +119,13 @@ def candidate_pairs(texts: DataFrame, words: DataFrame) -> DataFrame | None:
     sizes = [row[0] for row in wanted.select(F.length("piece")).distinct().collect()]  # 0 to PIECE
     if not sizes:
         return None
-    found = None
-    for size in sizes:
-        own = texts.select("text", F.explode(_pieces_of("body", size)).alias("piece"))
-        found = own if found is None else found.unionAll(own)
+    known = [row[0] for row in wanted.select("piece").distinct().limit(FEW_PIECES + 1).collect()]
+    if len(known) <= FEW_PIECES:
+        held = F.array(*[F.when(F.contains(F.col("body"), F.lit(piece)), F.lit(piece)) for piece in known])
+        found = texts.select("text", F.explode(F.array_compact(held)).alias("piece"))
+    else:
+        cut = [texts.select("text", F.explode(_pieces_of("body", size)).alias("piece")) for size in sizes]
+        found = reduce(DataFrame.unionAll, cut)
     found = stage(found.join(wanted.select("piece").distinct(), "piece", "left_semi"), "found-pieces")
     counts = stage(found.groupBy("piece").agg(F.count("*").alias("texts")), "piece-counts")
     ranked = wanted.join(counts, "piece", "left").groupBy("entry")

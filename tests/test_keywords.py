@@ -192,3 +192,14 @@ def test_pieces_are_cut_from_the_text_itself(spark, size):
         wanted = {body[i : i + size] for i in range(len(body) - size + 1)}
         assert sorted(row.pieces) == sorted(wanted)
     assert "lambda" not in cut._jdf.queryExecution().optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("few", [0, 50])
+def test_few_and_many_pieces_give_the_same_pairs(spark, monkeypatch, few):
+    monkeypatch.setattr(keywords, "FEW_PIECES", few)
+    bodies = ["", "a", "ab", "a\nbc", "😀b cd", "xabcx", "abcd abcd"]
+    words = ["", "%", "a_b", "abc", "abcd", "😀b", "\nbc", "zzz", "cd"]
+    v = spark.createDataFrame([(str(i), body) for i, body in enumerate(bodies)], "customernumber string, comments string")
+    d = spark.createDataFrame([(i, word, "c", 1, "x") for i, word in enumerate(words)], DICTIONARY_SCHEMA)
+    wanted = sorted((str(i), k) for i, body in enumerate(bodies) for k, word in enumerate(words) if like(body, word))
+    assert sorted((r.customernumber, r.rid) for r in match_keywords(v, d, small_entries=1).collect()) == wanted
