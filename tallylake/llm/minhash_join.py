@@ -13,7 +13,8 @@ A key can be shared by a great many near copies, so their pairs are never listed
 shares most keys) and only hubs are compared with the nodes of their keys: for copies of one text that
 joins nearly all. A node that isn't joined with its hub is too far from it; what it can share with any other
 node beyond what it shares with the hub are shingles outside the hub. So it is looked up by these alone, by its rarest ones, as many
-as leave too few for a link; most such nodes have none that another node has. Partners so much smaller that they need none
+as leave too few for a link; most such nodes have none that another node has. How many it looks up depends on the partner's size,
+so partners are met by bands of sizes, and only at shingles that are among the partner's rarest ones too. Partners so much smaller that they need none
 are found by their sizes. As long as that would give many pairs a node, further hubs are compared first,
 while each round halves what is left. So no link between two components is missed, and links inside a
 component aren't looked for.
@@ -52,6 +53,8 @@ WORK = 1 << 16
 SALTED = 64
 #: Pairs a node of a hub that the last comparison may meet before further hubs are tried.
 FEW = 64
+#: Bands of sizes by which the nodes of a hub are looked up.
+BANDS = 16
 
 _EVEN = 0x5555555555555555
 
@@ -278,8 +281,8 @@ class Search:
     def left(self, members: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
         """Nodes by the hubs of their keys, their shared shingles outside the hub, and the nodes that may still have a link.
 
-        ``groups``: ``hub``, ``node``, ``comp``, size ``n``, ``inside`` (shared with the hub) and ``held`` (outside it, and
-        in another node of the hub). ``index``: hub, node, comp, ``shingle`` and in how many nodes of the hub it is. ``live``:
+        ``groups``: ``hub``, ``node``, ``comp``, size ``n`` and its ``band``, ``inside`` (shared with the hub) and ``held`` (outside it, and
+        in another node of the hub). ``index``: hub, node, ``shingle`` and its ``place`` among the node's (rarest first). ``live``:
         the groups' rows of other components than their hub's. Partners of a size up to ``bound`` need nothing outside the
         hub, larger ones share at least ``needed`` there.
         """
@@ -290,14 +293,16 @@ class Search:
         outside = F.array_except("own", "theirs")
         rows = both.select("hub", "node", "comp", F.size("own").cast("long").alias("n"), outside.alias("outside"))
         rows = stage(rows, "minhash-outside", "zstd")
-        each = rows.select("hub", "node", "comp", F.explode("outside").alias("shingle"))
+        each = rows.select("hub", "node", F.explode("outside").alias("shingle"))
         shared = each.groupBy("hub", "shingle").agg(F.count("*").alias("nodes")).filter("nodes > 1")
-        index = stage(each.join(shared, ["hub", "shingle"]), "minhash-index")
+        place = F.row_number().over(Window.partitionBy("hub", "node").orderBy("nodes", "shingle"))
+        index = stage(each.join(shared, ["hub", "shingle"]).select("hub", "node", "shingle", place.alias("place")), "minhash-index")
         held = index.groupBy("hub", "node").agg(F.count("*").alias("held"))
-        by_hub = rows.groupBy("hub").agg(F.min("n").alias("smallest"), F.max(F.when(F.col("node") == F.col("hub"), F.col("comp"))).alias("main"))
+        by_hub = rows.groupBy("hub").agg(F.min("n").alias("smallest"), F.max("n").alias("largest"), F.max(F.when(F.col("node") == F.col("hub"), F.col("comp"))).alias("main"))
         inside = F.col("n") - F.size("outside")
         groups = rows.join(held, ["hub", "node"], "left").join(by_hub, "hub")
-        groups = groups.select("hub", "node", "comp", "n", inside.alias("inside"), F.coalesce("held", F.lit(0)).alias("held"), "smallest", "main")
+        groups = groups.select("hub", "node", "comp", "n", inside.alias("inside"), F.coalesce("held", F.lit(0)).alias("held"), "smallest", "largest", "main")
+        groups = groups.withColumn("band", self._band(F.col("n")))
         groups = stage(groups, "minhash-groups")
         least = F.greatest("smallest", F.ceil(F.col("n") * self.percent / 100))
         bound = F.floor(F.col("inside") * (100 + self.percent) / self.percent) - F.col("n")
@@ -327,23 +332,40 @@ class Search:
         met = met.filter("comp <> hub_comp")
         self.compare(met.select(*_ordered(F.col("node"), F.col("hub"))).distinct())
 
-    def looked_up(self, index: DataFrame, live: DataFrame) -> DataFrame:
-        """The rarest shingles of live nodes, by which every partner above their bound is found."""
-        place = F.row_number().over(Window.partitionBy("hub", "node").orderBy("nodes", "shingle"))
-        ranked = index.join(live.drop("comp").filter("held >= needed"), ["hub", "node"]).withColumn("place", place)
-        return ranked.filter(F.col("place") <= F.col("held") - F.col("needed") + 1)
+    @staticmethod
+    def _band(n: Column) -> Column:
+        """The band, of its hub's, that a size falls into."""
+        return F.floor((n - F.col("smallest")) * BANDS / (F.col("largest") - F.col("smallest") + 1))
+
+    def looked_up(self, groups: DataFrame, index: DataFrame, live: DataFrame) -> DataFrame:
+        """By band of partners' sizes the rarest shingles of live nodes, by which every partner above their bound is found."""
+        first = F.greatest("least", F.col("bound") + 1)
+        last = F.least("largest", F.floor(F.col("n") * 100 / self.percent))
+        asked = live.filter((F.col("held") >= F.col("needed")) & (first <= last)).withColumn("first", first)
+        asked = asked.withColumn("band", F.explode(F.sequence(self._band(F.col("first")), self._band(last))))
+        asked = asked.join(groups.select("hub", "band").distinct(), ["hub", "band"])
+        lowest = F.col("smallest") + F.ceil(F.col("band") * (F.col("largest") - F.col("smallest") + 1) / BANDS)
+        needed = _required(F.col("n"), F.greatest("first", lowest), self.percent) - F.col("inside")
+        asked = asked.select("hub", "node", "comp", "n", "inside", "held", "first", "band", (F.col("held") - needed + 1).alias("upto"))
+        return asked.join(index, ["hub", "node"]).filter("place <= upto")
+
+    def posted(self, groups: DataFrame, index: DataFrame) -> DataFrame:
+        return groups.select("hub", "node", "comp", "n", "inside", "held", "band").join(index, ["hub", "node"])
+
+    def to_meet(self, groups: DataFrame, index: DataFrame, live: DataFrame) -> int:
+        """Rows that the looked up shingles meet."""
+        there = self.posted(groups, index).groupBy("hub", "shingle", "band").agg(F.count("*").alias("there"))
+        return self.looked_up(groups, index, live).join(there, ["hub", "shingle", "band"]).agg(F.sum("there")).first()[0] or 0
 
     def rest(self, groups: DataFrame, index: DataFrame, live: DataFrame) -> None:
         """Live nodes beside the nodes that hold their rarest shingles, and beside those small enough to need none."""
-        facts = groups.select("hub", "node", "n", "inside", "held")
-        x = self.looked_up(index, live).select("hub", "shingle", F.col("node").alias("x"), F.col("comp").alias("x_comp"), "needed")
-        y = index.select("hub", "shingle", F.col("node").alias("y"), F.col("comp").alias("y_comp"))
-        met = x.join(y, ["hub", "shingle"]).filter("x_comp <> y_comp")
-        # Of the shingles that x was not looked up by, one less than it needs, all might be shared as well.
-        met = met.groupBy("hub", "x", "y").agg((F.count("*") + F.max("needed") - 1).alias("shared")).alias("p")
-        met = met.join(facts.alias("a"), (F.col("p.hub") == F.col("a.hub")) & (F.col("p.x") == F.col("a.node")))
-        met = met.join(facts.alias("b"), (F.col("p.hub") == F.col("b.hub")) & (F.col("p.y") == F.col("b.node")))
-        found = met.filter(self._possible("a", "b", F.col("p.shared"))).select(*_ordered(F.col("p.x"), F.col("p.y")))
+        x, y = self.looked_up(groups, index, live).alias("x"), self.posted(groups, index).alias("y")
+        same = reduce(lambda p, q: p & q, [F.col(f"x.{c}") == F.col(f"y.{c}") for c in ("hub", "shingle", "band")])
+        # Of what two nodes share outside the hub, the rarest leaves either of them enough places for the others.
+        needed = _required(F.col("x.n"), F.col("y.n"), self.percent) - F.least("x.inside", "y.inside")
+        enough = reduce(lambda p, q: p & q, [F.col(f"{s}.place") <= F.col(f"{s}.held") - needed + 1 for s in "xy"])
+        met = x.join(y, same & (F.col("x.comp") != F.col("y.comp")) & (F.col("y.n") >= F.col("x.first")) & enough)
+        found = met.select(*_ordered(F.col("x.node"), F.col("y.node")))
         # By sizes: small partners only, in salted groups.
         loose = live.filter("least <= bound")
         limits = loose.groupBy("hub").agg(F.max("bound").alias("limit"), F.ceil(F.count("*") / SALTED).cast("int").alias("salts"))
@@ -354,10 +376,9 @@ class Search:
         sized = own.join(small, same & (F.col("b.n") <= F.col("a.bound")) & self._possible("a", "b"))
         self.compare(found.unionAll(sized.select(*_ordered(F.col("a.node"), F.col("b.node")))).distinct())
 
-    def _possible(self, a: str, b: str, outside: Column | None = None) -> Column:
-        """Whether what two nodes share inside and outside their hub can be enough; ``outside`` is at most that much."""
-        held = F.least(f"{a}.held", f"{b}.held")
-        most = F.least(f"{a}.inside", f"{b}.inside") + (held if outside is None else F.least(held, outside))
+    def _possible(self, a: str, b: str) -> Column:
+        """Whether what two nodes share inside and outside their hub can be enough."""
+        most = F.least(f"{a}.inside", f"{b}.inside") + F.least(f"{a}.held", f"{b}.held")
         return most >= _required(F.col(f"{a}.n"), F.col(f"{b}.n"), self.percent)
 
     def run(self) -> DataFrame | None:
@@ -373,7 +394,7 @@ class Search:
         while True:
             groups, index, live = self.left(members)
             now = live.count()
-            met = self.looked_up(index, live).agg(F.sum("nodes")).first()[0] or 0
+            met = self.to_meet(groups, index, live)
             if met <= FEW * groups.count() or before is not None and 2 * now > before:
                 self.rest(groups, index, live)
                 return self.roots()

@@ -114,6 +114,26 @@ def test_copies_that_share_their_edits(spark):
     check(spark, rows)
 
 
+def test_nodes_that_cannot_be_linked_are_not_met(spark, monkeypatch):
+    """Near copies that all share a line beside their hub: what a pair needs depends on both, and few pairs have it among their rarest."""
+    met = []
+    compare = mh.Search.compare
+
+    def counted(self, pairs):
+        met.append(pairs.count())
+        compare(self, pairs)
+
+    monkeypatch.setattr(mh.Search, "compare", counted)
+    monkeypatch.setattr(mh.Search, "_possible", lambda self, a, b, outside=None: mh.F.lit(True) if outside is not None else mh.F.lit(False))
+    rng = random.Random(6)
+    base = [f"b{i}" for i in range(140)]
+    line = " ".join(f"l{i}" for i in range(6))
+    near = [(i, f"{changed(rng, base, 3)} {line}") for i in range(40)]
+    far = [(100 + i, f"{changed(rng, base, 5)} {line}") for i in range(120)]
+    check(spark, near + far + [(1000 + i, changed(rng, base, rng.choice([0, 1]))) for i in range(60)])
+    assert met[-1] < 6000
+
+
 def test_other_limits(spark):
     rng = random.Random(9)
     base = [f"b{i}" for i in range(100)]
