@@ -105,3 +105,23 @@ def test_files_alone_give_back_the_ids(spark, tmp_path):
         found |= {doc: ids.tolist() for doc, ids in token_output.read_file(str(path))}
     plain = Tokenizer.from_file(default_vocabulary())
     assert found == {k: [*plain.encode(t or "", add_special_tokens=False).ids, 2] for k, t in texts.items()}
+
+
+def test_plain_words_are_encoded_many_at_once(monkeypatch):
+    """The same ids as the tokenizer gives each word, of fewer texts than words."""
+    rng = random.Random(3)
+    letters = "abcZ019'.,#<|>/w'st" + "".join(map(chr, range(0xC0, 0x180))) + "\u0301\u212b\u4e00\u00b2\x1f\x00"
+    ways = ["aeblrstvmd'", "aeblrstvmd'.#0", letters]
+    words = sorted({"".join(rng.choices(rng.choice(ways), k=rng.randrange(1, 9))) for _ in range(4000)} | {"<|endoftext|>", "</w>", "\u0130", "\u1e9e", "'RE", "\u00e9's"})
+    encoder, given = WordIds(default_vocabulary(), capacity=100_000), []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given.extend(texts)
+            return TOKENIZER.encode_batch_fast(texts, **options)
+
+    encoder.tokenizer = Counted()
+    found = encoder.texts([w.encode() for w in words])
+    for word, ids in zip(words, found, strict=True):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == TOKENIZER.encode(word, add_special_tokens=False).ids, word
+    assert len(given) < len(words) / 2
