@@ -3,7 +3,7 @@
 Ids are replaced by their rank in the whole corpus (the most frequent id is 0), so most take
 one byte. A rank is written in one to four bytes, low byte first; a control byte holds the
 lengths of four ranks, two bits each. Control bytes and data bytes lie apart, so a reader
-finds all positions of a block with one running sum and gathers the bytes through a table.
+finds all positions of a block with one running sum, of lengths that a table has by control byte, and gathers the bytes.
 
 A shard file is a sequence of blocks (number of ids, of control bytes and of data bytes as
 three unsigned 32-bit numbers, control bytes, data bytes), then the documents (id, null flag,
@@ -32,6 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallylake.llm.blocks import parts_of
 from tallylake.llm.shared_files import create, open_file
 from tallylake.llm.word_ids import REMEMBERED, default_vocabulary, shared
 from tallylake.workspace import scratch_path, stage
@@ -42,39 +43,45 @@ TRAILER = struct.Struct("<8sQQQ16s")
 BLOCK = struct.Struct("<III")
 BLOCK_IDS = 1 << 18
 
-_CODES = np.arange(256, dtype=np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3
-#: By control byte: data bytes in all, and for each of 16 result bytes its place among them (16: a zero).
-_TOTAL = (_CODES + 1).sum(1).astype(np.int64)
-_PLACE = np.full((256, 4, 4), 16, np.int64)
-for _c in range(256):
-    _at = 0
-    for _k in range(4):
-        for _b in range(_CODES[_c, _k] + 1):
-            _PLACE[_c, _k, _b] = _at
-            _at += 1
-_PLACE = _PLACE.reshape(256, 16)
+#: By control byte: how many more bytes than one each of its four ranks has; four small numbers that are read as one.
+_MORE = (np.arange(256, dtype=np.uint8)[:, None] >> np.array([0, 2, 4, 6], np.uint8) & 3).view("<u4").ravel()
 
 
 def encode(ranks: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of some ranks."""
-    ranks = ranks.astype("<u4")
-    codes = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    data = ranks.view(np.uint8).reshape(-1, 4)[np.arange(4) <= codes[:, None]]
-    padded = np.zeros(-(-len(codes) // 4) * 4, np.uint8)
-    padded[: len(codes)] = codes
-    control = (padded.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1).astype(np.uint8)
-    return control.tobytes(), data.tobytes()
+    ranks = ranks.astype("<u4", copy=False)
+    more = (ranks > 0xFF).view(np.uint8)
+    for most in (0xFFFF, 0xFFFFFF):
+        if (over := ranks > most).any():
+            more = more + over
+    data = np.empty(len(ranks) + int(more.sum(dtype=np.int64)), np.uint8)
+    starts = _starts(more)
+    data[starts] = ranks.view(np.uint8)[::4]
+    at = np.flatnonzero(more)
+    for byte in (1, 2, 3):
+        data[starts[at] + byte] = ranks.view(np.uint8)[byte::4][at]
+        at = at[more[at] > byte]
+    padded = np.zeros(-(-len(more) // 4) * 4, np.uint8)
+    padded[: len(more)] = more
+    one, two, three, four = padded.reshape(-1, 4).T
+    return (one | two << 2 | three << 4 | four << 6).tobytes(), data.tobytes()
+
+
+def _starts(more: np.ndarray) -> np.ndarray:
+    """Where each rank's first byte is."""
+    return np.cumsum(more, dtype=np.int64) - more + np.arange(len(more))
 
 
 def decode(control: bytes, data: bytes, n: int) -> np.ndarray:
     """The ranks; the last control byte may stand for fewer than four."""
-    control = np.frombuffer(control, np.uint8)
-    held = np.concatenate([np.frombuffer(data, np.uint8), np.zeros(17, np.uint8)])
-    starts = np.cumsum(_TOTAL[control]) - _TOTAL[control]
-    place = _PLACE[control]
-    raw = held[np.minimum(starts[:, None] + place, len(held) - 1)]
-    raw[place == 16] = 0
-    return raw.view("<u4").ravel()[:n]
+    more = _MORE[np.frombuffer(control, np.uint8)].view(np.uint8)[:n]
+    data, starts = np.frombuffer(data, np.uint8), _starts(more)
+    ranks = data[starts].astype("<u4")
+    at = np.flatnonzero(more)
+    for byte in (1, 2, 3):
+        ranks[at] |= data[starts[at] + byte].astype("<u4") << np.uint32(8 * byte)
+        at = at[more[at] > byte]
+    return ranks
 
 
 def _block(ranks: np.ndarray) -> bytes:
@@ -125,8 +132,9 @@ def _count(dtype: str, size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for ids in batch.column(0):
-                total += 0 if not ids.as_py() else np.bincount(np.frombuffer(ids.as_buffer(), dtype), minlength=size)
+            ids = np.frombuffer(parts_of(batch.column(0))[0], dtype)
+            for k in range(0, len(ids), 1 << 20):  # many documents at once
+                total += np.bincount(ids[k : k + (1 << 20)], minlength=size)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["token", "n"])
 
@@ -139,10 +147,11 @@ def _write(folder: str, dtype: str, rank_of, ranks: uuid.UUID):
         shard = TaskContext.get().partitionId()
         name = f"shard-{shard:06d}-{uuid.uuid4().hex}.bin"
 
+        ranks_of = rank_of.value
         for batch in batches:
             for doc, ids in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 out = out or create(folder, name)
-                own = rank_of.value[np.frombuffer(ids.as_buffer(), dtype)]
+                own = ranks_of.take(np.frombuffer(ids.as_buffer(), dtype))
                 docs.append(_document(doc, len(own)))
                 held.append(own)
                 size += len(own)
@@ -209,7 +218,7 @@ def read_file(path: str) -> Iterator[tuple[int | None, np.ndarray]]:
             parts, size = [held], len(held)
             while size < n:
                 count, control, data = BLOCK.unpack(source.read(BLOCK.size))
-                parts.append(ranked[decode(source.read(control), source.read(data), count)])
+                parts.append(ranked.take(decode(source.read(control), source.read(data), count)))
                 size += count
             held = np.concatenate(parts) if len(parts) > 1 else held
             yield None if missing else doc, held[:n]
@@ -221,7 +230,7 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for path, start in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             rows = []
             for doc, ids in read_file(path):
-                rows.append((doc, start, len(ids), zlib.crc32(ids.astype("<u4").tobytes())))
+                rows.append((doc, start, len(ids), zlib.crc32(np.ascontiguousarray(ids, "<u4"))))
                 start += len(ids)
             columns = list(zip(*rows, strict=True)) or [[]] * 4
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "start", "n_tokens", "ids_crc32"])

@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tallylake.llm import token_output
+from tallylake.llm import token_output, word_ids
 from tallylake.llm.catalogue import queries
 from tallylake.llm.word_ids import WordIds, default_vocabulary
 
@@ -125,3 +125,25 @@ def test_plain_words_are_encoded_many_at_once(monkeypatch):
     for word, ids in zip(words, found, strict=True):
         assert np.frombuffer(ids, encoder.dtype).tolist() == TOKENIZER.encode(word, add_special_tokens=False).ids, word
     assert len(given) < len(words) / 2
+
+
+def test_pieces_of_plain_words():
+    """As many as the vocabulary's own cut has; none for words that aren't plain."""
+    rng = random.Random(4)
+    letters = "abcZ019.,#<|>/_" + "".join(c for c in map(chr, range(0xC0, 0x180)) if c not in "\u00d7\u00f7\u0130")
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 9))) for _ in range(3000)]
+    words = [w for w in words if "<|" not in w]
+    cut = TOKENIZER.pre_tokenizer.pre_tokenize_str
+    assert word_ids._pieces([w.encode() for w in words]).tolist() == [len(cut(w.lower())) for w in words]
+    odd = ["it's", "2\u00d72", "\u00f7", "\u0130x", "a\u0301", "\u00b2", "\u4e00", "x\x7f", "\x1f", "<|a", "\u01c5"]
+    assert word_ids._pieces([w.encode() for w in odd]).tolist() == [0] * len(odd)
+
+
+def test_plain_words_are_not_normalized_again(monkeypatch):
+    """They compose with nothing and come in small letters, so just the others go to the whole tokenizer."""
+    encoder = WordIds(default_vocabulary(), capacity=1000)
+    monkeypatch.setattr(encoder, "tokenizer", None)
+    words = ["plain", "\u00c9cole,", "x1y2", "ABC"]
+    found = encoder.learn({w.encode() for w in words})
+    for word in words:
+        assert np.frombuffer(found[word.encode()], encoder.dtype).tolist() == TOKENIZER.encode(word, add_special_tokens=False).ids, word
