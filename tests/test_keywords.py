@@ -203,3 +203,46 @@ def test_few_and_many_pieces_give_the_same_pairs(spark, monkeypatch, few):
     d = spark.createDataFrame([(i, word, "c", 1, "x") for i, word in enumerate(words)], DICTIONARY_SCHEMA)
     wanted = sorted((str(i), k) for i, body in enumerate(bodies) for k, word in enumerate(words) if like(body, word))
     assert sorted((r.customernumber, r.rid) for r in match_keywords(v, d, small_entries=1).collect()) == wanted
+
+
+def without_joins(frame):
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    return not any(x in plan for x in ("Join", "Exchange", "Cartesian", "Python")) and plan.count("regexp_extract_all") == 1
+
+
+def test_a_large_dictionary_neither_shuffles_nor_stages_texts(monkeypatch, visits, dictionary):
+    """Disk holds the dictionary only, and texts are gone through once."""
+    staged = []
+    monkeypatch.setattr(keywords, "stage", lambda df, label, stage=keywords.stage: (staged.append(label), stage(df, label))[1])
+    assert without_joins(match_keywords(visits, dictionary, small_entries=2))
+    wild = dictionary.withColumn("orddesc", F.concat("orddesc", F.lit("%")))
+    assert without_joins(match_keywords(visits, wild, small_entries=2))
+    assert set(staged) == {"keywords", "keyword-table", "keyword-rows"}
+
+
+BODIES = ["", "a", "abcabcab", "xaabbab", "a\nbc", "😀b cd", "caféé ñ", "x^$.|?*+()[]{}\\-", "中文字 中", "the then theme", "\x00q", None]
+KEYS = ["", "a", "ab", "abc", "abcab", "abcabcab", "bb", "b", "bc", "\nb", "😀", "😀b", "é", "éé", "ñ", "^$", ".|", "?*", "+(", ")[", "]{", "}\\-", "-"]
+KEYS += ["中", "文字", "字 中", "the", "then", "them", "theme", "th", "\x00", "zz", "ab", "d", "c", "f", " ", "%", "a%c", "_b", "a_c%", "%%", "t_e%m", "中%中", "�"]
+
+
+@pytest.mark.parametrize("limits", [{}, {"LEAF": 1, "RANGE": 2}, {"LEAF": 1, "RANGE": 1, "DEPTH": 2}, {"DEPTH": 0}, {"TRIE_BYTES": 0}])
+@pytest.mark.parametrize("literal", [True, False])
+def test_overlapping_and_nested_keywords(spark, monkeypatch, limits, literal):
+    """Every keyword of a place is found, also where a longer one begins; as by pieces, for dictionaries beyond the limit."""
+    for name, value in limits.items():
+        monkeypatch.setattr(keywords, name, value)
+    v = spark.createDataFrame([(str(i), body) for i, body in enumerate(BODIES)], "customernumber string, comments string")
+    d = spark.createDataFrame([(i, word, "c", 1, "x") for i, word in enumerate([*KEYS, None])], DICTIONARY_SCHEMA)
+    hit = (lambda body, word: word in body) if literal else like
+    wanted = sorted((str(i), k) for i, body in enumerate(BODIES) if body is not None for k, word in enumerate(KEYS) if hit(body, word))
+    out = match_keywords(v, d, literal=literal, small_entries=1)
+    assert sorted((r.customernumber, r.rid) for r in out.collect()) == wanted
+
+
+def test_broken_bytes_in_keywords_and_texts(spark):
+    """A byte that is no character stands for itself only, in both ways."""
+    v = spark.createDataFrame([(1, b"a\xc3b"), (2, "aéb".encode()), (3, b"a\xffb"), (4, "a�b".encode())], "id int, t binary")
+    d = spark.createDataFrame([(1, b"\xc3b"), (2, b"\xff"), (3, b"b"), (4, "�".encode())], "rid int, w binary")
+    v, d = v.withColumn("t", F.expr("CAST(t AS STRING)")), d.withColumn("w", F.expr("CAST(w AS STRING)"))
+    ways = [sorted((r.id, r.rid) for r in match_keywords(v, d, "t", "w", literal=True, small_entries=n).select("id", "rid").collect()) for n in (9, 1)]
+    assert ways[0] == ways[1]
