@@ -11,6 +11,7 @@ from __future__ import annotations
 import zlib
 from collections import defaultdict
 from functools import reduce
+from itertools import takewhile
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame
@@ -113,8 +114,9 @@ def _match_by_trie(texts, entries, text, keyword, literal):
         broken = "\ufffd" in word
         tests.append([run for run in {*runs} - {key, ""} if not broken] if broken or key != word else None)
     slots = [[] for _ in range(2 * len(owners) + 1)]
+    sizes = sorted(set(map(len, owners)))
     for key in owners:
-        begun = [number for end in range(1, len(key) + 1) for number in owners.get(key[:end], ())]
+        begun = [number for size in takewhile(len(key).__ge__, sizes) for number in owners.get(key[:size], ())]
         slots[zlib.crc32(key.encode()) % len(slots)].append((key, begun))
     kinds = "pattern string, slots array<array<struct<key: string, numbers: array<int>>>>, always array<int>, tests array<array<string>>"
     table = stage(texts.sparkSession.createDataFrame([(_longest_key(owners), slots, always, tests)], kinds), "keyword-table")
